@@ -5,7 +5,9 @@ The rules are written down in FIXTURES.md; the oracle SQL states them again on i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleanse
@@ -17,173 +19,169 @@ from ..sources.schema import (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(column: Column) -> Column:
-    return column.cast("string")
-
-
-def _unless(blank: Column, value: Column) -> Column:
-    return F.when(blank, "").otherwise(value)
-
-
-def _order_values() -> dict[str, Column]:
-    """Provider columns that depend on the order alone."""
-    k = F.col("o_orderkey")
-    z = F.lit(100) + F.col("o_custkey") % 60
-    padded = F.lpad(_text(z), 5, "0")
-    postal = (
-        F.when(k % 8 == 0, padded)
-        .when(k % 8 == 1, _text(z))
-        .when(k % 8 == 2, F.concat(padded, F.lit("1234")))
-        .when(k % 8 == 3, F.concat(padded, F.lit("-1234")))
-        .when(k % 8 == 4, "")
-        .when(k % 8 == 5, F.lit(None).cast("string"))
-        .when(k % 8 == 6, F.concat(_text(z), F.lit("12345")))
-        .otherwise("K1A 0B1")
-    )
-    nameless = k % 23 == 0
-    values = {
-        "npi": _text(k + 1000000000),
-        "entity_type_code": _unless(k % 17 == 0, _text(k % 2 + 1)),
-        cleanse.ORGANISATION: F.when(nameless, "")
-        .when(k % 10 == 4, F.lit(None).cast("string"))
-        .when(k % 2 == 1, F.concat(F.lit("ORG "), "o_orderpriority"))
-        .otherwise(""),
-        "provider_name_prefix_text": _unless(nameless | (k % 5 != 0), F.lit("DR.")),
-        "provider_first_name": _unless(nameless, F.concat(F.lit("F"), _text(F.col("o_custkey")))),
-        "provider_credential_text": _unless(nameless | (k % 3 != 0), F.lit("MD")),
-        cleanse.OTHER_ORGANISATION: F.lit("ALT"),
-        cleanse.PRACTICE_ADDRESS[0]: F.concat(_text(k), F.lit(" MAIN ST")),
-        cleanse.PRACTICE_ADDRESS[1]: _unless(k % 4 != 0, F.lit("STE 1")),
-        cleanse.POSTAL_CODE: postal,
-    }
+# Values that several provider columns share, computed once per order.
+_SHARED = {
+    "k": "o_orderkey",
+    "z": "string(100 + o_custkey % 60)",
+    "nameless": "o_orderkey % 23 = 0",
+    "chosen_slot": "o_orderkey % 16 + 1",
+    "many_chosen": "o_orderkey % 11 = 0",
+    "not_chosen": "CASE o_orderkey % 3 WHEN 0 THEN 'N' WHEN 1 THEN '' END",
+    "odd_codes_missing": "o_orderkey % 13 = 0",
+    "codes_blank": "o_orderkey % 29 = 0",
+    "postal_kind": "o_orderkey % 8",
+}
+
+_ORDER_COLUMNS = {
+    "npi": "string(1000000000 + k)",
+    "entity_type_code": "if(k % 17 = 0, '', string(1 + k % 2))",
+    cleanse.ORGANISATION: """
+        CASE WHEN nameless THEN '' WHEN k % 10 = 4 THEN NULL
+             WHEN k % 2 = 1 THEN concat('ORG ', o_orderpriority) ELSE '' END""",
+    "provider_name_prefix_text": "if(nameless OR k % 5 <> 0, '', 'DR.')",
+    "provider_first_name": "if(nameless, '', concat('F', o_custkey))",
+    "provider_credential_text": "if(nameless OR k % 3 <> 0, '', 'MD')",
+    cleanse.OTHER_ORGANISATION: "'ALT'",
+    cleanse.PRACTICE_ADDRESS[0]: "concat(k, ' MAIN ST')",
+    cleanse.PRACTICE_ADDRESS[1]: "if(k % 4 = 0, 'STE 1', '')",
+    cleanse.POSTAL_CODE: """
+        CASE postal_kind WHEN 0 THEN lpad(z, 5, '0') WHEN 1 THEN z
+                   WHEN 2 THEN concat(lpad(z, 5, '0'), '1234')
+                   WHEN 3 THEN concat(lpad(z, 5, '0'), '-1234')
+                   WHEN 4 THEN '' WHEN 6 THEN concat(z, '12345')
+                   WHEN 7 THEN 'K1A 0B1' END""",
+}
+
+_CUSTOMER_COLUMNS = {
+    "provider_last_name_legal_name": "if(nameless, '', c_name)",
+    cleanse.PRACTICE_ADDRESS[2]: "n_name",
+    cleanse.PRACTICE_ADDRESS[3]: "r_name",
+}
+
+
+def _slot_columns() -> dict[str, str]:
+    columns = {}
     for slot in range(1, TAXONOMY_SLOTS + 1):
-        hit = k % 16 == slot - 1
-        code = _unless(k % 29 == 0, _text((k + 7 * slot) % 250))
+        chosen = f"chosen_slot = {slot}"
         if slot % 4 == 1:
-            hit = hit | (k % 11 == 0)
+            chosen += " OR many_chosen"
+        code = f"if(codes_blank, '', string((k + {7 * slot}) % 250))"
         if slot % 2 == 1:
-            code = F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(code)
-        values[cleanse.taxonomy_switch(slot)] = (
-            F.when(hit, "Y").when(k % 3 == 0, "N").when(k % 3 == 1, "")
+            code = f"if(odd_codes_missing, NULL, {code})"
+        columns[cleanse.taxonomy_switch(slot)] = f"if({chosen}, 'Y', not_chosen)"
+        columns[cleanse.taxonomy_code(slot)] = code
+    return columns
+
+
+def _select(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return rows.selectExpr(*[f"{value} AS {name}" for name, value in columns.items()])
+
+
+class Inputs:
+    """The five inputs over the tables in ``sf_dir``; each table is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def _orders(self) -> DataFrame:
+        return self.table("orders").selectExpr(
+            "*", *[f"{value} AS {name}" for name, value in _SHARED.items()]
+        )
+
+    @cached_property
+    def order_providers(self) -> DataFrame:
+        """The provider columns that need no customer, for rules that use only those."""
+        return _select(self._orders(), _ORDER_COLUMNS | _slot_columns())
+
+    @cached_property
+    def providers(self) -> DataFrame:
+        """All 59 provider columns, normalised names, one row per order."""
+        rows = (
+            self._orders()
+            .join(self.table("customer"), F.expr("o_custkey = c_custkey"))
+            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
         )
-        values[cleanse.taxonomy_code(slot)] = code
-    return values
-
-
-def order_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The provider columns that need no customer, for rules that use only those."""
-    values = _order_values()
-    return table(spark, sf_dir, "orders").select(
-        *[column.alias(name) for name, column in values.items()]
-    )
-
-
-def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 59 provider columns, normalised names, one row per order."""
-    values = _order_values() | {
-        "provider_last_name_legal_name": _unless(F.col("o_orderkey") % 23 == 0, F.col("c_name")),
-        cleanse.PRACTICE_ADDRESS[2]: F.col("n_name"),
-        cleanse.PRACTICE_ADDRESS[3]: F.col("r_name"),
-    }
-    missing = F.lit(None).cast("string")
-    rows = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    return rows.select(*[values.get(name, missing).alias(name) for name in PROVIDER_COLUMNS])
-
-
-def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registry file: original headers, and two columns that no job keeps."""
-    unused = F.lit("unused")
-    return (
-        providers(spark, sf_dir)
-        .toDF(*PROVIDER_HEADERS)
-        .select(unused.alias("Replacement NPI"), "*", unused.alias("Is Sole Proprietor"))
-    )
-
-
-def _counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer with the county it stands for; counties repeat."""
-    number = (F.col("c_custkey") % 1000).cast("int")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "c_custkey",
-            "n_nationkey",
-            number.alias("number"),
-            (F.col("n_nationkey") * 1000 + number).alias("code"),
-            F.concat("n_name", F.lit(" COUNTY "), _text(number)).alias("county_name"),
+        values = _ORDER_COLUMNS | _CUSTOMER_COLUMNS | _slot_columns()
+        return _select(
+            rows, {name: values.get(name, "string(NULL)") for name in PROVIDER_COLUMNS}
         )
-    )
-
-
-def zip_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ZIP to county, one row per customer, copies included."""
-    zip_number = (F.lit(100) + F.col("c_custkey") % 60).cast("int")
-    return _counties(spark, sf_dir).select(
-        zip_number.alias("zip"), F.col("code").alias("county")
-    )
-
-
-def fips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """County code and name, copies included; some counties are not listed."""
-    return (
-        _counties(spark, sf_dir)
-        .where("code % 43 <> 7")
-        .select(F.col("code").alias("fipscounty"), F.col("county_name").alias("countyname_fips"))
-    )
-
-
-def county_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population matrix columns, all text, copies included; some counties are missing."""
-    code = F.col("code")
-    population = (
-        F.when(code % 97 == 8, F.lit(None).cast("bigint"))
-        .when(code % 10 == 1, F.lit(70000).cast("bigint"))
-        .otherwise(code.cast("bigint") * 7919 % 120011)
-    )
-    return (
-        _counties(spark, sf_dir)
-        .where("code % 41 <> 5")
-        .select(
-            F.col("county_name").alias("NAME"),
-            _text(population).alias(POPULATION_VARIABLE),
-            F.lpad(_text(F.col("n_nationkey")), 2, "0").alias("state"),
-            F.lpad(_text(F.col("number")), 3, "0").alias("county"),
+
+    @cached_property
+    def raw_providers(self) -> DataFrame:
+        """The registry file: original headers, and two columns that no job keeps."""
+        return self.providers.toDF(*PROVIDER_HEADERS).selectExpr(
+            "'unused' AS `Replacement NPI`", "*", "'unused' AS `Is Sole Proprietor`"
+        )
+
+    @cached_property
+    def _counties(self) -> DataFrame:
+        """One row per customer with the county it stands for; counties repeat."""
+        return (
+            self.table("customer")
+            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+            .selectExpr("c_custkey", "n_nationkey", "n_name", "int(c_custkey % 1000) AS number")
+            .selectExpr(
+                "*",
+                "n_nationkey * 1000 + number AS code",
+                "concat(n_name, ' COUNTY ', number) AS county_name",
+            )
+        )
+
+    @cached_property
+    def crosswalk(self) -> DataFrame:
+        """ZIP to county, one row per customer, copies included."""
+        return self._counties.selectExpr(
+            "int(100 + c_custkey % 60) AS zip", "code AS county"
         )
-    )
-
-
-def raw_nucc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Taxonomy file: original headers, NULL details, and a second row for some codes."""
-    key = F.col("p_partkey")
-    suffixes = F.when(key % 7 == 0, F.array(F.lit(""), F.lit(" ALT"))).otherwise(
-        F.array(F.lit(""))
-    )
-    return (
-        table(spark, sf_dir, "part")
-        .withColumn("suffix", F.explode(suffixes))
-        .select(
-            _text(key).alias("Code"),
-            F.col("p_brand").alias("Grouping"),
-            F.concat("p_type", "suffix").alias("Classification"),
-            F.when(key % 5 != 0, F.col("p_name")).alias("Specialization"),
-            F.when(key % 6 != 0, F.col("p_size")).alias("Display-Size (No.)"),
+
+    @cached_property
+    def fips(self) -> DataFrame:
+        """County code and name, copies included; some counties are not listed."""
+        return self._counties.where("code % 43 <> 7").selectExpr(
+            "code AS fipscounty", "county_name AS countyname_fips"
         )
-    )
 
+    @cached_property
+    def county_pop(self) -> DataFrame:
+        """Population matrix, all text, copies included; some counties are missing."""
+        population = """
+            CASE WHEN code % 97 = 8 THEN NULL WHEN code % 10 = 1 THEN '70000'
+                 ELSE string(bigint(code) * 7919 % 120011) END"""
+        return self._counties.where("code % 41 <> 5").selectExpr(
+            "county_name AS NAME",
+            f"{population} AS {POPULATION_VARIABLE}",
+            "lpad(string(n_nationkey), 2, '0') AS state",
+            "lpad(string(number), 3, '0') AS county",
+        )
 
-def nucc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Taxonomy list as the CSV reader returns it: NULL text is ``''``."""
-    raw = raw_nucc(spark, sf_dir)
-    return raw.na.fill("").toDF(
-        "code", "grouping", "classification", "specialization", "display_size_no"
-    )
+    @cached_property
+    def raw_nucc(self) -> DataFrame:
+        """Taxonomy file: original headers, NULL details, a second row for some codes."""
+        return (
+            self.table("part")
+            .selectExpr(
+                "*", "explode(if(p_partkey % 7 = 0, array('', ' ALT'), array(''))) AS suffix"
+            )
+            .selectExpr(
+                "string(p_partkey) AS Code",
+                "p_brand AS Grouping",
+                "concat(p_type, suffix) AS Classification",
+                "if(p_partkey % 5 = 0, NULL, p_name) AS Specialization",
+                "if(p_partkey % 6 = 0, NULL, p_size) AS `Display-Size (No.)`",
+            )
+        )
+
+    @cached_property
+    def nucc(self) -> DataFrame:
+        """Taxonomy list as the CSV reader returns it: NULL text is ``''``."""
+        return self.raw_nucc.na.fill("").toDF(
+            "code", "grouping", "classification", "specialization", "display_size_no"
+        )

@@ -12,7 +12,8 @@ from ..operators import enrich, geography, marts, publish, quality, subset
 from ..sources import names, readers
 from ..sources.registry import read_dataset
 from ..sources.schema import POPULATION_HEADERS
-from . import adapter, jobs, storage
+from . import jobs, storage
+from .adapter import Inputs
 
 SAMPLE_ROWS = 1000
 MATRIX_ROWS_PER_DOCUMENT = 500
@@ -22,44 +23,43 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(Inputs(spark, sf_dir))
+
+    QUERIES[function.__name__] = run
     return function
 
 
 # Inputs shared by several queries
 
 
-def _subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subset.provider_subset(adapter.providers(spark, sf_dir))
+def _subset(given: Inputs) -> DataFrame:
+    return subset.provider_subset(given.providers)
 
 
-def _counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _counties(given: Inputs) -> DataFrame:
     return geography.county_population(
-        readers.rename_population(adapter.county_pop(spark, sf_dir)),
-        adapter.fips(spark, sf_dir),
+        readers.rename_population(given.county_pop), given.fips
     )
 
 
-def _zips(spark: SparkSession, sf_dir: str, population_order: str = "text") -> DataFrame:
-    return geography.zip_lookup(
-        adapter.zip_crosswalk(spark, sf_dir), _counties(spark, sf_dir), population_order
-    )
+def _zips(given: Inputs, population_order: str = "text") -> DataFrame:
+    return geography.zip_lookup(given.crosswalk, _counties(given), population_order)
 
 
-def _taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.taxonomy_lookup(adapter.nucc(spark, sf_dir))
+def _taxonomy(given: Inputs) -> DataFrame:
+    return enrich.taxonomy_lookup(given.nucc)
 
 
-def _with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_faults(given: Inputs) -> DataFrame:
     """Provider subset in which some rows come twice and some have no key."""
-    k = F.col("npi") - 1000000000
-    copies = F.when(k % 97 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        subset.provider_subset(adapter.providers(spark, sf_dir))
-        .withColumn("copy", F.explode(copies))
-        .withColumn("npi", F.when(k % 101 != 0, F.col("npi")))
-        .drop("copy")
+        _subset(given)
+        .withColumn("k", F.expr("npi - 1000000000"))
+        .withColumn("copy", F.expr("explode(if(k % 97 = 0, array(1, 2), array(1)))"))
+        .withColumn("npi", F.expr("if(k % 101 = 0, NULL, npi)"))
+        .drop("copy", "k")
     )
 
 
@@ -67,21 +67,21 @@ def _with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.select_providers(adapter.raw_providers(spark, sf_dir))
+def scan_project(given: Inputs) -> DataFrame:
+    return readers.select_providers(given.raw_providers)
 
 
 @query
-def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = storage.fresh_folder(spark, "nucc")
-    publish.export_csv(adapter.raw_nucc(spark, sf_dir), folder)
-    return read_dataset(spark, "nucc", folder)
+def csv_ingest(given: Inputs) -> DataFrame:
+    folder = storage.fresh_folder(given.spark, "nucc")
+    publish.export_csv(given.raw_nucc, folder)
+    return read_dataset(given.spark, "nucc", folder)
 
 
 @query
-def csv_ingest_bad_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = storage.fresh_folder(spark, "zip")
-    rows = adapter.zip_crosswalk(spark, sf_dir)
+def csv_ingest_bad_fields(given: Inputs) -> DataFrame:
+    folder = storage.fresh_folder(given.spark, "zip")
+    rows = given.crosswalk
     county = F.col("county").cast("string")
     publish.export_csv(
         rows.select(
@@ -93,13 +93,13 @@ def csv_ingest_bad_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         folder,
     )
-    return read_dataset(spark, "zip", folder)
+    return read_dataset(given.spark, "zip", folder)
 
 
 @query
-def json_matrix_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_matrix_ingest(given: Inputs) -> DataFrame:
     """Writes one matrix per block of customers, one per line, and reads them back."""
-    folder = storage.fresh_folder(spark, "county_pop")
+    folder = storage.fresh_folder(given.spark, "county_pop")
     block = F.floor(F.col("c_custkey") / MATRIX_ROWS_PER_DOCUMENT)
     number = F.col("c_custkey")
     cells = F.array(
@@ -110,63 +110,59 @@ def json_matrix_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
     (
-        adapter.table(spark, sf_dir, "customer")
+        given.table("customer")
         .groupBy(block.alias("block"))
         .agg(F.collect_list(cells).alias("rows"))
         .select(F.to_json(F.concat(header, "rows")).alias("value"))
         .write.text(folder)
     )
-    return read_dataset(spark, "county_pop", folder)
+    return read_dataset(given.spark, "county_pop", folder)
 
 
 @query
-def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subset.sample_providers(_subset(spark, sf_dir), SAMPLE_ROWS)
+def sample_n(given: Inputs) -> DataFrame:
+    return subset.sample_providers(_subset(given), SAMPLE_ROWS)
 
 
 @query
-def normalise_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return names.normalise_columns(adapter.raw_nucc(spark, sf_dir))
+def normalise_columns(given: Inputs) -> DataFrame:
+    return names.normalise_columns(given.raw_nucc)
 
 
 @query
-def fill_null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.fill_null_text(
-        names.normalise_columns(adapter.raw_nucc(spark, sf_dir))
-    )
+def fill_null_text(given: Inputs) -> DataFrame:
+    return readers.fill_null_text(names.normalise_columns(given.raw_nucc))
 
 
 @query
-def rename_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.rename_population(adapter.county_pop(spark, sf_dir))
+def rename_population(given: Inputs) -> DataFrame:
+    return readers.rename_population(given.county_pop)
 
 
 # Cleansing
 
 
-def _rule(spark: SparkSession, sf_dir: str, name: str, rule, *inputs: str) -> DataFrame:
-    return adapter.order_providers(spark, sf_dir).select("npi", *inputs, rule.alias(name))
+def _rule(given: Inputs, name: str, rule, *inputs: str) -> DataFrame:
+    return given.order_providers.select("npi", *inputs, rule.alias(name))
 
 
 @query
-def blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rule(
-        spark, sf_dir, "credential", cleanse.blank_to_null("provider_credential_text")
-    )
+def blank_to_null(given: Inputs) -> DataFrame:
+    return _rule(given, "credential", cleanse.blank_to_null("provider_credential_text"))
 
 
 @query
-def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.order_providers(spark, sf_dir).select(
+def typed_cast(given: Inputs) -> DataFrame:
+    return given.order_providers.select(
         cleanse.typed_cast("npi", "bigint").alias("npi"),
         cleanse.typed_cast("entity_type_code", "int").alias("entity_type_code"),
     )
 
 
-def _malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _malformed(given: Inputs) -> DataFrame:
     """Order providers of which some have a key or a type that is no number."""
     k = F.col("npi").cast("bigint") - 1000000000
-    rows = adapter.order_providers(spark, sf_dir)
+    rows = given.order_providers
     return rows.withColumns(
         {
             "npi": F.when(k % 89 == 0, F.concat(F.lit("X"), "npi")).otherwise(F.col("npi")),
@@ -178,8 +174,8 @@ def _malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def typed_cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _malformed(spark, sf_dir).select(
+def typed_cast_lenient(given: Inputs) -> DataFrame:
+    return _malformed(given).select(
         F.col("npi").alias("raw_npi"),
         cleanse.typed_cast("npi", "bigint", strict=False).alias("npi"),
         cleanse.typed_cast("entity_type_code", "int", strict=False).alias("entity_type_code"),
@@ -187,77 +183,77 @@ def typed_cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.malformed_rows(_malformed(spark, sf_dir)).select("npi", "entity_type_code")
+def malformed_rows(given: Inputs) -> DataFrame:
+    return quality.malformed_rows(_malformed(given)).select("npi", "entity_type_code")
 
 
 @query
-def entity_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.providers(spark, sf_dir).select("npi", cleanse.entity_name().alias("entity_name"))
+def entity_name(given: Inputs) -> DataFrame:
+    return given.providers.select("npi", cleanse.entity_name().alias("entity_name"))
 
 
 @query
-def entity_name_full_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.providers(spark, sf_dir).select(
+def entity_name_full_fallback(given: Inputs) -> DataFrame:
+    return given.providers.select(
         "npi", cleanse.entity_name("full").alias("entity_name")
     )
 
 
 @query
-def practice_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.providers(spark, sf_dir).select(
+def practice_address(given: Inputs) -> DataFrame:
+    return given.providers.select(
         "npi", cleanse.practice_address().alias("practice_address")
     )
 
 
 @query
-def zip_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rule(spark, sf_dir, "zip_code", cleanse.zip_code(), cleanse.POSTAL_CODE)
+def zip_normalise(given: Inputs) -> DataFrame:
+    return _rule(given, "zip_code", cleanse.zip_code(), cleanse.POSTAL_CODE)
 
 
 @query
-def primary_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rule(spark, sf_dir, "primary_taxonomy_code", cleanse.primary_taxonomy())
+def primary_taxonomy(given: Inputs) -> DataFrame:
+    return _rule(given, "primary_taxonomy_code", cleanse.primary_taxonomy())
 
 
 @query
-def provider_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _subset(spark, sf_dir)
+def provider_subset(given: Inputs) -> DataFrame:
+    return _subset(given)
 
 
 # Geography
 
 
 @query
-def county_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counties(spark, sf_dir)
+def county_population(given: Inputs) -> DataFrame:
+    return _counties(given)
 
 
 @query
-def zip_county_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zip_county_rank(given: Inputs) -> DataFrame:
     return geography.zip_county_rank(
-        adapter.zip_crosswalk(spark, sf_dir), _counties(spark, sf_dir)
+        given.crosswalk, _counties(given)
     )
 
 
 @query
-def zip_county_rank_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zip_county_rank_numeric(given: Inputs) -> DataFrame:
     return geography.zip_county_rank(
-        adapter.zip_crosswalk(spark, sf_dir), _counties(spark, sf_dir), "numeric"
+        given.crosswalk, _counties(given), "numeric"
     )
 
 
 @query
-def zip_primary_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zip_primary_county(given: Inputs) -> DataFrame:
     return geography.zip_primary_county(
-        adapter.zip_crosswalk(spark, sf_dir), _counties(spark, sf_dir)
+        given.crosswalk, _counties(given)
     )
 
 
 @query
-def zip_primary_county_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zip_primary_county_numeric(given: Inputs) -> DataFrame:
     return geography.zip_primary_county(
-        adapter.zip_crosswalk(spark, sf_dir), _counties(spark, sf_dir), "numeric"
+        given.crosswalk, _counties(given), "numeric"
     )
 
 
@@ -265,70 +261,70 @@ def zip_primary_county_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def provider_county(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.with_county(_subset(spark, sf_dir), _zips(spark, sf_dir)).select(
+def provider_county(given: Inputs) -> DataFrame:
+    return enrich.with_county(_subset(given), _zips(given)).select(
         "npi", "zip_code", "fipscounty", "county_name"
     )
 
 
 @query
-def provider_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enrich.with_taxonomy(_subset(spark, sf_dir), _taxonomy(spark, sf_dir))
+def provider_taxonomy(given: Inputs) -> DataFrame:
+    rows = enrich.with_taxonomy(_subset(given), _taxonomy(given))
     return rows.select(
         "npi", "primary_taxonomy_code", "classification", "grouping", "specialization"
     )
 
 
 @query
-def view_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_county(given: Inputs) -> DataFrame:
     return enrich.view_county(
-        _subset(spark, sf_dir), _zips(spark, sf_dir), _taxonomy(spark, sf_dir)
+        _subset(given), _zips(given), _taxonomy(given)
     )
 
 
 @query
-def view_county_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_county_numeric(given: Inputs) -> DataFrame:
     return enrich.view_county(
-        _subset(spark, sf_dir), _zips(spark, sf_dir, "numeric"), _taxonomy(spark, sf_dir)
+        _subset(given), _zips(given, "numeric"), _taxonomy(given)
     )
 
 
 @query
-def view_county_late_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_county_late_dedup(given: Inputs) -> DataFrame:
     return enrich.view_county_late_dedup(
-        _subset(spark, sf_dir), _zips(spark, sf_dir), adapter.nucc(spark, sf_dir)
+        _subset(given), _zips(given), given.nucc
     )
 
 
 @query
-def provider_county_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+def provider_county_full(given: Inputs) -> DataFrame:
     return enrich.provider_county_full(
-        _subset(spark, sf_dir), _zips(spark, sf_dir), _taxonomy(spark, sf_dir)
+        _subset(given), _zips(given), _taxonomy(given)
     )
 
 
 @query
-def view_sample_1000(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_sample_1000(given: Inputs) -> DataFrame:
     # The view has one row per provider, so the first providers are enriched alone.
     return enrich.view_county(
-        subset.first_by_key(_subset(spark, sf_dir), SAMPLE_ROWS),
-        _zips(spark, sf_dir),
-        _taxonomy(spark, sf_dir),
+        subset.first_by_key(_subset(given), SAMPLE_ROWS),
+        _zips(given),
+        _taxonomy(given),
     )
 
 
 @query
-def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_sql(given: Inputs) -> DataFrame:
     """A stakeholder's SQL over the registered view."""
     jobs.register_views(
-        spark,
-        providers=adapter.providers(spark, sf_dir),
-        crosswalk=adapter.zip_crosswalk(spark, sf_dir),
-        fips=adapter.fips(spark, sf_dir),
-        county_pop=readers.rename_population(adapter.county_pop(spark, sf_dir)),
-        nucc=adapter.nucc(spark, sf_dir),
+        given.spark,
+        providers=given.providers,
+        crosswalk=given.crosswalk,
+        fips=given.fips,
+        county_pop=readers.rename_population(given.county_pop),
+        nucc=given.nucc,
     )
-    return spark.sql(
+    return given.spark.sql(
         """
         SELECT county_name, classification, entity_type_code, count(*) AS provider_count
         FROM view_county
@@ -342,21 +338,21 @@ def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def county_provider_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def county_provider_counts(given: Inputs) -> DataFrame:
     return marts.county_provider_counts(
-        enrich.with_county(_subset(spark, sf_dir), _zips(spark, sf_dir))
+        enrich.with_county(_subset(given), _zips(given))
     )
 
 
 @query
-def county_specialty_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.county_specialty_distribution(view_county(spark, sf_dir))
+def county_specialty_distribution(given: Inputs) -> DataFrame:
+    return marts.county_specialty_distribution(view_county(given))
 
 
 @query
-def providers_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
+def providers_per_capita(given: Inputs) -> DataFrame:
     return marts.providers_per_capita(
-        enrich.with_county(_subset(spark, sf_dir), _zips(spark, sf_dir))
+        enrich.with_county(_subset(given), _zips(given))
     )
 
 
@@ -364,24 +360,24 @@ def providers_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def view_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_count(view_county(spark, sf_dir))
+def view_row_count(given: Inputs) -> DataFrame:
+    return quality.row_count(view_county(given))
 
 
 @query
-def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_keys(_with_faults(spark, sf_dir))
+def duplicate_keys(given: Inputs) -> DataFrame:
+    return quality.duplicate_keys(_with_faults(given))
 
 
 @query
-def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.key_violations(_with_faults(spark, sf_dir))
+def key_violations(given: Inputs) -> DataFrame:
+    return quality.key_violations(_with_faults(given))
 
 
 @query
-def missing_county_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def missing_county_rate(given: Inputs) -> DataFrame:
     return quality.missing_county_rate(
-        enrich.with_county(_subset(spark, sf_dir), _zips(spark, sf_dir))
+        enrich.with_county(_subset(given), _zips(given))
     )
 
 
@@ -389,45 +385,45 @@ def missing_county_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_replace(given: Inputs) -> DataFrame:
     """Replaces a table by a result that reads the table itself."""
-    root = storage.fresh_folder(spark, "tables")
+    root = storage.fresh_folder(given.spark, "tables")
     name = "default.provider_subset_copy"
-    first = publish.replace_table(_subset(spark, sf_dir), name, root)
+    first = publish.replace_table(_subset(given), name, root)
     cleaned = first.withColumn("zip_code", F.coalesce("zip_code", F.lit("00000")))
     return publish.replace_table(cleaned, name, root)
 
 
 @query
-def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_export(given: Inputs) -> DataFrame:
     """The whole view as CSV, read back as lines of text without the headers."""
-    folder = storage.fresh_folder(spark, "export")
+    folder = storage.fresh_folder(given.spark, "export")
     marked = F.when(F.col("npi") % 5 == 0, F.concat("practice_address", F.lit(', "REAR" ')))
-    view = view_county(spark, sf_dir).withColumn(
+    view = view_county(given).withColumn(
         "practice_address", F.coalesce(marked, "practice_address")
     )
     publish.export_csv(view, folder)
-    return spark.read.text(folder).where(F.col("value") != ",".join(view.columns)).select(
+    return given.spark.read.text(folder).where(F.col("value") != ",".join(view.columns)).select(
         F.col("value").alias("line")
     )
 
 
 @query
-def load_and_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_and_build(given: Inputs) -> DataFrame:
     """Lands all five inputs as files, loads them, builds, and returns the view."""
-    landing = storage.fresh_folder(spark, "landing")
+    landing = storage.fresh_folder(given.spark, "landing")
     sources = {
         name: f"{landing}/{name}" for name in ("nppes", "nucc", "fips", "zip", "county_pop")
     }
-    adapter.raw_providers(spark, sf_dir).write.parquet(sources["nppes"])
-    publish.export_csv(adapter.raw_nucc(spark, sf_dir), sources["nucc"])
-    publish.export_csv(adapter.fips(spark, sf_dir), sources["fips"])
-    publish.export_csv(adapter.zip_crosswalk(spark, sf_dir), sources["zip"])
+    given.raw_providers.write.parquet(sources["nppes"])
+    publish.export_csv(given.raw_nucc, sources["nucc"])
+    publish.export_csv(given.fips, sources["fips"])
+    publish.export_csv(given.crosswalk, sources["zip"])
     header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
     row = F.array(F.array(*POPULATION_HEADERS))
     # One matrix of one row per line, as many answers of the service in one folder.
-    adapter.county_pop(spark, sf_dir).select(
+    given.county_pop.select(
         F.to_json(F.concat(header, row)).alias("value")
     ).write.text(sources["county_pop"])
-    workspace = jobs.Workspace(storage.fresh_folder(spark, "workspace"))
-    return jobs.run(spark, sources, workspace, export_path=f"{landing}/result")
+    workspace = jobs.Workspace(storage.fresh_folder(given.spark, "workspace"))
+    return jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
