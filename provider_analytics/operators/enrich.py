@@ -17,6 +17,10 @@ VIEW_COLUMNS = [
 ]
 
 
+# Number of groups among which providers without a taxonomy code are shared out.
+NULL_KEY_SPREAD = 4096
+
+
 def taxonomy_lookup(nucc: DataFrame) -> DataFrame:
     """One row per code, so that joining it cannot multiply providers.
 
@@ -47,12 +51,27 @@ def with_taxonomy(providers: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
     Nothing bounds the length of this list, so there is no broadcast hint. Spark
     broadcasts it when its size is under ``spark.sql.autoBroadcastJoinThreshold``
-    and shuffles both sides otherwise; adaptive execution then splits the
-    partition of a code, or of the missing code, that many providers share.
+    and shuffles both sides otherwise. The second key serves that case: it spreads
+    the providers without a code, which match nothing, over many partitions, and
+    it has the list shuffled for the join itself, as adaptive execution requires
+    before it splits the partition of a code that many providers share.
     """
-    return providers.join(
-        taxonomy, F.col("primary_taxonomy_code") == F.col("code"), "left"
-    ).drop("code")
+    row_spread = F.when(
+        F.col("primary_taxonomy_code").isNull(),
+        F.pmod(F.xxhash64("npi"), F.lit(NULL_KEY_SPREAD)) + 1,
+    ).otherwise(F.lit(0).cast("bigint"))
+    # Always 0. A literal would be folded into the join and the key be lost.
+    code_spread = F.pmod(F.xxhash64("code"), F.lit(1).cast("bigint"))
+    return (
+        providers.withColumn("row_spread", row_spread)
+        .join(
+            taxonomy.withColumn("code_spread", code_spread),
+            (F.col("primary_taxonomy_code") == F.col("code"))
+            & (F.col("row_spread") == F.col("code_spread")),
+            "left",
+        )
+        .drop("code", "row_spread", "code_spread")
+    )
 
 
 def provider_county_full(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleanse import blank_to_null
@@ -35,16 +35,19 @@ def key_violations(df: DataFrame, key: str = "npi") -> DataFrame:
     )
 
 
-def malformed_rows(providers: DataFrame) -> DataFrame:
-    """Raw rows whose key or entity type is neither blank nor an integer."""
+def is_malformed() -> Column:
+    """True for a raw row whose key or entity type is neither blank nor an integer."""
 
-    def malformed(name: str, type_name: str):
+    def malformed(name: str, type_name: str) -> Column:
         text = blank_to_null(name)
         return text.isNotNull() & text.try_cast(type_name).isNull()
 
-    return providers.where(
-        malformed("npi", "bigint") | malformed("entity_type_code", "int")
-    )
+    return malformed("npi", "bigint") | malformed("entity_type_code", "int")
+
+
+def malformed_rows(providers: DataFrame) -> DataFrame:
+    """The raw rows a strict provider subset would stop at."""
+    return providers.where(is_malformed())
 
 
 def missing_county_rate(providers: DataFrame) -> DataFrame:

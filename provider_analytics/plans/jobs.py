@@ -44,12 +44,16 @@ def build(
     name_fallback: str = "person",
     expected_rows: int | None = None,
     export_path: str | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Derive the provider subset, the ZIP counties and the provider view.
 
     Each step reads the written files of the one before, so a lost executor costs
-    its own tasks only. The three tables are replaced together after the checks
-    have passed, and the extract is written last.
+    its own tasks only. The tables are replaced together after the checks have
+    passed, and the extract is written last.
+
+    A malformed row stops the job; with ``quarantine`` it goes to the table
+    ``nppes_malformed`` and the others are used.
     """
 
     def loaded(name: str) -> DataFrame:
@@ -61,9 +65,12 @@ def build(
         written[name] = publish.write_files(df, workspace.table(name), workspace.root)
         return spark.read.parquet(written[name])
 
+    raw = loaded("nppes")
+    if quarantine:
+        write("nppes_malformed", quality.malformed_rows(raw))
+        raw = raw.where(~quality.is_malformed())
     providers = write(
-        "nppes_subset",
-        subset.provider_subset(loaded("nppes"), name_fallback=name_fallback),
+        "nppes_subset", subset.provider_subset(raw, name_fallback=name_fallback)
     )
     quality.require_valid_keys(providers)
     if expected_rows is not None:

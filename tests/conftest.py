@@ -8,17 +8,18 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
+from provider_analytics.session import configure  # noqa: E402
+
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"))
         .appName("provider_analytics tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

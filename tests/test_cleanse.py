@@ -1,0 +1,162 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from provider_analytics.functions import cleanse
+from provider_analytics.operators.subset import first_by_key, provider_subset, sample_providers
+from provider_analytics.sources.schema import PROVIDER_COLUMNS, SUBSET_SCHEMA
+
+
+def provider_rows(spark, *rows):
+    schema = ", ".join(f"{name} string" for name in PROVIDER_COLUMNS)
+    return spark.createDataFrame(
+        [tuple(row.get(name) for name in PROVIDER_COLUMNS) for row in rows], schema
+    )
+
+
+def apply(spark, rule, *rows):
+    return [r.x for r in provider_rows(spark, *rows).select(rule.alias("x")).collect()]
+
+
+@pytest.mark.parametrize(
+    "postal, expected",
+    [
+        ("", None),
+        (None, None),
+        ("2101", "02101"),
+        ("02101", "02101"),
+        ("123456", "12345"),
+        ("21011234", "21011"),
+        ("021011234", "02101"),
+        ("02101-1234", None),
+        ("K1A 0B1", "K1A 0"),
+        ("  ", "000  "),
+        ("7", "00007"),
+    ],
+)
+def test_zip_code(spark, postal, expected):
+    assert apply(spark, cleanse.zip_code(), {cleanse.POSTAL_CODE: postal}) == [expected]
+
+
+NOBODY = dict.fromkeys([cleanse.ORGANISATION, *cleanse.PERSON], "")
+
+
+@pytest.mark.parametrize(
+    "row, person, full",
+    [
+        (NOBODY | {cleanse.OTHER_ORGANISATION: "ALT"}, "", "ALT"),
+        (
+            {
+                "provider_first_name": "ANN",
+                "provider_last_name_legal_name": "LEE",
+                "provider_credential_text": "MD",
+            },
+            "ANN LEE MD",
+            "ANN LEE MD",
+        ),
+        (
+            {
+                "provider_name_prefix_text": "DR.",
+                "provider_first_name": "ANN",
+                "provider_middle_name": "B",
+                "provider_last_name_legal_name": "LEE",
+                "provider_name_suffix_text": "JR.",
+                "provider_credential_text": "MD",
+            },
+            "DR. ANN B LEE JR. MD",
+            "DR. ANN B LEE JR. MD",
+        ),
+        ({cleanse.ORGANISATION: "CLINIC", "provider_first_name": "ANN"}, "CLINIC", "CLINIC"),
+        ({cleanse.ORGANISATION: " "}, " ", " "),
+        ({"provider_other_last_name": "DOE", "provider_other_first_name": "JO"}, "", "JO DOE"),
+        ({}, "", None),
+    ],
+)
+def test_entity_name(spark, row, person, full):
+    assert apply(spark, cleanse.entity_name(), row) == [person]
+    assert apply(spark, cleanse.entity_name("full"), row) == [full]
+
+
+def test_entity_name_rejects_unknown_fallback():
+    with pytest.raises(ValueError):
+        cleanse.entity_name("other")
+
+
+def test_practice_address(spark):
+    first, second, city, state = cleanse.PRACTICE_ADDRESS
+    found = apply(
+        spark,
+        cleanse.practice_address(),
+        {first: "1 MAIN ST", second: "", city: "BOSTON", state: "MA"},
+        {first: "1 MAIN ST", second: "STE 1", city: None, state: "MA"},
+        {},
+    )
+    assert found == ["1 MAIN ST BOSTON MA", "1 MAIN ST STE 1 MA", ""]
+
+
+def slots(switches, codes):
+    row = {}
+    for number, (switch, code) in enumerate(zip(switches, codes), start=1):
+        row[cleanse.taxonomy_switch(number)] = switch
+        row[cleanse.taxonomy_code(number)] = code
+    return row
+
+
+@pytest.mark.parametrize(
+    "switches, codes, expected",
+    [
+        ("NYY", ["a", None, "c"], "c"),
+        ("NYY", ["a", "", "c"], ""),
+        ("NNN", ["a", "b", "c"], None),
+        ("Nyn", ["a", "b", "c"], None),
+        ("YYY", ["a", "b", "c"], "a"),
+        ([None, "Y"], ["a", "b"], "b"),
+        ("N" * 14 + "Y", [str(i) for i in range(15)], "14"),
+    ],
+)
+def test_primary_taxonomy(spark, switches, codes, expected):
+    assert apply(spark, cleanse.primary_taxonomy(), slots(switches, codes)) == [expected]
+
+
+def test_blank_to_null_keeps_white_space(spark):
+    df = spark.createDataFrame([("",), (" ",), (None,), ("a",)], "v string")
+    assert [r.x for r in df.select(cleanse.blank_to_null("v").alias("x")).collect()] == [
+        None,
+        " ",
+        None,
+        "a",
+    ]
+
+
+def test_typed_cast(spark):
+    df = spark.createDataFrame([("",), ("12",), (None,)], "v string")
+    assert [r.x for r in df.select(cleanse.typed_cast("v", "int").alias("x")).collect()] == [
+        None,
+        12,
+        None,
+    ]
+    bad = spark.createDataFrame([("abc",)], "v string")
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        bad.select(cleanse.typed_cast("v", "int")).collect()
+    lenient = cleanse.typed_cast("v", "int", strict=False).alias("x")
+    assert bad.select(lenient).collect()[0].x is None
+
+
+def test_provider_subset_shape(spark):
+    df = provider_subset(provider_rows(spark, {"npi": "1"}, {"npi": "2"}))
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in SUBSET_SCHEMA
+    ]
+    assert df.count() == 2
+
+
+def test_top_rows_are_repeatable(spark):
+    df = spark.range(5000).withColumnRenamed("id", "npi")
+    expected = sorted(range(5000))[:10]
+    assert [r.npi for r in first_by_key(df.repartition(7), 10).collect()] == expected
+    once = [r.npi for r in sample_providers(df.repartition(3), 20).collect()]
+    again = [r.npi for r in sample_providers(df.repartition(11), 20).collect()]
+    assert once == again and len(set(once)) == 20
+    assert once == [
+        r.npi for r in df.orderBy(F.md5(F.col("npi").cast("string"))).limit(20).collect()
+    ]

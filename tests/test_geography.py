@@ -1,0 +1,133 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from provider_analytics.operators import geography
+
+POP = "NAME string, population string, state string, county string"
+FIPS = "fipscounty int, countyname_fips string"
+ZIP = "zip int, county int"
+COUNTIES = "fipscounty int, countyname_fips string, population string"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_county_population_joins_padded_codes(spark):
+    pop = spark.createDataFrame(
+        [
+            ("A", "5", "01", "001"),
+            ("A", "5", "01", "001"),
+            ("B", None, "02", "001"),
+            ("no name", "9", "03", "001"),
+            ("null key", "9", None, "001"),
+        ],
+        POP,
+    )
+    fips = spark.createDataFrame(
+        [(1001, "a"), (1001, "a"), (1001, "a2"), (2001, "b"), (4001, "no population"), (None, "x")],
+        FIPS,
+    )
+    assert rows(geography.county_population(pop, fips)) == rows(
+        spark.createDataFrame([(1001, "a", "5"), (1001, "a2", "5"), (2001, "b", None)], COUNTIES)
+    )
+
+
+def three_counties(spark):
+    crosswalk = spark.createDataFrame([(501, 1), (501, 2), (501, 3), (501, 9)], ZIP)
+    counties = spark.createDataFrame(
+        [(1, "a", "99999"), (2, "b", "1000000"), (3, "c", None)], COUNTIES
+    )
+    return crosswalk, counties
+
+
+def test_rank_compares_text_and_puts_null_first(spark):
+    crosswalk, counties = three_counties(spark)
+    ranks = {r.county: r["rank"] for r in geography.zip_county_rank(crosswalk, counties).collect()}
+    assert ranks == {1: 2, 2: 3, 3: 1}
+    numeric = geography.zip_county_rank(crosswalk, counties, "numeric").collect()
+    assert {r.county: r["rank"] for r in numeric} == {1: 2, 2: 1, 3: 3}
+
+
+def test_primary_county_in_both_orders(spark):
+    crosswalk, counties = three_counties(spark)
+    assert geography.zip_primary_county(crosswalk, counties).first().county == 3
+    assert geography.zip_primary_county(crosswalk, counties, "numeric").first().county == 2
+    with pytest.raises(ValueError):
+        geography.zip_primary_county(crosswalk, counties, "size")
+
+
+def test_ties_go_to_lowest_county_then_name(spark):
+    crosswalk = spark.createDataFrame([(7, 3), (7, 2), (7, 2)], ZIP)
+    counties = spark.createDataFrame([(3, "a", "5"), (2, "z", "5"), (2, "b", "5")], COUNTIES)
+    winner = geography.zip_primary_county(crosswalk, counties).collect()
+    assert [(r.county, r.countyname_fips) for r in winner] == [(2, "b")]
+
+
+def test_lookup_merges_zip_numbers_with_one_key(spark):
+    crosswalk = spark.createDataFrame([(21011, 1), (210115, 2), (501, 1), (None, 1)], ZIP)
+    counties = spark.createDataFrame([(1, "a", "5"), (2, "b", "7")], COUNTIES)
+    found = {r.zip_code: r.county_name for r in geography.zip_lookup(crosswalk, counties).collect()}
+    assert found == {"21011": "b", "00501": "a"}
+    assert rows(geography.zip_primary_county(crosswalk, counties).select("zip")) == rows(
+        spark.createDataFrame([(21011,), (210115,), (501,), (None,)], "zip int")
+    )
+
+
+def brute_force_ranks(crosswalk, counties, key):
+    joined = [(z, c, n, p) for z, c in crosswalk for f, n, p in counties if c == f]
+    return sorted(
+        (
+            (z, c, n, p, 1 + sum(key(q) > key(p) for y, _, _, q in joined if y == z))
+            for z, c, n, p in joined
+        ),
+        key=str,
+    )
+
+
+def text_key(population):
+    return (population is None, population or "")
+
+
+def numeric_key(population):
+    return -1 if population is None else int(population)
+
+
+@pytest.mark.parametrize("order, key", [("text", text_key), ("numeric", numeric_key)])
+@pytest.mark.parametrize("seed", range(3))
+def test_ranks_and_winners_against_brute_force(spark, order, key, seed):
+    draw = random.Random(seed)
+    counties = [
+        (code, f"{name}{code}", draw.choice([None, "9", "10", "100", "99", "9"]))
+        for code in range(8)
+        for name in draw.sample("abc", draw.randint(1, 2))
+    ]
+    crosswalk = [(draw.choice([None, 1, 2, 3]), draw.randrange(10)) for _ in range(60)]
+    crosswalk += [(1, 3)] * 40
+    zip_df = spark.createDataFrame(crosswalk, ZIP).repartition(4)
+    county_df = spark.createDataFrame(counties, COUNTIES)
+
+    ranked = geography.zip_county_rank(zip_df, county_df, order)
+    expected = brute_force_ranks(crosswalk, counties, key)
+    assert rows(ranked) == expected
+
+    winners = geography.zip_primary_county(zip_df, county_df, order).collect()
+    assert len({w.zip for w in winners}) == len(winners) == len({e[0] for e in expected})
+    first = {(e[0], e[1], e[2], e[3]) for e in expected if e[4] == 1}
+    assert {tuple(w) for w in winners} <= first
+
+
+def test_hot_zip_is_reduced_before_the_shuffle(spark):
+    """Copies of one crosswalk row, a third of all rows, leave few shuffled rows."""
+    hot = spark.range(30000, numPartitions=6).select(
+        F.lit(1).alias("zip"), F.lit(5).alias("county")
+    )
+    rest = spark.range(60000, numPartitions=6).selectExpr(
+        "int(id % 50 + 2) AS zip", "int(id % 7) AS county"
+    )
+    counties = spark.createDataFrame([(i, f"c{i}", str(i)) for i in range(7)], COUNTIES)
+    ranked = geography.zip_county_rank(hot.union(rest), counties)
+    assert ranked.count() == 90000
+    assert ranked.where("zip = 1").select("rank").distinct().collect() == [(1,)]

@@ -1,0 +1,70 @@
+import csv
+import glob
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from provider_analytics.operators import publish, quality
+from provider_analytics.operators.quality import QualityError
+
+
+def test_replace_table_may_read_itself(spark, tmp_path):
+    root = str(tmp_path / "it's here")
+    name = "default.replaced"
+    publish.replace_table(spark.range(5).toDF("n"), name, root)
+    table = publish.replace_table(spark.table(name).select((F.col("n") * 2).alias("n")), name, root)
+    assert sorted(r.n for r in table.collect()) == [0, 2, 4, 6, 8]
+    changed = publish.replace_table(table.withColumn("m", F.lit("x")), name, root)
+    assert changed.columns == ["n", "m"] and changed.count() == 5
+
+
+def test_replace_table_takes_an_empty_result(spark, tmp_path):
+    name = "default.emptied"
+    publish.replace_table(spark.range(5).toDF("n"), name, str(tmp_path))
+    assert publish.replace_table(spark.table(name).where("n < 0"), name, str(tmp_path)).count() == 0
+
+
+def test_failed_write_leaves_the_table(spark, tmp_path):
+    name = "default.kept"
+    publish.replace_table(spark.range(5).toDF("n"), name, str(tmp_path))
+    broken = spark.range(3).select(
+        F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("n")
+    )
+    with pytest.raises(PySparkException):
+        publish.replace_table(broken, name, str(tmp_path))
+    assert spark.table(name).count() == 5
+
+
+def test_csv_export_format(spark, tmp_path):
+    rows = [
+        (1, None, "plain"),
+        (2, "", " spaces kept "),
+        (3, 'say "hi"', "a,b"),
+        (4, "back\\slash", "x"),
+    ]
+    path = str(tmp_path / "out")
+    publish.export_csv(spark.createDataFrame(rows, "n int, a string, b string").coalesce(1), path)
+    [name] = glob.glob(f"{path}/*.csv")
+    text = open(name, newline="").read()
+    assert text.splitlines() == [
+        "n,a,b",
+        "1,,plain",
+        "2,, spaces kept ",
+        '3,"say ""hi""","a,b"',
+        "4,back\\slash,x",
+    ]
+    assert list(csv.reader(text.splitlines()))[3] == ["3", 'say "hi"', "a,b"]
+
+
+def test_key_checks(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,), (None,)], "npi bigint")
+    found = {tuple(r) for r in quality.key_violations(df).collect()}
+    assert found == {(2, "repeated", 2), (None, "missing", 2)}
+    assert {tuple(r) for r in quality.duplicate_keys(df).collect()} == {(2, 2), (None, 2)}
+    with pytest.raises(QualityError):
+        quality.require_valid_keys(df)
+    quality.require_valid_keys(df.where("npi = 1"))
+    quality.require_row_count(df, 5)
+    with pytest.raises(QualityError, match="expected 100000 rows, found 5"):
+        quality.require_row_count(df, 100_000)
