@@ -56,6 +56,9 @@ def build(
     ``nppes_malformed`` and the others are used.
     """
 
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("spark.sql.ansi.enabled is off: malformed values would pass as NULL")
+
     def loaded(name: str) -> DataFrame:
         return spark.table(workspace.table(name))
 

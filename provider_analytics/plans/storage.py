@@ -31,3 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new name in the shared folder; nothing is created."""
     return f"{shared_folder(spark)}/provider-analytics/{label}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _database_name() -> str:
+    return f"provider_analytics_{uuid.uuid4().hex}"
+
+
+def own_database(spark: SparkSession) -> str:
+    """A database of this process in the shared folder, apart from anyone's tables."""
+    name = _database_name()
+    folder = f"{shared_folder(spark)}/provider-analytics/{name}".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
+    return name

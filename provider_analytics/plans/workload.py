@@ -388,7 +388,7 @@ def missing_county_rate(given: Inputs) -> DataFrame:
 def table_replace(given: Inputs) -> DataFrame:
     """Replaces a table by a result that reads the table itself."""
     root = storage.fresh_folder(given.spark, "tables")
-    name = "default.provider_subset_copy"
+    name = f"{storage.own_database(given.spark)}.provider_subset_copy"
     first = publish.replace_table(_subset(given), name, root)
     cleaned = first.withColumn("zip_code", F.coalesce("zip_code", F.lit("00000")))
     return publish.replace_table(cleaned, name, root)
@@ -425,5 +425,7 @@ def load_and_build(given: Inputs) -> DataFrame:
     given.county_pop.select(
         F.to_json(F.concat(header, row)).alias("value")
     ).write.text(sources["county_pop"])
-    workspace = jobs.Workspace(storage.fresh_folder(given.spark, "workspace"))
+    workspace = jobs.Workspace(
+        storage.fresh_folder(given.spark, "workspace"), storage.own_database(given.spark)
+    )
     return jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
