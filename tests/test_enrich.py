@@ -77,7 +77,11 @@ def test_marts(small):
     totals = shares.groupBy("county_name").agg(
         F.sum("provider_count").alias("n"), F.round(F.sum("county_share"), 9).alias("share")
     )
-    assert {tuple(r) for r in totals.collect()} == {("ONE", 2, 1.0), ("TWO", 1, 1.0), (None, 2, 1.0)}
+    assert {tuple(r) for r in totals.collect()} == {
+        ("ONE", 2, 1.0),
+        ("TWO", 1, 1.0),
+        (None, 2, 1.0),
+    }
 
 
 def test_hot_codes_are_split_when_the_list_is_too_large_to_broadcast(spark):

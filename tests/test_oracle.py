@@ -1,47 +1,56 @@
 """Every registered query against its SQL on DuckDB, whole tables."""
 
-from collections import Counter
-
-import duckdb
 import pytest
-
-import __spark_entry__ as contract
-
-TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from oracle_check import ORACLE, QUERIES, assert_matches, connect
+
+JOINS = [
+    "county_population",
+    "zip_county_rank",
+    "zip_primary_county",
+    "provider_county",
+    "provider_taxonomy",
+    "provider_county_full",
+    "view_sql",
+    "county_specialty_distribution",
+    "providers_per_capita",
+]
+
+# The plans of tables beyond every broadcast limit.
+SHUFFLES_ONLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "23",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
-    connection = duckdb.connect()
-    for name in TABLES:
-        connection.execute(
-            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
-        )
-    return connection
+    return connect(sf_dir)
 
 
-def test_every_query_has_an_oracle():
-    assert QUERIES.keys() == ORACLE.keys()
+@pytest.fixture
+def shuffles_only(spark):
+    before = {name: spark.conf.get(name, None) for name in SHUFFLES_ONLY}
+    for name, value in SHUFFLES_ONLY.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
 
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+def test_every_query_has_an_oracle():
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_matches_oracle(name, spark, duck, sf_dir):
-    df = QUERIES[name](spark, sf_dir)
-    columns = sorted(df.columns)
-    found = Counter(tuple(row) for row in df.select(*columns).collect())
-
-    answer = duck.execute(ORACLE[name])
-    described = {d[0]: str(d[1]) for d in answer.description}
-    assert {c: TYPES[t] for c, t in df.dtypes} == described
-    rows = answer.fetchall()
-    order = [list(described).index(c) for c in columns]
-    expected = Counter(tuple(row[i] for i in order) for row in rows)
-
-    assert sum(found.values()) == sum(expected.values())
-    assert sum(found.values()) > 0
-    assert found == expected
+    assert_matches(name, spark, duck, sf_dir)
+
+
+@pytest.mark.parametrize("name", JOINS)
+def test_matches_oracle_with_shuffle_joins(name, spark, duck, sf_dir, shuffles_only):
+    assert_matches(name, spark, duck, sf_dir)

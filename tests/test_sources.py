@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -51,7 +52,8 @@ def test_provider_scan_projects_and_renames(spark, tmp_path):
 
 
 def test_provider_scan_reads_used_columns_only(spark, tmp_path, capsys):
-    df = read_dataset(spark, "nppes", wide_file(spark, tmp_path)).select("npi", "provider_first_name")
+    df = read_dataset(spark, "nppes", wide_file(spark, tmp_path))
+    df = df.select("npi", "provider_first_name")
     df.explain("formatted")
     plan = capsys.readouterr().out
     assert "ReadSchema: struct<NPI:string,Provider First Name:string>" in plan
@@ -137,6 +139,28 @@ def test_json_matrix_any_layout(spark, tmp_path, content):
     assert sorted(map(tuple, df.collect()), key=str) == sorted(ROWS, key=str)
 
 
+def test_json_matrix_takes_any_text(spark, tmp_path):
+    draw = random.Random(7)
+    alphabet = '[]{}",\\ \n\r\t:aé\u2028'
+
+    def cell():
+        text = "".join(draw.choice(alphabet) for _ in range(draw.randrange(6)))
+        return draw.choice([text, text, None])
+
+    rows = [[cell(), cell(), cell()] for _ in range(600)]
+    header = ["NAME", "[a]", "b]]"]
+    blocks = [[header, *rows[start : start + 7]] for start in range(0, len(rows), 7)]
+    one_line = "\n".join(json.dumps(block) for block in blocks)
+    row_per_line = "\n".join(
+        "[" + ",\n".join(json.dumps(row) for row in block) + "]" for block in blocks
+    )
+    expected = sorted(map(tuple, rows), key=str)
+    for name, content in [("one_line", one_line), ("row_per_line", row_per_line)]:
+        df = readers.read_json_matrix(spark, text_file(tmp_path, name, content))
+        assert df.columns == header
+        assert sorted(map(tuple, df.collect()), key=str) == expected
+
+
 def test_json_matrix_numbers_become_text(spark, tmp_path):
     path = text_file(tmp_path, "pop.json", '[["NAME","B01001_001E"],["A",5],["B",null]]')
     assert [tuple(r) for r in readers.read_json_matrix(spark, path).collect()] == [
