@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .names import normalise_columns
@@ -60,8 +60,32 @@ def read_reference_csv(
     return fill_null_text(typed)
 
 
-def _matrix_rows(text: Column) -> Column:
-    return F.from_json(text, "array<array<string>>")
+def _matrix_lines(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Pieces of JSON matrices, each made a matrix of its own.
+
+    ``opens`` and ``closes`` tell whether a matrix begins or ends in the piece.
+    """
+    text = spark.read.text(path, wholetext=multi_line)
+    if multi_line:
+        pieces = text.select(
+            F.trim("value").alias("piece"), F.lit(True).alias("opens"), F.lit(True).alias("closes")
+        )
+    else:
+        # Separators between rows go; brackets that a line lacks are added below.
+        piece = F.expr(r"trim(TRAILING ', \t\r' FROM trim(LEADING ' \t' FROM value))")
+        pieces = text.select(
+            piece.alias("piece"),
+            piece.startswith("[[").alias("opens"),
+            piece.endswith("]]").alias("closes"),
+        )
+    matrix = F.concat(
+        F.when(F.col("opens"), "").otherwise("["),
+        "piece",
+        F.when(F.col("closes"), "").otherwise("]"),
+    )
+    malformed = F.concat(F.lit("malformed JSON matrix: "), F.left("piece", F.lit(200)))
+    rows = F.coalesce(F.from_json(matrix, "array<array<string>>"), F.raise_error(malformed))
+    return pieces.where("piece <> ''").select("opens", "closes", rows.alias("rows"))
 
 
 def read_json_matrix(
@@ -70,55 +94,41 @@ def read_json_matrix(
     """``[[header...], [row...], ...]`` as a table in which every cell is text.
 
     As with Spark's JSON reader, the default needs line ends between records:
-    each line holds a whole matrix or one row of it, as the census service
+    each line holds a whole matrix or some rows of it, as the census service
     writes it, so that large files are split. ``multi_line`` takes any layout
     and reads each file in one task. There may be many files and many matrices;
-    all must have the same header. Anything malformed stops the job.
+    all must have the same header. Anything malformed or cut off is an error.
     """
-    if multi_line:
-        document = F.trim("value")
-        matrix = document
-        opens = F.lit(True)
-    else:
-        line = F.rtrim(F.trim("value"), F.lit(", \r"))
-        document = line
-        opens = line.startswith("[[")
-        matrix = F.concat(
-            F.when(opens, "").otherwise("["),
-            line,
-            F.when(line.endswith("]]"), "").otherwise("]"),
+    lines = _matrix_lines(spark, path, multi_line)
+
+    # One row for the driver: the header names become the schema.
+    header = F.when(F.col("opens"), F.get("rows", F.lit(0)))
+    found = lines.agg(
+        F.min(header).alias("header"),
+        F.max(header).alias("other_header"),
+        F.count_if("opens").alias("begun"),
+        F.count_if("closes").alias("ended"),
+    ).first()
+    if not found.header:
+        raise ValueError(f"no JSON matrix with a header row in {path}")
+    if found.header != found.other_header:
+        raise ValueError(
+            f"JSON matrix headers differ in {path}: {found.header}, {found.other_header}"
         )
-    parsed = (
-        spark.read.text(path, wholetext=multi_line)
-        .where(document != "")
-        .select(
-            opens.alias("opens"),
-            F.coalesce(
-                _matrix_rows(matrix),
-                F.raise_error(
-                    F.concat(F.lit("malformed JSON matrix: "), F.left("value", F.lit(200)))
-                ),
-            ).alias("rows"),
+    if found.begun != found.ended:
+        raise ValueError(
+            f"JSON matrix cut off in {path}: {found.begun} begin, {found.ended} end"
         )
-    )
 
-    # One row: the header names become the schema, so the driver must know them.
-    first = parsed.where("opens").select(F.get("rows", F.lit(0)).alias("header")).first()
-    if first is None or not first.header:
-        raise ValueError(f"no JSON matrix with a header row in {path}")
-    header = list(first.header)
-
-    same_header = F.get("rows", F.lit(0)).eqNullSafe(F.array(*[F.lit(h) for h in header]))
-    body = F.when(~F.col("opens"), F.col("rows")).when(
-        same_header, F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))
-    ).otherwise(F.raise_error(F.lit(f"JSON matrix header differs from {header}")))
-    cells = parsed.select(F.explode(body).alias("cells")).select(
-        F.when(F.size("cells") == len(header), F.col("cells"))
-        .otherwise(F.raise_error(F.lit(f"JSON matrix row does not fit header {header}")))
-        .alias("cells")
+    names = found.header
+    body = F.when(F.col("opens"), F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0))))
+    cells = F.when(F.size("cells") == len(names), F.col("cells")).otherwise(
+        F.raise_error(F.lit(f"JSON matrix row does not fit header {names}"))
     )
-    return cells.select(
-        *[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(header)]
+    return (
+        lines.select(F.explode(body.otherwise(F.col("rows"))).alias("cells"))
+        .select(cells.alias("cells"))
+        .select(*[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)])
     )
 
 

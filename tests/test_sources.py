@@ -182,9 +182,12 @@ def test_json_matrix_without_rows(spark, tmp_path):
         ("[]", "no JSON matrix"),
         ("[[]]", "no JSON matrix"),
         (json.dumps(MATRIX)[:-9], "malformed JSON matrix"),
+        (json.dumps(MATRIX)[:-1], "cut off"),
+        (layouts()["row per line"][:-1], "cut off"),
+        (layouts()["row per line"].rsplit("\n", 1)[0], "cut off"),
         (json.dumps(MATRIX, indent=2), "malformed JSON matrix|no JSON matrix"),
         ('[["A","B"],["1"]]', "does not fit header"),
-        ('[["A","B"],["1","2"]]\n[["A","C"],["1","2"]]', "header differs"),
+        ('[["A","B"],["1","2"]]\n[["A","C"],["1","2"]]', "headers differ"),
     ],
 )
 def test_json_matrix_fails_loudly(spark, tmp_path, content, message):
