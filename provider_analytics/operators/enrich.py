@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .publish import written
+
 VIEW_COLUMNS = [
     "npi",
     "entity_type_code",
@@ -20,6 +22,27 @@ VIEW_COLUMNS = [
 # Number of groups among which providers without a taxonomy code are shared out.
 NULL_KEY_SPREAD = 4096
 
+# The published taxonomy has under 1,000 codes. A longer list than this is cut
+# down to the codes in use before providers are joined with it.
+LONG_LIST_ROWS = 100_000
+
+
+def is_long_list(nucc: DataFrame) -> bool:
+    return nucc.count() > LONG_LIST_ROWS
+
+
+def taxonomy_in_use(providers: DataFrame, nucc: DataFrame, root: str) -> DataFrame:
+    """The taxonomy rows that a join with ``providers`` can match.
+
+    For a long list. Finding the codes in use reads one column and combines it on
+    the map side. Codes and rows are written under ``root``, so that Spark knows
+    their size and can broadcast them, where joining the whole list would have
+    all providers shuffled.
+    """
+    codes = providers.select(F.col("primary_taxonomy_code").alias("code")).distinct()
+    used = nucc.join(written(codes, "codes_in_use", root), "code", "left_semi")
+    return written(used, "taxonomy_in_use", root)
+
 
 def taxonomy_lookup(nucc: DataFrame) -> DataFrame:
     """One row per code, so that joining it cannot multiply providers.
@@ -46,19 +69,20 @@ def with_county(providers: DataFrame, zips: DataFrame) -> DataFrame:
     return providers.join(F.broadcast(zips), "zip_code", "left")
 
 
-def with_taxonomy(providers: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def with_taxonomy(
+    providers: DataFrame, taxonomy: DataFrame, spread_by: str = "npi"
+) -> DataFrame:
     """LEFT JOIN ``taxonomy_lookup``: unmatched providers keep NULLs.
 
     Nothing bounds the length of this list, so there is no broadcast hint. Spark
     broadcasts it when its size is under ``spark.sql.autoBroadcastJoinThreshold``
     and shuffles both sides otherwise. The second key serves that case: it spreads
-    the providers without a code, which match nothing, over many partitions, and
-    it has the list shuffled for the join itself, as adaptive execution requires
+    the providers without a code, which match nothing, by ``spread_by``, and it has the list shuffled for the join itself, as adaptive execution requires
     before it splits the partition of a code that many providers share.
     """
     row_spread = F.when(
         F.col("primary_taxonomy_code").isNull(),
-        F.pmod(F.xxhash64("npi"), F.lit(NULL_KEY_SPREAD)) + 1,
+        F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD)) + 1,
     ).otherwise(F.lit(0).cast("bigint"))
     # Always 0. A literal would be folded into the join and the key be lost.
     code_spread = F.pmod(F.xxhash64("code"), F.lit(1).cast("bigint"))

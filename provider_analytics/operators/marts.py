@@ -1,21 +1,36 @@
 """County-level aggregates of the provider view.
 
-Counts combine on the map side, so the county, or the missing county, that holds
-most providers costs one row per map task.
+Each takes providers, one per row, or groups of providers with a
+``provider_count``. Counts combine on the map side, so the county, or the missing
+county, that holds most providers costs one row per map task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPECIALTY = ["grouping", "classification", "specialization"]
 
 
+def provider_groups(subset: DataFrame, *keys: str) -> DataFrame:
+    """Providers counted per lookup key, so that lookups are joined with few rows.
+
+    ``keys`` are ``zip_code`` and, for specialties, ``primary_taxonomy_code``.
+    """
+    return subset.groupBy(*keys).agg(F.count(F.lit(1)).alias("provider_count"))
+
+
+def _provider_count(providers: DataFrame) -> Column:
+    if "provider_count" in providers.columns:
+        return F.sum("provider_count")
+    return F.count(F.lit(1))
+
+
 def county_provider_counts(providers: DataFrame) -> DataFrame:
     """Providers per county; those without a county are a group of their own."""
     return providers.groupBy("county_name").agg(
-        F.count(F.lit(1)).alias("provider_count")
+        _provider_count(providers).alias("provider_count")
     )
 
 
@@ -25,7 +40,7 @@ def county_specialty_distribution(providers: DataFrame) -> DataFrame:
     The window runs over the counts, one row per specialty of a county.
     """
     counts = providers.groupBy("county_name", *SPECIALTY).agg(
-        F.count(F.lit(1)).alias("provider_count")
+        _provider_count(providers).alias("provider_count")
     )
     county_total = F.sum("provider_count").over(Window.partitionBy("county_name"))
     return counts.withColumn("county_share", F.col("provider_count") / county_total)
@@ -36,7 +51,7 @@ def providers_per_capita(providers: DataFrame) -> DataFrame:
     inhabitants = F.nullif(F.col("population").try_cast("bigint"), F.lit(0).cast("bigint"))
     return (
         providers.groupBy("fipscounty", "county_name", "population")
-        .agg(F.count(F.lit(1)).alias("provider_count"))
+        .agg(_provider_count(providers).alias("provider_count"))
         .withColumn(
             "providers_per_100k", F.col("provider_count") * F.lit(100000.0) / inhabitants
         )

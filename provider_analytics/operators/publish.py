@@ -16,6 +16,11 @@ def write_files(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
+def written(df: DataFrame, name: str, root: str) -> DataFrame:
+    """``df`` read back from files: no lineage to redo, and a size that Spark knows."""
+    return df.sparkSession.read.parquet(write_files(df, name, root))
+
+
 def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:
     """Replace the content of ``table`` by ``df`` and return the table.
 

@@ -89,9 +89,11 @@ def build(
             population_order,
         ),
     )
+    nucc = loaded("nucc")
+    if enrich.is_long_list(nucc):
+        nucc = enrich.taxonomy_in_use(providers, nucc, workspace.root)
     view = write(
-        "view_county",
-        enrich.view_county(providers, zips, enrich.taxonomy_lookup(loaded("nucc"))),
+        "view_county", enrich.view_county(providers, zips, enrich.taxonomy_lookup(nucc))
     )
     for name, location in written.items():
         publish.point_table(spark, workspace.table(name), location)

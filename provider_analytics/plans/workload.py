@@ -49,7 +49,13 @@ def _zips(given: Inputs, population_order: str = "text") -> DataFrame:
 
 
 def _taxonomy(given: Inputs) -> DataFrame:
-    return enrich.taxonomy_lookup(given.nucc)
+    nucc = given.nucc
+    if enrich.is_long_list(nucc):
+        codes = given.order_providers.select(
+            cleanse.primary_taxonomy().alias("primary_taxonomy_code")
+        )
+        nucc = enrich.taxonomy_in_use(codes, nucc, storage.fresh_folder(given.spark, "nucc"))
+    return enrich.taxonomy_lookup(nucc)
 
 
 def _with_faults(given: Inputs) -> DataFrame:
@@ -339,21 +345,24 @@ def view_sql(given: Inputs) -> DataFrame:
 
 @query
 def county_provider_counts(given: Inputs) -> DataFrame:
-    return marts.county_provider_counts(
-        enrich.with_county(_subset(given), _zips(given))
-    )
+    groups = marts.provider_groups(_subset(given), "zip_code")
+    return marts.county_provider_counts(enrich.with_county(groups, _zips(given)))
 
 
 @query
 def county_specialty_distribution(given: Inputs) -> DataFrame:
-    return marts.county_specialty_distribution(view_county(given))
+    groups = marts.provider_groups(_subset(given), "zip_code", "primary_taxonomy_code")
+    return marts.county_specialty_distribution(
+        enrich.with_taxonomy(
+            enrich.with_county(groups, _zips(given)), _taxonomy(given), spread_by="zip_code"
+        )
+    )
 
 
 @query
 def providers_per_capita(given: Inputs) -> DataFrame:
-    return marts.providers_per_capita(
-        enrich.with_county(_subset(given), _zips(given))
-    )
+    groups = marts.provider_groups(_subset(given), "zip_code")
+    return marts.providers_per_capita(enrich.with_county(groups, _zips(given)))
 
 
 # Quality

@@ -63,6 +63,39 @@ def test_early_and_late_dedup_agree(small):
     assert early.exceptAll(late).isEmpty() and late.exceptAll(early).isEmpty()
 
 
+def test_long_list_is_cut_to_the_codes_in_use(small, tmp_path, monkeypatch):
+    subset, zips, nucc = small
+    monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 4)
+    assert enrich.is_long_list(nucc) and not enrich.is_long_list(nucc.limit(4))
+    used = enrich.taxonomy_in_use(subset, nucc, str(tmp_path))
+    assert sorted(r.code for r in used.collect()) == ["", "T1", "T1"]
+    whole = enrich.view_county(subset, zips, enrich.taxonomy_lookup(nucc))
+    cut = enrich.view_county(subset, zips, enrich.taxonomy_lookup(used))
+    assert by_npi(cut) == by_npi(whole)
+
+
+def test_marts_of_groups_equal_marts_of_providers(small):
+    subset, zips, nucc = small
+    taxonomy = enrich.taxonomy_lookup(nucc)
+    view = enrich.provider_county_full(subset, zips, taxonomy)
+    by_zip = enrich.with_county(marts.provider_groups(subset, "zip_code"), zips)
+    by_both = enrich.with_taxonomy(
+        enrich.with_county(
+            marts.provider_groups(subset, "zip_code", "primary_taxonomy_code"), zips
+        ),
+        taxonomy,
+        spread_by="zip_code",
+    )
+    for mart, groups in [
+        (marts.county_provider_counts, by_zip),
+        (marts.providers_per_capita, by_zip),
+        (marts.county_specialty_distribution, by_both),
+    ]:
+        assert {tuple(r) for r in mart(groups).collect()} == {
+            tuple(r) for r in mart(view).collect()
+        }
+
+
 def test_marts(small):
     subset, zips, nucc = small
     full = enrich.provider_county_full(subset, zips, enrich.taxonomy_lookup(nucc))

@@ -3,6 +3,8 @@
 import pytest
 from oracle_check import ORACLE, QUERIES, assert_matches, connect
 
+from provider_analytics.operators import enrich
+
 JOINS = [
     "county_population",
     "zip_county_rank",
@@ -42,6 +44,12 @@ def shuffles_only(spark):
             spark.conf.set(name, value)
 
 
+@pytest.mark.parametrize("name", ["view_county", "county_specialty_distribution"])
+def test_matches_oracle_with_a_long_taxonomy_list(name, spark, duck, sf_dir, monkeypatch):
+    monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 100)
+    assert_matches(name, spark, duck, sf_dir)
+
+
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 

@@ -75,6 +75,18 @@ def test_taxonomy_is_broadcast_by_size_only(spark, sf_dir, provider_file, plan_o
     assert "BroadcastHashJoin [zip_code" in plan
 
 
+def test_long_taxonomy_list_is_broadcast_once_cut(spark, plan_of, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        whole = plan_of(QUERIES["view_county"](spark, "/root/testdata/sf0.1"))
+        monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 1000)
+        cut = plan_of(QUERIES["view_county"](spark, "/root/testdata/sf0.1"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [primary_taxonomy_code" in whole
+    assert "BroadcastHashJoin [primary_taxonomy_code" in cut
+
+
 def test_filter_on_the_subset_reaches_the_file(provider_file, plan_of):
     plan = plan_of(provider_file.where("entity_type_code = '1'").select("npi"), "formatted")
     assert "EqualTo(`Entity Type Code`,1)" in plan
