@@ -7,7 +7,7 @@ county, that holds most providers costs one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPECIALTY = ["grouping", "classification", "specialization"]
@@ -37,13 +37,21 @@ def county_provider_counts(providers: DataFrame) -> DataFrame:
 def county_specialty_distribution(providers: DataFrame) -> DataFrame:
     """Providers per county and specialty, and their share of the county.
 
-    The window runs over the counts, one row per specialty of a county.
+    County totals come from the counts, whose shuffle both sides of the join use,
+    so no task holds all specialties of a county.
     """
     counts = providers.groupBy("county_name", *SPECIALTY).agg(
         _provider_count(providers).alias("provider_count")
     )
-    county_total = F.sum("provider_count").over(Window.partitionBy("county_name"))
-    return counts.withColumn("county_share", F.col("provider_count") / county_total)
+    totals = counts.groupBy(F.col("county_name").alias("total_of")).agg(
+        F.sum("provider_count").alias("county_total")
+    )
+    share = F.col("provider_count") / F.col("county_total")
+    return (
+        counts.join(totals, F.col("county_name").eqNullSafe(F.col("total_of")))
+        .withColumn("county_share", share)
+        .drop("total_of", "county_total")
+    )
 
 
 def providers_per_capita(providers: DataFrame) -> DataFrame:

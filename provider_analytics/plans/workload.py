@@ -38,6 +38,15 @@ def _subset(given: Inputs) -> DataFrame:
     return subset.provider_subset(given.providers)
 
 
+def _keys(given: Inputs) -> DataFrame:
+    """The subset's key columns; names and addresses, which need the customer, are left out."""
+    return given.order_providers.select(
+        cleanse.typed_cast("npi", "bigint").alias("npi"),
+        cleanse.zip_code().alias("zip_code"),
+        cleanse.primary_taxonomy().alias("primary_taxonomy_code"),
+    )
+
+
 def _counties(given: Inputs) -> DataFrame:
     return geography.county_population(
         readers.rename_population(given.county_pop), given.fips
@@ -51,17 +60,15 @@ def _zips(given: Inputs, population_order: str = "text") -> DataFrame:
 def _taxonomy(given: Inputs) -> DataFrame:
     nucc = given.nucc
     if enrich.is_long_list(nucc):
-        codes = given.order_providers.select(
-            cleanse.primary_taxonomy().alias("primary_taxonomy_code")
-        )
-        nucc = enrich.taxonomy_in_use(codes, nucc, storage.fresh_folder(given.spark, "nucc"))
+        folder = storage.fresh_folder(given.spark, "nucc")
+        nucc = enrich.taxonomy_in_use(_keys(given), nucc, folder)
     return enrich.taxonomy_lookup(nucc)
 
 
 def _with_faults(given: Inputs) -> DataFrame:
-    """Provider subset in which some rows come twice and some have no key."""
+    """Provider keys of which some come twice and some are missing."""
     return (
-        _subset(given)
+        _keys(given)
         .withColumn("k", F.expr("npi - 1000000000"))
         .withColumn("copy", F.expr("explode(if(k % 97 = 0, array(1, 2), array(1)))"))
         .withColumn("npi", F.expr("if(k % 101 = 0, NULL, npi)"))
@@ -268,14 +275,14 @@ def zip_primary_county_numeric(given: Inputs) -> DataFrame:
 
 @query
 def provider_county(given: Inputs) -> DataFrame:
-    return enrich.with_county(_subset(given), _zips(given)).select(
+    return enrich.with_county(_keys(given), _zips(given)).select(
         "npi", "zip_code", "fipscounty", "county_name"
     )
 
 
 @query
 def provider_taxonomy(given: Inputs) -> DataFrame:
-    rows = enrich.with_taxonomy(_subset(given), _taxonomy(given))
+    rows = enrich.with_taxonomy(_keys(given), _taxonomy(given))
     return rows.select(
         "npi", "primary_taxonomy_code", "classification", "grouping", "specialization"
     )
@@ -345,13 +352,13 @@ def view_sql(given: Inputs) -> DataFrame:
 
 @query
 def county_provider_counts(given: Inputs) -> DataFrame:
-    groups = marts.provider_groups(_subset(given), "zip_code")
+    groups = marts.provider_groups(_keys(given), "zip_code")
     return marts.county_provider_counts(enrich.with_county(groups, _zips(given)))
 
 
 @query
 def county_specialty_distribution(given: Inputs) -> DataFrame:
-    groups = marts.provider_groups(_subset(given), "zip_code", "primary_taxonomy_code")
+    groups = marts.provider_groups(_keys(given), "zip_code", "primary_taxonomy_code")
     return marts.county_specialty_distribution(
         enrich.with_taxonomy(
             enrich.with_county(groups, _zips(given)), _taxonomy(given), spread_by="zip_code"
@@ -361,7 +368,7 @@ def county_specialty_distribution(given: Inputs) -> DataFrame:
 
 @query
 def providers_per_capita(given: Inputs) -> DataFrame:
-    groups = marts.provider_groups(_subset(given), "zip_code")
+    groups = marts.provider_groups(_keys(given), "zip_code")
     return marts.providers_per_capita(enrich.with_county(groups, _zips(given)))
 
 
@@ -385,9 +392,7 @@ def key_violations(given: Inputs) -> DataFrame:
 
 @query
 def missing_county_rate(given: Inputs) -> DataFrame:
-    return quality.missing_county_rate(
-        enrich.with_county(_subset(given), _zips(given))
-    )
+    return quality.missing_county_rate(enrich.with_county(_keys(given), _zips(given)))
 
 
 # Sinks and jobs

@@ -110,6 +110,25 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir, plan_of, name):
     assert "partial_count" in plan_of(QUERIES[name](spark, sf_dir))
 
 
+def test_specialty_shares_count_providers_once(spark, sf_dir, plan_of):
+    df = QUERIES["county_specialty_distribution"](spark, sf_dir)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final
+    assert final.count("orders.parquet") == 1 and "ReusedExchange" in final
+    assert "Window" in final  # the choice of a county per ZIP
+    assert "Window [sum" not in final
+
+
+@pytest.mark.parametrize(
+    "name", ["county_provider_counts", "county_specialty_distribution", "providers_per_capita"]
+)
+def test_marts_join_lookups_with_counts_not_providers(spark, sf_dir, plan_of, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    join = plan.index("BroadcastHashJoin [zip_code")
+    assert join < plan.index("partial_count(1)") < plan.index("orders.parquet")
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_python_workers_and_no_cross_joins(spark, sf_dir, plan_of, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
