@@ -18,7 +18,6 @@ VIEW_COLUMNS = [
     "specialization",
 ]
 
-
 # Number of groups among which providers without a taxonomy code are shared out.
 NULL_KEY_SPREAD = 4096
 
@@ -77,7 +76,8 @@ def with_taxonomy(
     Nothing bounds the length of this list, so there is no broadcast hint. Spark
     broadcasts it when its size is under ``spark.sql.autoBroadcastJoinThreshold``
     and shuffles both sides otherwise. The second key serves that case: it spreads
-    the providers without a code, which match nothing, by ``spread_by``, and it has the list shuffled for the join itself, as adaptive execution requires
+    the providers without a code, which match nothing, by ``spread_by``, and it
+    has the list shuffled for the join itself, as adaptive execution requires
     before it splits the partition of a code that many providers share.
     """
     row_spread = F.when(
@@ -120,12 +120,13 @@ def view_county_late_dedup(
 ) -> DataFrame:
     """The same view for a taxonomy list used as it is: duplicates go at the end.
 
-    The generic form. It shuffles every provider by ``npi``, so ``view_county``
-    is the one to use; tests check that both agree.
+    The generic form. It shuffles every provider, so ``view_county`` is the one to
+    use; tests check that both agree. The rows of a provider come from one task, so
+    they combine before that shuffle.
     """
     joined = with_taxonomy(with_county(subset, zips), nucc)
     details = F.struct("classification", "grouping", "specialization")
-    others = [c for c in VIEW_COLUMNS if c not in ("classification", "grouping", "specialization")]
+    others = VIEW_COLUMNS[: VIEW_COLUMNS.index("classification")]
     return (
         joined.groupBy(*others)
         .agg(F.min(details).alias("details"))

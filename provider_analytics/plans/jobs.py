@@ -55,7 +55,6 @@ def build(
     A malformed row stops the job; with ``quarantine`` it goes to the table
     ``nppes_malformed`` and the others are used.
     """
-
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("spark.sql.ansi.enabled is off: malformed values would pass as NULL")
 
