@@ -19,37 +19,43 @@ from ..sources.schema import (
 )
 
 
-# Values that several provider columns share, computed once per order.
+# Values that several provider columns share, computed once per order. They are
+# worked out after the joins, so that a shuffle carries the order's own columns
+# only, and kept short: the JVM compiles no generated method beyond 8000 bytes.
 _SHARED = {
     "k": "o_orderkey",
     "z": "string(100 + o_custkey % 60)",
+    "odd": "o_orderkey & 1 = 1",
     "nameless": "o_orderkey % 23 = 0",
-    "chosen_slot": "o_orderkey % 16 + 1",
-    "many_chosen": "o_orderkey % 11 = 0",
-    "not_chosen": "CASE o_orderkey % 3 WHEN 0 THEN 'N' WHEN 1 THEN '' END",
-    "odd_codes_missing": "o_orderkey % 13 = 0",
-    "codes_blank": "o_orderkey % 29 = 0",
-    "postal_kind": "o_orderkey % 8",
+    "postal_kind": "int(o_orderkey & 7)",
+    "chosen_slot": "o_orderkey & 15",
+    "third": "o_orderkey % 3",
+    "fifth": "o_orderkey % 5",
+    "other_switch": "CASE third WHEN 0 THEN 'N' WHEN 1 THEN '' END",
+    "fourth_switch": "if(o_orderkey % 11 = 0, 'Y', other_switch)",
+    "even_code_fixed": "o_orderkey % 29 = 0",
+    "even_code": "''",
+    "odd_code_fixed": "o_orderkey % 13 = 0 OR even_code_fixed",
+    "odd_code": "if(o_orderkey % 13 = 0, NULL, '')",
 }
 
 _ORDER_COLUMNS = {
     "npi": "string(1000000000 + k)",
-    "entity_type_code": "if(k % 17 = 0, '', string(1 + k % 2))",
+    "entity_type_code": "if(k % 17 = 0, '', if(odd, '2', '1'))",
     cleanse.ORGANISATION: """
-        CASE WHEN nameless THEN '' WHEN k % 10 = 4 THEN NULL
-             WHEN k % 2 = 1 THEN concat('ORG ', o_orderpriority) ELSE '' END""",
-    "provider_name_prefix_text": "if(nameless OR k % 5 <> 0, '', 'DR.')",
+        CASE WHEN nameless THEN '' WHEN odd THEN concat('ORG ', o_orderpriority)
+             WHEN fifth = 4 THEN NULL ELSE '' END""",
+    "provider_name_prefix_text": "if(nameless OR fifth <> 0, '', 'DR.')",
     "provider_first_name": "if(nameless, '', concat('F', o_custkey))",
-    "provider_credential_text": "if(nameless OR k % 3 <> 0, '', 'MD')",
+    "provider_credential_text": "if(nameless OR third <> 0, '', 'MD')",
     cleanse.OTHER_ORGANISATION: "'ALT'",
     cleanse.PRACTICE_ADDRESS[0]: "concat(k, ' MAIN ST')",
-    cleanse.PRACTICE_ADDRESS[1]: "if(k % 4 = 0, 'STE 1', '')",
+    cleanse.PRACTICE_ADDRESS[1]: "if(postal_kind & 3 = 0, 'STE 1', '')",
+    # z has three digits: padded to 5, kept at 3 or cut to 0, then a tail by kind.
     cleanse.POSTAL_CODE: """
-        CASE postal_kind WHEN 0 THEN lpad(z, 5, '0') WHEN 1 THEN z
-                   WHEN 2 THEN concat(lpad(z, 5, '0'), '1234')
-                   WHEN 3 THEN concat(lpad(z, 5, '0'), '-1234')
-                   WHEN 4 THEN '' WHEN 6 THEN concat(z, '12345')
-                   WHEN 7 THEN 'K1A 0B1' END""",
+        concat(lpad(z, get(array(5, 3, 5, 5, 0, 0, 3, 0), postal_kind), '0'),
+               get(array('', '', '1234', '-1234', '', NULL, '12345', 'K1A 0B1'),
+                   postal_kind))""",
 }
 
 _CUSTOMER_COLUMNS = {
@@ -62,17 +68,19 @@ _CUSTOMER_COLUMNS = {
 def _slot_columns() -> dict[str, str]:
     columns = {}
     for slot in range(1, TAXONOMY_SLOTS + 1):
-        chosen = f"chosen_slot = {slot}"
-        if slot % 4 == 1:
-            chosen += " OR many_chosen"
-        code = f"if(codes_blank, '', string((k + {7 * slot}) % 250))"
-        if slot % 2 == 1:
-            code = f"if(odd_codes_missing, NULL, {code})"
-        columns[cleanse.taxonomy_switch(slot)] = f"if({chosen}, 'Y', not_chosen)"
-        columns[cleanse.taxonomy_code(slot)] = code
+        switch = "fourth_switch" if slot % 4 == 1 else "other_switch"
+        fixed = "odd_code" if slot % 2 == 1 else "even_code"
+        columns[cleanse.taxonomy_switch(slot)] = f"if(chosen_slot = {slot - 1}, 'Y', {switch})"
+        columns[cleanse.taxonomy_code(slot)] = (
+            f"if({fixed}_fixed, {fixed}, string((k + {7 * slot}) % 250))"
+        )
     return columns
 
 
+def _with_shared(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("*", *[f"{value} AS {name}" for name, value in _SHARED.items()])
+
+
 def _select(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.selectExpr(*[f"{value} AS {name}" for name, value in columns.items()])
 
@@ -90,28 +98,31 @@ class Inputs:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
-    def _orders(self) -> DataFrame:
-        return self.table("orders").selectExpr(
-            "*", *[f"{value} AS {name}" for name, value in _SHARED.items()]
-        )
-
     @cached_property
     def order_providers(self) -> DataFrame:
         """The provider columns that need no customer, for rules that use only those."""
-        return _select(self._orders(), _ORDER_COLUMNS | _slot_columns())
+        return _select(_with_shared(self._orders), _ORDER_COLUMNS | _slot_columns())
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        # Never NULL; saying so leaves a check out of each expression on the key.
+        return self.table("orders").where("o_orderkey IS NOT NULL")
 
     @cached_property
     def providers(self) -> DataFrame:
         """All 59 provider columns, normalised names, one row per order."""
-        rows = (
-            self._orders()
-            .join(self.table("customer"), F.expr("o_custkey = c_custkey"))
-            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+        places = (
+            self.table("nation")
             .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+            .select("n_nationkey", "n_name", "r_name")
         )
+        rows = self._orders.join(
+            self.table("customer"), F.expr("o_custkey = c_custkey")
+        ).join(places, F.expr("c_nationkey = n_nationkey"))
         values = _ORDER_COLUMNS | _CUSTOMER_COLUMNS | _slot_columns()
         return _select(
-            rows, {name: values.get(name, "string(NULL)") for name in PROVIDER_COLUMNS}
+            _with_shared(rows),
+            {name: values.get(name, "string(NULL)") for name in PROVIDER_COLUMNS},
         )
 
     @cached_property
