@@ -20,25 +20,26 @@ from ..sources.schema import (
 
 
 # Values that several provider columns share, computed once per order. They are
-# worked out after the joins, so that a shuffle carries the order's own columns
-# only, and kept short: the JVM compiles no generated method beyond 8000 bytes.
+# worked out after the joins, so that a shuffle carries the order's own columns only.
 _SHARED = {
     "k": "o_orderkey",
     "z": "string(100 + o_custkey % 60)",
     "odd": "o_orderkey & 1 = 1",
     "nameless": "o_orderkey % 23 = 0",
     "postal_kind": "int(o_orderkey & 7)",
-    "chosen_slot": "o_orderkey & 15",
     "third": "o_orderkey % 3",
     "fifth": "o_orderkey % 5",
-    "other_switch": "CASE third WHEN 0 THEN 'N' WHEN 1 THEN '' END",
-    "fourth_switch": "if(o_orderkey % 11 = 0, 'Y', other_switch)",
     "even_code_fixed": "o_orderkey % 29 = 0",
     "even_code": "''",
     "odd_code_fixed": "o_orderkey % 13 = 0 OR even_code_fixed",
     "odd_code": "if(o_orderkey % 13 = 0, NULL, '')",
 }
 
+# Switches repeat with this period of the order key (16 * 11 * 3), codes with that.
+_SWITCH_PERIOD = 528
+_CODE_PERIOD = 250
+_SLOTS = range(1, TAXONOMY_SLOTS + 1)
+
 _ORDER_COLUMNS = {
     "npi": "string(1000000000 + k)",
     "entity_type_code": "if(k % 17 = 0, '', if(odd, '2', '1'))",
@@ -67,18 +68,39 @@ _CUSTOMER_COLUMNS = {
 
 def _slot_columns() -> dict[str, str]:
     columns = {}
-    for slot in range(1, TAXONOMY_SLOTS + 1):
-        switch = "fourth_switch" if slot % 4 == 1 else "other_switch"
+    for slot in _SLOTS:
         fixed = "odd_code" if slot % 2 == 1 else "even_code"
-        columns[cleanse.taxonomy_switch(slot)] = f"if(chosen_slot = {slot - 1}, 'Y', {switch})"
-        columns[cleanse.taxonomy_code(slot)] = (
-            f"if({fixed}_fixed, {fixed}, string((k + {7 * slot}) % 250))"
-        )
+        columns[cleanse.taxonomy_switch(slot)] = f"switch_{slot}"
+        columns[cleanse.taxonomy_code(slot)] = f"if({fixed}_fixed, {fixed}, code_{slot})"
     return columns
 
 
+def _switch(slot: int) -> str:
+    chosen = f"id % 16 = {slot - 1}"
+    if slot % 4 == 1:
+        chosen += " OR id % 11 = 0"
+    return f"CASE WHEN {chosen} THEN 'Y' WHEN id % 3 = 0 THEN 'N' WHEN id % 3 = 1 THEN '' END"
+
+
 def _with_shared(rows: DataFrame) -> DataFrame:
-    return rows.selectExpr("*", *[f"{value} AS {name}" for name, value in _SHARED.items()])
+    """Add the shared values and those of the taxonomy slots.
+
+    Slot values are looked up by remainder. Written out per row they make one
+    generated method that is too long for the JVM to compile.
+    """
+    spark = rows.sparkSession
+    switches = spark.range(_SWITCH_PERIOD).selectExpr(
+        "id AS switch_key", *[f"{_switch(slot)} AS switch_{slot}" for slot in _SLOTS]
+    )
+    codes = spark.range(_CODE_PERIOD).selectExpr(
+        "id AS code_key",
+        *[f"string((id + {7 * slot}) % {_CODE_PERIOD}) AS code_{slot}" for slot in _SLOTS],
+    )
+    return (
+        rows.selectExpr("*", *[f"{value} AS {name}" for name, value in _SHARED.items()])
+        .join(F.broadcast(switches), F.expr(f"k % {_SWITCH_PERIOD} = switch_key"))
+        .join(F.broadcast(codes), F.expr(f"k % {_CODE_PERIOD} = code_key"))
+    )
 
 
 def _select(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
