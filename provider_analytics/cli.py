@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--export", help="folder for the CSV extract")
             sub.add_argument("--expected-rows", type=int)
             sub.add_argument("--quarantine", action="store_true")
+            sub.add_argument("--cluster-by-county", action="store_true")
             sub.add_argument(
                 "--population-order", choices=("text", "numeric"), default="text"
             )
@@ -66,6 +67,7 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
         "expected_rows": given.expected_rows,
         "export_path": given.export,
         "quarantine": given.quarantine,
+        "cluster_by_county": given.cluster_by_county,
     }
     if given.command == "build":
         jobs.build(spark, workspace, **options)

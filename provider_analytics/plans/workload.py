@@ -11,12 +11,11 @@ from ..functions import cleanse
 from ..operators import enrich, geography, marts, publish, quality, subset
 from ..sources import names, readers
 from ..sources.registry import read_dataset
-from ..sources.schema import POPULATION_HEADERS
+from ..sources.schema import POPULATION_HEADERS, POPULATION_VARIABLE
 from . import jobs, storage
 from .adapter import Inputs
 
 SAMPLE_ROWS = 1000
-MATRIX_ROWS_PER_DOCUMENT = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,25 +108,25 @@ def csv_ingest_bad_fields(given: Inputs) -> DataFrame:
     return read_dataset(given.spark, "zip", folder)
 
 
+def _write_matrices(population: DataFrame, folder: str) -> None:
+    """Each row as a matrix of its own, like many small answers of the service."""
+    header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
+    row = F.array(F.array(*POPULATION_HEADERS))
+    population.select(F.to_json(F.concat(header, row)).alias("value")).write.text(folder)
+
+
 @query
 def json_matrix_ingest(given: Inputs) -> DataFrame:
-    """Writes one matrix per block of customers, one per line, and reads them back."""
     folder = storage.fresh_folder(given.spark, "county_pop")
-    block = F.floor(F.col("c_custkey") / MATRIX_ROWS_PER_DOCUMENT)
-    number = F.col("c_custkey")
-    cells = F.array(
-        F.col("c_name"),
-        F.when(number % 97 != 8, (number * 7919 % 120011).cast("string")),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
-        F.lpad((number % 1000).cast("string"), 3, "0"),
-    )
-    header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
-    (
-        given.table("customer")
-        .groupBy(block.alias("block"))
-        .agg(F.collect_list(cells).alias("rows"))
-        .select(F.to_json(F.concat(header, "rows")).alias("value"))
-        .write.text(folder)
+    population = "if(c_custkey % 97 = 8, NULL, string(c_custkey * 7919 % 120011))"
+    _write_matrices(
+        given.table("customer").selectExpr(
+            "c_name AS NAME",
+            f"{population} AS {POPULATION_VARIABLE}",
+            "lpad(string(c_nationkey), 2, '0') AS state",
+            "lpad(string(c_custkey % 1000), 3, '0') AS county",
+        ),
+        folder,
     )
     return read_dataset(given.spark, "county_pop", folder)
 
@@ -433,12 +432,7 @@ def load_and_build(given: Inputs) -> DataFrame:
     publish.export_csv(given.raw_nucc, sources["nucc"])
     publish.export_csv(given.fips, sources["fips"])
     publish.export_csv(given.crosswalk, sources["zip"])
-    header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
-    row = F.array(F.array(*POPULATION_HEADERS))
-    # One matrix of one row per line, as many answers of the service in one folder.
-    given.county_pop.select(
-        F.to_json(F.concat(header, row)).alias("value")
-    ).write.text(sources["county_pop"])
+    _write_matrices(given.county_pop, sources["county_pop"])
     workspace = jobs.Workspace(
         storage.fresh_folder(given.spark, "workspace"), storage.own_database(given.spark)
     )

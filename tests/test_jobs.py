@@ -101,8 +101,13 @@ def test_command_line(spark, tmp_path, database):
     sources = land(spark, tmp_path)
     root = ["--root", str(tmp_path / "tables"), "--database", database]
     cli.main(spark, ["load", *root, *[f"{name}={path}" for name, path in sources.items()]])
-    cli.main(spark, ["build", *root, "--expected-rows", "1500", "--population-order", "numeric"])
-    assert spark.table(f"{database}.view_county").count() == 1500
+    options = ["--expected-rows", "1500", "--population-order", "numeric", "--cluster-by-county"]
+    cli.main(spark, ["build", *root, *options])
+    view = spark.table(f"{database}.view_county")
+    assert view.count() == 1500
+    for file in view.inputFiles():
+        counties = [r.county_name or "" for r in spark.read.parquet(file).collect()]
+        assert counties == sorted(counties)
     with pytest.raises(SystemExit):
         cli.main(spark, ["load", *root, "claims=/x"])
 
