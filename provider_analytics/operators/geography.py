@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.cleanse import five_characters
 
+# How many copies of a crosswalk row one generated array holds.
+COPIES_PER_STEP = 10_000
+
 
 def county_population(county_pop: DataFrame, fips: DataFrame) -> DataFrame:
     """Distinct ``fipscounty, countyname_fips, population`` of counties in both inputs."""
@@ -36,14 +39,32 @@ def _largest_first(population_order: str) -> Column:
     )
 
 
+def _repeated(rows: DataFrame, copies: str) -> DataFrame:
+    """Each row ``copies`` times, the copies of one row made by many tasks.
+
+    A row is first repeated once per ``COPIES_PER_STEP``. Those are spread over a
+    fixed number of partitions, which adaptive execution leaves as they are,
+    while it would merge them by their small size.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = F.expr(f"sequence(0, ({copies} - 1) div {COPIES_PER_STEP})")
+    in_step = F.expr(f"int(least({copies} - step * {COPIES_PER_STEP}, {COPIES_PER_STEP}))")
+    return (
+        rows.withColumn("step", F.explode(steps))
+        .repartition(partitions, *rows.columns, "step")
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(True), in_step)))
+        .drop("step", "copy", copies)
+    )
+
+
 def zip_county_rank(
     crosswalk: DataFrame, counties: DataFrame, population_order: str = "text"
 ) -> DataFrame:
     """Every crosswalk row with a known county, ranked by population within its ZIP.
 
     ``rank`` counts crosswalk rows, copies included. Copies are collapsed into a
-    weight first and the ranks joined back, so a window holds at most one row per
-    county of the ZIP.
+    weight before anything is shuffled and written out again at the end, so a
+    window holds at most one row per county of the ZIP.
     """
     order = _largest_first(population_order)
     weighted = (
@@ -54,21 +75,11 @@ def zip_county_rank(
     )
     up_to_level = Window.partitionBy("zip").orderBy("level")
     same_level = Window.partitionBy("zip", "level")
+    rank = F.sum("copies").over(up_to_level) - F.sum("copies").over(same_level) + 1
     ranked = weighted.select(
-        F.col("zip").alias("ranked_zip"),
-        F.col("county").alias("ranked_county"),
-        "countyname_fips",
-        "population",
-        (
-            F.sum("copies").over(up_to_level) - F.sum("copies").over(same_level) + 1
-        ).alias("rank"),
+        "zip", "county", "countyname_fips", "population", rank.alias("rank"), "copies"
     )
-    rows = crosswalk.select("zip", "county")
-    return rows.join(
-        ranked,
-        F.col("zip").eqNullSafe(F.col("ranked_zip"))
-        & (F.col("county") == F.col("ranked_county")),
-    ).select("zip", "county", "countyname_fips", "population", "rank")
+    return _repeated(ranked, "copies")
 
 
 def _first_in_group(df: DataFrame, group: str, *order: Column) -> DataFrame:

@@ -119,15 +119,33 @@ def test_ranks_and_winners_against_brute_force(spark, order, key, seed):
     assert {tuple(w) for w in winners} <= first
 
 
-def test_hot_zip_is_reduced_before_the_shuffle(spark):
-    """Copies of one crosswalk row, a third of all rows, leave few shuffled rows."""
-    hot = spark.range(30000, numPartitions=6).select(
-        F.lit(1).alias("zip"), F.lit(5).alias("county")
+def hot_crosswalk(spark):
+    """Copies of one row are a third of the crosswalk."""
+    return spark.range(300_000, numPartitions=8).selectExpr(
+        "int(if(id % 3 = 0, 1, id % 5000 + 2)) AS zip", "int(if(id % 3 = 0, 5, id % 40)) AS county"
     )
-    rest = spark.range(60000, numPartitions=6).selectExpr(
-        "int(id % 50 + 2) AS zip", "int(id % 7) AS county"
+
+
+def test_copies_of_a_hot_row_are_not_ranked_in_one_task(spark):
+    counties = spark.range(40).selectExpr(
+        "int(id) AS fipscounty", "concat('c', id) AS countyname_fips", "string(id) AS population"
     )
-    counties = spark.createDataFrame([(i, f"c{i}", str(i)) for i in range(7)], COUNTIES)
-    ranked = geography.zip_county_rank(hot.union(rest), counties)
-    assert ranked.count() == 90000
-    assert ranked.where("zip = 1").select("rank").distinct().collect() == [(1,)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        ranked = geography.zip_county_rank(hot_crosswalk(spark), counties)
+        tasks = ranked.select("zip", "rank", F.spark_partition_id().alias("task"))
+        counts = tasks.groupBy("task", "zip", "rank").count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r["count"] for r in counts) == 300_000
+    hot = [r for r in counts if r.zip == 1]
+    assert {r["rank"] for r in hot} == {1} and sum(r["count"] for r in hot) == 100_000
+    assert max(r["count"] for r in hot) < 50_000
+
+
+def test_repeated_keeps_every_copy(spark):
+    copies = [1, 2, geography.COPIES_PER_STEP, geography.COPIES_PER_STEP + 1, 25_000]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(copies)], "id int, copies bigint")
+    counts = geography._repeated(rows, "copies").groupBy("id").count()
+    assert {r["id"]: r["count"] for r in counts.collect()} == dict(enumerate(copies))
