@@ -75,6 +75,25 @@ class Lanes:
     document: np.ndarray  # -1 where a lane has ended
 
 
+def streamed(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
+    """One document after another, the whole cut into lanes of equal length. A document
+    on a cut goes on in the next lane with a cleared state, which training can bear."""
+    targets = np.concatenate(documents)
+    document = np.repeat(np.arange(len(documents), dtype=np.int32), [len(d) for d in documents])
+    first = np.append(True, document[1:] != document[:-1])
+    inputs = np.where(first, start, np.append(start, targets[:-1]))
+    steps = max(4 * WINDOW, -(-len(targets) // lanes))
+    shape = (-(-len(targets) // steps), steps)
+    more = shape[0] * steps - len(targets)
+
+    def cut(row: np.ndarray, filled_by) -> np.ndarray:
+        return np.append(row, np.full(more, filled_by, row.dtype)).reshape(shape).T.copy()
+
+    found = Lanes(cut(inputs, 0), cut(targets, 0), cut(first, False), cut(document, -1))
+    found.starts[0] = True
+    return found
+
+
 def laid_out(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
     """Longest first, each to the lane with the fewest words. The input of a word is the
     one before it, ``start`` for the first."""
@@ -195,7 +214,7 @@ def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.nd
 
 
 class Trainer:
-    """Adam on windows of truncated backpropagation, one batch of documents at a time."""
+    """Adam on windows of truncated backpropagation, some documents at a time."""
 
     def __init__(self, flat: np.ndarray, vocabulary: int):
         self.flat, self.vocabulary = flat.copy(), vocabulary
@@ -204,7 +223,7 @@ class Trainer:
         self.words = 0
 
     def learn(self, documents: Sequence[np.ndarray], start: int) -> None:
-        lanes = laid_out(documents, start)
+        lanes = streamed(documents, start)
         v = views(self.flat, self.vocabulary)
         state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
         for at in range(0, len(lanes.inputs), WINDOW):

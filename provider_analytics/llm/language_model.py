@@ -1,2 +1,211 @@
-"""Placeholder."""
-def scored(docs): raise NotImplementedError
+"""Language-model scores of whole documents by a small gated recurrent network.
+
+The network predicts the most frequent words, the document's end and one mark for all
+other words; such a word then has its share, by smoothed counts, of what the mark gets,
+so that every text has a probability. All words of all training documents are counted,
+and all of them train: each task trains a copy of the network on its documents, and the
+copies are averaged by the words they saw, in two steps so that no task meets all of
+them. Counts stay distributed: only the most frequent words come to the driver and go to
+the tasks, and a document's other words look theirs up in a join.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import gated_network as network
+from .common import frequent, staged, utf8
+
+#: Words the network predicts, the end and the mark for other words included.
+VOCABULARY = 512
+#: Words whose counts go to every task at most, and the longest of them in bytes.
+KNOWN = 1 << 17
+KNOWN_BYTES = 64
+END, OTHER = 0, 1
+FOLDS, HELD_OUT = 7, 2
+#: Words counted in a task before they are passed on.
+COUNTED = 1 << 18
+#: Words of the documents that are trained or scored side by side.
+BATCH = 1 << 20
+#: Trained copies averaged by a task, and parameters of a piece.
+COPIES = 256
+PIECE = 4096
+
+
+def held_out() -> F.Column:
+    """By the remainder of the CRC-32 of doc_id as text; a null id counts as ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == HELD_OUT
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return utf8(text or "").lower().split()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word and its count ``n`` in all ``docs``; each task adds up what it can hold."""
+
+    def flushed(counts: Counter) -> pa.RecordBatch:
+        words = pa.array(list(counts), pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(words_of(text))
+                if len(counts) > COUNTED:
+                    yield flushed(counts)
+                    counts = Counter()
+        yield flushed(counts)
+
+    return docs.select("text").mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class Numbers:
+    """Words by number: END, OTHER, the network's words, then others that are known."""
+
+    def __init__(self, words: list[str], counts: list[int], vocabulary: int):
+        self.first = 2  # of a word
+        self.vocabulary = min(vocabulary, len(words) + self.first)
+        self.number = {utf8(word): i for i, word in enumerate(words, self.first)}
+        self.counts = np.array([0, 0, *counts], np.float64)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers, -1 for words not known."""
+        get = self.number.get
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+    def targets(self, numbers: np.ndarray) -> np.ndarray:
+        """What the network predicts for them, and then the end."""
+        predicted = (numbers >= 0) & (numbers < self.vocabulary)
+        return np.append(np.where(predicted, numbers, OTHER), END).astype(np.int32)
+
+
+def _in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], pa.RecordBatch, list[list[bytes]]]]:
+    """Rows and words of documents, some at a time, by words rather than by rows."""
+    for batch in batches:
+        rows, words, total = [], [], 0
+        for i, text in enumerate(batch.column("text")):
+            rows.append(i)
+            words.append(words_of(text.as_py()))
+            total += len(words[-1]) + 1
+            if total > BATCH:
+                yield rows, batch, words
+                rows, words, total = [], [], 0
+        if rows:
+            yield rows, batch, words
+
+
+def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
+    """The parameters after every task has trained a copy of ``start`` on its documents,
+    averaged by words."""
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = network.Trainer(start, numbers.vocabulary)
+        for _, _, documents in _in_batches(batches):
+            trainer.learn([numbers.targets(numbers.of(words)) for words in documents], END)
+        if not trainer.words:
+            return
+        pieces = list(network.chunks(trainer.flat.astype(np.float64) * trainer.words, PIECE))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([i for i, _ in pieces], pa.int64()),
+                pa.array([p.tobytes() for _, p in pieces], pa.binary()),
+                pa.array([trainer.words] * len(pieces), pa.int64()),
+            ],
+            names=["piece", "total", "words"],
+        )
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(t) for t in rows["total"]], axis=0)
+        return pd.DataFrame([(rows["piece"].iloc[0], total.tobytes(), rows["words"].sum())], columns=["piece", "total", "words"])
+
+    schema = "piece bigint, total binary, words bigint"
+    copies = docs.select("text").mapInArrow(train, schema)
+    group = F.floor(F.spark_partition_id() / F.lit(COPIES)).alias("group")
+    some = copies.select("*", group).groupBy("group", "piece").applyInPandas(lambda rows: added(rows.drop(columns="group")), schema)
+    rows = some.groupBy("piece").applyInPandas(added, schema).toPandas().sort_values("piece")
+    if rows.empty:
+        return start
+    parts = [np.frombuffer(t) / w for t, w in zip(rows["total"], rows["words"], strict=True)]
+    return np.concatenate(parts).astype(np.float32)
+
+
+def scored(docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id,
+    held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    A null or empty text is scored by its end alone. Rows that repeat count as often as
+    they come and get equal scores. Without training documents all counts are zero and
+    the network keeps its first weights. An empty table gives no rows.
+    """
+    number = F.monotonically_increasing_id().alias("row")
+    texts = docs.select(number, F.col("doc_id").cast("bigint"), held_out().alias("held_out"), "text")
+    training = texts.where(~F.col("held_out"))
+    counts = staged(word_counts(training), "word-counts")
+    distinct, total = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
+    ends = training.count()
+    train_tokens = (total or 0) + ends
+    train_distinct = distinct + bool(ends)
+
+    short = counts.where(F.octet_length("word") <= KNOWN_BYTES)
+    most = frequent(short, known).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    numbers = Numbers(most["word"].tolist(), most["n"].tolist(), vocabulary)
+    numbers.counts[END] = ends
+    in_network = numbers.counts[: numbers.vocabulary].copy()
+    in_network[OTHER] = others = train_tokens - in_network.sum()
+    parameters = trained(training, numbers, network.initial(in_network))
+
+    # log10 of what a count of c gives: (c + 1) of these.
+    base_unit = -np.log10(train_tokens + train_distinct + 1)
+    other_unit = -np.log10(others + max(0, train_distinct - (numbers.vocabulary - 1)) + 1)
+    log_counts = np.log10(numbers.counts + 1)
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, batch, documents in _in_batches(batches):
+            found = [numbers.of(words) for words in documents]
+            targets = [numbers.targets(n) for n in found]
+            model = network.log_likelihoods(parameters, numbers.vocabulary, targets, END) / np.log(10)
+            columns: dict[str, list] = {name: [] for name in names[3:]}
+            for words, n, target, by_model in zip(documents, found, targets, model, strict=True):
+                known_words = n[n >= 0]
+                logs = log_counts[known_words]
+                columns["n_tokens"].append(len(target))
+                columns["n_known"].append(len(known_words) + (ends > 0))
+                columns["base_score"].append(logs.sum() + log_counts[END] + len(target) * base_unit)
+                of_others = logs[known_words >= numbers.vocabulary].sum() + (target == OTHER).sum() * other_unit
+                columns["score"].append(by_model + of_others)
+                columns["rest"].append([words[i] for i in np.flatnonzero(n < 0)])
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
+            arrays = [pa.array(columns[name], kind) for name, kind in zip(names[3:], kinds, strict=True)]
+            arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
+            own = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in names[:3]), *arrays], names=names)
+
+    schema = (
+        "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint,"
+        " base_score double, score double, rest array<string>"
+    )
+    partly = staged(texts.mapInArrow(score, schema), "scores")
+    rest = partly.select("row", F.explode("rest").alias("word"))
+    looked_up = rest.join(counts, "word").groupBy("row").agg(
+        F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1)).alias("more")
+    )
+    more = F.coalesce("more", F.lit(0.0))
+    return partly.drop("rest").join(looked_up, "row", "left").select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(train_tokens).cast("bigint").alias("train_tokens"),
+        (F.col("base_score") + more).alias("base_score"),
+        (F.col("score") + more).alias("score"),
+    )
