@@ -14,9 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-UNITS = 16
-LANES = 256
-WINDOW = 32
+UNITS = 8
+LANES = 512
+WINDOW = 16
 RATE = 0.01
 #: The gradient's length at most, per word.
 STEEPEST = 1.0
@@ -95,16 +95,15 @@ def streamed(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) ->
 
 
 def laid_out(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
-    """Longest first, each to the lane with the fewest words. The input of a word is the
-    one before it, ``start`` for the first."""
+    """Longest first, each to the lane with the fewest words; lanes with the most words come
+    first. The input of a word is the one before it, ``start`` for the first."""
     n = max(1, min(lanes, len(documents)))
-    filled = [(0, lane) for lane in range(n)]
-    queues: list[list[int]] = [[] for _ in range(n)]
+    filled: list[tuple[int, list[int]]] = [(0, []) for _ in range(n)]
     for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
-        length, lane = heapq.heappop(filled)
-        queues[lane].append(i)
-        heapq.heappush(filled, (length + len(documents[i]), lane))
-    steps = max(length for length, _ in filled)
+        length, queue = filled[0]
+        heapq.heapreplace(filled, (length + len(documents[i]), [*queue, i]))
+    filled.sort(reverse=True)
+    steps, queues = filled[0][0], [queue for _, queue in filled]
     targets = np.zeros((n, steps), np.int32)
     inputs = np.zeros((n, steps), np.int32)
     starts = np.zeros((n, steps), bool)
@@ -204,15 +203,22 @@ def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.nd
     v, lanes = views(flat, vocabulary), laid_out(documents, start)
     state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
     for at in range(0, len(lanes.inputs), WINDOW):
-        window = slice(at, at + WINDOW)
-        after = _run(v, lanes.inputs[window], lanes.starts[window], state)[1]
+        open_ = int((lanes.document[at] >= 0).sum())  # lanes that have not ended
+        window = slice(at, at + WINDOW), slice(0, open_)
+        after = _run(v, lanes.inputs[window], lanes.starts[window], state[:open_])[1]
         state = after[-1]
-        real = lanes.document[window] >= 0
-        logp = _outputs(v, after[real], lanes.targets[window][real])
-        total += np.bincount(lanes.document[window][real], logp, len(documents))
+        document = lanes.document[window]
+        real = _chosen(document >= 0)
+        logp = _outputs(v, after.reshape(-1, UNITS)[real], lanes.targets[window].ravel()[real])
+        total += np.bincount(document.ravel()[real], logp, len(documents))
     return total
 
 
+def _chosen(which: np.ndarray) -> np.ndarray | slice:
+    """An index of the set places of the flattened array; all of them as a plain slice."""
+    return slice(None) if which.all() else np.flatnonzero(which)
+
+
 class Trainer:
     """Adam on windows of truncated backpropagation, some documents at a time."""
 
@@ -228,14 +234,15 @@ class Trainer:
         state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
         for at in range(0, len(lanes.inputs), WINDOW):
             window = slice(at, at + WINDOW)
-            inputs, real = lanes.inputs[window], lanes.document[window] >= 0
+            inputs, real = lanes.inputs[window], _chosen(lanes.document[window] >= 0)
             before, after, gates, candidates = _run(v, inputs, lanes.starts[window], state)
             state = after[-1]
             gradient = np.zeros_like(self.flat)
             g = views(gradient, self.vocabulary)
-            _, dh = _outputs(v, after[real], lanes.targets[window][real], g)
+            targets = lanes.targets[window].ravel()[real]
+            _, dh = _outputs(v, after.reshape(-1, UNITS)[real], targets, g)
             above = np.zeros_like(after)
-            above[real] = dh
+            above.reshape(-1, UNITS)[real] = dh
             da = self._back(v, above, before, gates, candidates, lanes.starts[window])
             flat_da = da.reshape(-1, da.shape[2])
             g["recurrent"] += before.reshape(-1, UNITS).T @ flat_da
@@ -243,7 +250,7 @@ class Trainer:
             order = np.argsort(ids, kind="stable")
             present, first = np.unique(ids[order], return_index=True)
             g["input"][present] += np.add.reduceat(flat_da[order], first)
-            self._update(gradient, int(real.sum()))
+            self._update(gradient, len(targets))
 
     @staticmethod
     def _back(v, above, before, gates, candidates, starts) -> np.ndarray:

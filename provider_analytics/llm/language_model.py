@@ -92,9 +92,9 @@ def _in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int],
     """Rows and words of documents, some at a time, by words rather than by rows."""
     for batch in batches:
         rows, words, total = [], [], 0
-        for i, text in enumerate(batch.column("text")):
+        for i, text in enumerate(batch.column("text").to_pylist()):
             rows.append(i)
-            words.append(words_of(text.as_py()))
+            words.append(words_of(text))
             total += len(words[-1]) + 1
             if total > BATCH:
                 yield rows, batch, words
