@@ -17,6 +17,8 @@ import numpy as np
 UNITS = 8
 LANES = 512
 WINDOW = 16
+#: Steps of a window when scoring, which keeps nothing for a way back.
+SCORED = 64
 RATE = 0.01
 #: The gradient's length at most, per word.
 STEEPEST = 1.0
@@ -173,6 +175,7 @@ def _outputs(v: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray, grad:
         grad["class_weights"] += h.T @ p
         grad["class_bias"] += p.sum(axis=0)
         dh = p @ v["class_weights"].T
+    kind = kind.astype(np.int16)  # short integers sort by digits
     order = np.argsort(kind, kind="stable")
     edges = np.searchsorted(kind[order], np.arange(k + 1))
     for c in range(k):
@@ -202,9 +205,9 @@ def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.nd
         return total
     v, lanes = views(flat, vocabulary), laid_out(documents, start)
     state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
-    for at in range(0, len(lanes.inputs), WINDOW):
+    for at in range(0, len(lanes.inputs), SCORED):
         open_ = int((lanes.document[at] >= 0).sum())  # lanes that have not ended
-        window = slice(at, at + WINDOW), slice(0, open_)
+        window = slice(at, at + SCORED), slice(0, open_)
         after = _run(v, lanes.inputs[window], lanes.starts[window], state[:open_])[1]
         state = after[-1]
         document = lanes.document[window]
@@ -246,7 +249,7 @@ class Trainer:
             da = self._back(v, above, before, gates, candidates, lanes.starts[window])
             flat_da = da.reshape(-1, da.shape[2])
             g["recurrent"] += before.reshape(-1, UNITS).T @ flat_da
-            ids = inputs.ravel()
+            ids = inputs.ravel().astype(np.int16)
             order = np.argsort(ids, kind="stable")
             present, first = np.unique(ids[order], return_index=True)
             g["input"][present] += np.add.reduceat(flat_da[order], first)
@@ -255,13 +258,18 @@ class Trainer:
     @staticmethod
     def _back(v, above, before, gates, candidates, starts) -> np.ndarray:
         units = above.shape[2]
+        of_gate = 2 * (candidates - before) * gates * (1 - gates)
+        of_candidate = gates * (1 - candidates * candidates)
+        stays = 1 - gates
         da = np.empty((*above.shape[:2], 2 * units), np.float32)
+        turned = np.ascontiguousarray(v["recurrent"].T)
         carried = np.zeros_like(above[0])
         for t in reversed(range(len(above))):
-            d = above[t] + carried
-            da[t, :, :units] = 2 * d * (candidates[t] - before[t]) * gates[t] * (1 - gates[t])
-            da[t, :, units:] = d * gates[t] * (1 - candidates[t] ** 2)
-            carried = d * (1 - gates[t]) + da[t] @ v["recurrent"].T
+            carried += above[t]
+            np.multiply(carried, of_gate[t], out=da[t, :, :units])
+            np.multiply(carried, of_candidate[t], out=da[t, :, units:])
+            carried *= stays[t]
+            carried += da[t] @ turned
             carried[starts[t]] = 0
         return da
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -72,9 +73,10 @@ class Numbers:
     """Words by number: END, OTHER, the network's words, then others that are known."""
 
     def __init__(self, words: list[str], counts: list[int], vocabulary: int):
-        self.first = 2  # of a word
+        self.first = 2
         self.vocabulary = min(vocabulary, len(words) + self.first)
         self.number = {utf8(word): i for i, word in enumerate(words, self.first)}
+        self.predicted = {utf8(word): i for i, word in enumerate(words[: self.vocabulary - 2], self.first)}
         self.counts = np.array([0, 0, *counts], np.float64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -82,6 +84,11 @@ class Numbers:
         get = self.number.get
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
+    def targets_of(self, words: list[bytes]) -> np.ndarray:
+        """``targets(of(words))``, from a small table."""
+        get = self.predicted.get
+        return np.fromiter(chain((get(w, OTHER) for w in words), (END,)), np.int32, len(words) + 1)
+
     def targets(self, numbers: np.ndarray) -> np.ndarray:
         """What the network predicts for them, and then the end."""
         predicted = (numbers >= 0) & (numbers < self.vocabulary)
@@ -110,7 +117,7 @@ def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = network.Trainer(start, numbers.vocabulary)
         for _, _, documents in _in_batches(batches):
-            trainer.learn([numbers.targets(numbers.of(words)) for words in documents], END)
+            trainer.learn([numbers.targets_of(words) for words in documents], END)
         if not trainer.words:
             return
         pieces = list(network.chunks(trainer.flat.astype(np.float64) * trainer.words, PIECE))
