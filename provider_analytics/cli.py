@@ -42,8 +42,17 @@ def parser() -> argparse.ArgumentParser:
                 type=_source,
                 help=f"NAME=PATH, names are {', '.join(DATASETS)}",
             )
+            sub.add_argument(
+                "--multi-line", action="store_true", help="JSON matrices in any layout"
+            )
         if command != "load":
             sub.add_argument("--export", help="folder for the CSV extract")
+            sub.add_argument(
+                "--export-rows",
+                type=lambda text: None if text == "all" else int(text),
+                default=jobs.EXPORT_ROWS,
+                help="rows of the extract, or all",
+            )
             sub.add_argument("--expected-rows", type=int)
             sub.add_argument("--quarantine", action="store_true")
             sub.add_argument("--cluster-by-county", action="store_true")
@@ -59,17 +68,18 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
     workspace = jobs.Workspace(given.root, given.database)
     if given.command == "load":
         for name, path in given.sources:
-            jobs.load(spark, name, path, workspace)
+            jobs.load(spark, name, path, workspace, multi_line=given.multi_line)
         return
     options = {
         "population_order": given.population_order,
         "name_fallback": given.name_fallback,
         "expected_rows": given.expected_rows,
         "export_path": given.export,
+        "export_rows": given.export_rows,
         "quarantine": given.quarantine,
         "cluster_by_county": given.cluster_by_county,
     }
     if given.command == "build":
         jobs.build(spark, workspace, **options)
     else:
-        jobs.run(spark, dict(given.sources), workspace, **options)
+        jobs.run(spark, dict(given.sources), workspace, given.multi_line, **options)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .publish import written
-
 VIEW_COLUMNS = [
     "npi",
     "entity_type_code",
@@ -21,27 +19,6 @@ VIEW_COLUMNS = [
 # Number of groups among which providers without a taxonomy code are shared out.
 NULL_KEY_SPREAD = 4096
 
-# The published taxonomy has under 1,000 codes. A longer list than this is cut
-# down to the codes in use before providers are joined with it.
-LONG_LIST_ROWS = 100_000
-
-
-def is_long_list(nucc: DataFrame) -> bool:
-    return nucc.count() > LONG_LIST_ROWS
-
-
-def taxonomy_in_use(providers: DataFrame, nucc: DataFrame, root: str) -> DataFrame:
-    """The taxonomy rows that a join with ``providers`` can match.
-
-    For a long list. Finding the codes in use reads one column and combines it on
-    the map side. Codes and rows are written under ``root``, so that Spark knows
-    their size and can broadcast them, where joining the whole list would have
-    all providers shuffled.
-    """
-    codes = providers.select(F.col("primary_taxonomy_code").alias("code")).distinct()
-    used = nucc.join(written(codes, "codes_in_use", root), "code", "left_semi")
-    return written(used, "taxonomy_in_use", root)
-
 
 def taxonomy_lookup(nucc: DataFrame) -> DataFrame:
     """One row per code, so that joining it cannot multiply providers.
@@ -118,18 +95,20 @@ def view_county(subset: DataFrame, zips: DataFrame, taxonomy: DataFrame) -> Data
 def view_county_late_dedup(
     subset: DataFrame, zips: DataFrame, nucc: DataFrame
 ) -> DataFrame:
-    """The same view for a taxonomy list used as it is: duplicates go at the end.
+    """The view for tables in which neither npi nor taxonomy codes need be unique.
 
-    The generic form. It shuffles every provider, so ``view_county`` is the one to
-    use; tests check that both agree. The rows of a provider come from one task, so
-    they combine before that shuffle.
+    The generic form: one row per npi, the first by classification, grouping and
+    specialization, then by the provider's own columns, NULL first; rows without an npi
+    count as one. It shuffles every provider, so ``view_county`` is the one to use. A
+    code listed M times multiplies its N providers before they are reduced, on the map
+    side as far as rows of an npi come from one task.
     """
     joined = with_taxonomy(with_county(subset, zips), nucc)
-    details = F.struct("classification", "grouping", "specialization")
-    others = VIEW_COLUMNS[: VIEW_COLUMNS.index("classification")]
+    details = ["classification", "grouping", "specialization"]
+    others = [name for name in VIEW_COLUMNS if name not in ("npi", *details)]
     return (
-        joined.groupBy(*others)
-        .agg(F.min(details).alias("details"))
-        .select(*others, "details.*")
+        joined.groupBy("npi")
+        .agg(F.min(F.struct(*details, *others)).alias("first"))
+        .select("npi", "first.*")
         .select(*VIEW_COLUMNS)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,11 +17,6 @@ def write_files(df: DataFrame, name: str, root: str) -> str:
     return location
 
 
-def written(df: DataFrame, name: str, root: str) -> DataFrame:
-    """``df`` read back from files: no lineage to redo, and a size that Spark knows."""
-    return df.sparkSession.read.parquet(write_files(df, name, root))
-
-
 def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:
     """Replace the content of ``table`` by ``df`` and return the table.
 
@@ -31,20 +27,82 @@ def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:
     return point_table(df.sparkSession, table, write_files(df, table, root))
 
 
-def point_table(spark: SparkSession, table: str, location: str) -> DataFrame:
-    """Make ``table`` the Parquet files at ``location``, which stay where they are."""
-    name = ".".join(quoted(part) for part in table.split("."))
+def _sql_name(table: str) -> str:
+    return ".".join(quoted(part) for part in table.split("."))
+
+
+def location_of(spark: SparkSession, table: str) -> str | None:
+    """Where the files of ``table`` are; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_sql_name(table)}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def _create(spark: SparkSession, table: str, location: str) -> None:
     place = "'" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if spark.catalog.tableExists(table):
-        if spark.table(table).schema == spark.read.parquet(location).schema:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {place}")
-            spark.catalog.refreshTable(table)
-            return spark.table(table)
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {place}")
+    spark.sql(f"CREATE TABLE {_sql_name(table)} USING parquet LOCATION {place}")
+
+
+def _rename(spark: SparkSession, table: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {_sql_name(table)} RENAME TO {_sql_name(to)}")
+
+
+def point_table(spark: SparkSession, table: str, location: str) -> DataFrame:
+    """Make ``table`` the Parquet files at ``location``, which stay where they are.
+
+    A managed table is refused, since its files would go with the old definition. For
+    another schema the new table is created under a name of its own before the old one
+    gives up its name, and the old one comes back if that fails. Between the two renames
+    the name is missing; a session that ended there is mended by the next call.
+    """
+    new, old = f"{table}__new", f"{table}__old"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(old):
+        _rename(spark, old, table)
+    if not spark.catalog.tableExists(table):
+        _create(spark, table, location)
+        return spark.table(table)
+    if spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is a managed table: its files would be lost")
+    if spark.table(table).schema == spark.read.parquet(location).schema:
+        place = "'" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {_sql_name(table)} SET LOCATION {place}")
+        spark.catalog.refreshTable(table)
+        return spark.table(table)
+    for name in (new, old):
+        spark.sql(f"DROP TABLE IF EXISTS {_sql_name(name)}")
+    _create(spark, new, location)
+    _rename(spark, table, old)
+    try:
+        _rename(spark, new, table)
+    except Exception:
+        _rename(spark, old, table)
+        raise
+    spark.sql(f"DROP TABLE {_sql_name(old)}")
     return spark.table(table)
 
 
+def point_tables(spark: SparkSession, locations: Mapping[str, str]) -> None:
+    """Point several tables one after another; if one fails, those before it go back.
+
+    A reader may see some tables of the new build beside some of the old while this
+    runs: a moment, since all files are written before.
+    """
+    before = {table: location_of(spark, table) for table in locations}
+    done = []
+    try:
+        for table, location in locations.items():
+            point_table(spark, table, location)
+            done.append(table)
+    except Exception:
+        for table in reversed(done):
+            if before[table]:
+                point_table(spark, table, before[table])
+            else:
+                spark.sql(f"DROP TABLE {_sql_name(table)}")
+        raise
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in each file, quotes only where needed and doubled inside.
 

@@ -61,6 +61,24 @@ def missing_county_rate(providers: DataFrame) -> DataFrame:
     )
 
 
+def view_checks(subset: DataFrame, view: DataFrame, key: str = "npi") -> DataFrame:
+    """One row: the rows of the subset and of the view, and the view's repeated keys."""
+    repeated = duplicate_keys(view, key).agg(F.count(F.lit(1)).alias("repeated_keys"))
+    rows = [
+        df.agg(F.count(F.lit(1)).alias(name))
+        for df, name in ((subset, "subset_rows"), (view, "view_rows"))
+    ]
+    one = F.lit(1).alias("one")
+    subset_rows, view_rows, repeated = (df.select("*", one) for df in (*rows, repeated))
+    return subset_rows.join(view_rows, "one").join(repeated, "one").drop("one")
+
+
+def require_valid_view(subset: DataFrame, view: DataFrame, key: str = "npi") -> None:
+    found = view_checks(subset, view, key).first()
+    if found.subset_rows != found.view_rows or found.repeated_keys:
+        raise QualityError(f"the view does not have one row per {key}: {found}")
+
+
 def require_valid_keys(df: DataFrame, key: str = "npi") -> None:
     examples = key_violations(df, key).limit(5).collect()
     if examples:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleanse
 
-TOP_TASKS = 8192
+#: Groups of tasks that each pass on their first rows.
+TOP_GROUPS = 1024
 
 
 def provider_subset(
@@ -31,11 +32,14 @@ def provider_subset(
 def _top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """The first ``n`` rows in an order, without a full sort.
 
-    Each task keeps its own first ``n`` and one task merges them. ``coalesce``
-    shuffles nothing and limits what that task gets when the input has hundreds
-    of thousands of partitions; fewer partitions are left as they are.
+    Each task passes on its own first ``n``, each group of tasks the first ``n`` of
+    those, and one task merges what ``TOP_GROUPS`` groups have left. The scan below keeps
+    all its tasks.
     """
-    return df.coalesce(TOP_TASKS).orderBy(*order).limit(n)
+    group = F.pmod(F.spark_partition_id(), F.lit(TOP_GROUPS))
+    place = F.row_number().over(Window.partitionBy("task_group").orderBy(*order))
+    firsts = df.withColumn("task_group", group).withColumn("place", place).where(F.col("place") <= n)
+    return firsts.drop("task_group", "place").orderBy(*order).limit(n)
 
 
 def first_by_key(df: DataFrame, n: int, key: str = "npi") -> DataFrame:

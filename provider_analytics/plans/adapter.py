@@ -26,7 +26,7 @@ _SHARED = {
     "z": "string(100 + o_custkey % 60)",
     "odd": "o_orderkey & 1 = 1",
     "nameless": "o_orderkey % 23 = 0",
-    "postal_kind": "int(o_orderkey & 7)",
+    "postal_kind": "coalesce(int(o_orderkey & 7), 7)",
     "third": "o_orderkey % 3",
     "fifth": "o_orderkey % 5",
     "even_code_fixed": "o_orderkey % 29 = 0",
@@ -42,14 +42,21 @@ _SLOTS = range(1, TAXONOMY_SLOTS + 1)
 
 _ORDER_COLUMNS = {
     "npi": "string(1000000000 + k)",
-    "entity_type_code": "if(k % 17 = 0, '', if(odd, '2', '1'))",
+    "entity_type_code": "if(k % 17 = 0, '', string(1 + k % 2))",
     cleanse.ORGANISATION: """
         CASE WHEN nameless THEN '' WHEN odd THEN concat('ORG ', o_orderpriority)
              WHEN fifth = 4 THEN NULL ELSE '' END""",
-    "provider_name_prefix_text": "if(nameless OR fifth <> 0, '', 'DR.')",
+    "provider_name_prefix_text": "if(NOT nameless AND fifth = 0, 'DR.', '')",
     "provider_first_name": "if(nameless, '', concat('F', o_custkey))",
-    "provider_credential_text": "if(nameless OR third <> 0, '', 'MD')",
-    cleanse.OTHER_ORGANISATION: "'ALT'",
+    "provider_middle_name": "if(NOT nameless AND fifth = 1, 'Q.', '')",
+    "provider_name_suffix_text": "if(NOT nameless AND fifth = 2, 'JR', NULL)",
+    "provider_credential_text": "if(NOT nameless AND third = 0, 'MD', '')",
+    cleanse.OTHER_ORGANISATION: "if(third = 0, '', 'ALT')",
+    "provider_other_name_prefix_text": "'PROF.'",
+    "provider_other_first_name": "if(fifth = 0, '', concat('O', o_custkey))",
+    "provider_other_middle_name": "if(fifth = 1, 'X.', NULL)",
+    "provider_other_last_name": "if(fifth = 3, '', 'OTHER')",
+    "provider_other_name_suffix_text": "if(fifth = 2, 'SR', '')",
     cleanse.PRACTICE_ADDRESS[0]: "concat(k, ' MAIN ST')",
     cleanse.PRACTICE_ADDRESS[1]: "if(postal_kind & 3 = 0, 'STE 1', '')",
     # z has three digits: padded to 5, kept at 3 or cut to 0, then a tail by kind.
@@ -98,8 +105,8 @@ def _with_shared(rows: DataFrame) -> DataFrame:
     )
     return (
         rows.selectExpr("*", *[f"{value} AS {name}" for name, value in _SHARED.items()])
-        .join(F.broadcast(switches), F.expr(f"k % {_SWITCH_PERIOD} = switch_key"))
-        .join(F.broadcast(codes), F.expr(f"k % {_CODE_PERIOD} = code_key"))
+        .join(F.broadcast(switches), F.expr(f"k % {_SWITCH_PERIOD} = switch_key"), "left")
+        .join(F.broadcast(codes), F.expr(f"k % {_CODE_PERIOD} = code_key"), "left")
     )
 
 
@@ -120,16 +127,6 @@ class Inputs:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
-    @cached_property
-    def order_providers(self) -> DataFrame:
-        """The provider columns that need no customer, for rules that use only those."""
-        return _select(_with_shared(self._orders), _ORDER_COLUMNS | _slot_columns())
-
-    @cached_property
-    def _orders(self) -> DataFrame:
-        # Never NULL; saying so leaves a check out of each expression on the key.
-        return self.table("orders").where("o_orderkey IS NOT NULL")
-
     @cached_property
     def providers(self) -> DataFrame:
         """All 59 provider columns, normalised names, one row per order."""
@@ -138,7 +135,7 @@ class Inputs:
             .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
             .select("n_nationkey", "n_name", "r_name")
         )
-        rows = self._orders.join(
+        rows = self.table("orders").join(
             self.table("customer"), F.expr("o_custkey = c_custkey")
         ).join(places, F.expr("c_nationkey = n_nationkey"))
         values = _ORDER_COLUMNS | _CUSTOMER_COLUMNS | _slot_columns()

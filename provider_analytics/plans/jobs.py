@@ -7,13 +7,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import enrich, geography, publish, quality, subset
+from ..operators import enrich, geography, marts, publish, quality, subset
 from ..sources import readers
 from ..sources.registry import DATASETS, read_dataset
 
+#: Rows of the CSV extract unless the caller says otherwise.
 EXPORT_ROWS = 1000
 
 
+#: Results per county, from the rows of ``provider_county_full``.
+MARTS = {
+    "county_provider_counts": marts.county_provider_counts,
+    "county_specialty_distribution": marts.county_specialty_distribution,
+    "providers_per_capita": marts.providers_per_capita,
+}
+
+
 @dataclass(frozen=True)
 class Workspace:
     """Where tables live: a folder for their files and a database for their names."""
@@ -25,16 +34,25 @@ class Workspace:
         return f"{self.database}.{name}"
 
 
-def load(spark: SparkSession, name: str, source: str, workspace: Workspace) -> DataFrame:
-    """Full refresh of one dataset from the file or folder ``source``."""
+def load(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    workspace: Workspace,
+    types: Mapping[str, str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Full refresh of one dataset from the file or folder ``source``; see ``read_dataset``."""
     return publish.replace_table(
-        read_dataset(spark, name, source), workspace.table(name), workspace.root
+        read_dataset(spark, name, source, types, multi_line), workspace.table(name), workspace.root
     )
 
 
-def refresh_population(spark: SparkSession, source: str, workspace: Workspace) -> DataFrame:
+def refresh_population(
+    spark: SparkSession, source: str, workspace: Workspace, multi_line: bool = False
+) -> DataFrame:
     """Full refresh of the county population alone."""
-    return load(spark, "county_pop", source, workspace)
+    return load(spark, "county_pop", source, workspace, multi_line=multi_line)
 
 
 def build(
@@ -44,18 +62,21 @@ def build(
     name_fallback: str = "person",
     expected_rows: int | None = None,
     export_path: str | None = None,
+    export_rows: int | None = EXPORT_ROWS,
     quarantine: bool = False,
     cluster_by_county: bool = False,
 ) -> DataFrame:
-    """Derive the provider subset, the ZIP counties and the provider view.
+    """Derive the provider subset, the ZIP counties, the provider view and the marts.
 
-    Each step reads the written files of the one before, so a lost executor costs
-    its own tasks only. The tables are replaced together after the checks have
-    passed, and the extract is written last.
+    Each step reads the written files of the one before, so a lost executor costs its
+    own tasks only. Keys are checked in the subset, and rows and keys in the view, before
+    any table is replaced (see ``publish.point_tables``); the extract is written last,
+    with the first ``export_rows`` rows by npi, or all of them for None.
 
     A malformed row stops the job; with ``quarantine`` it goes to the table
-    ``nppes_malformed`` and the others are used. ``cluster_by_county`` sorts each
-    file of the view, without a shuffle, so that reads of one county skip most of it.
+    ``nppes_malformed``, empty otherwise, and the others are used.
+    ``cluster_by_county`` sorts each file of the view, without a shuffle, so that reads
+    of one county skip most of it.
     """
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("spark.sql.ansi.enabled is off: malformed values would pass as NULL")
@@ -70,15 +91,13 @@ def build(
         return spark.read.parquet(written[name])
 
     raw = loaded("nppes")
+    write("nppes_malformed", quality.malformed_rows(raw) if quarantine else raw.where("false"))
     if quarantine:
-        write("nppes_malformed", quality.malformed_rows(raw))
         raw = raw.where(~quality.is_malformed())
     providers = write(
         "nppes_subset", subset.provider_subset(raw, name_fallback=name_fallback)
     )
     quality.require_valid_keys(providers)
-    if expected_rows is not None:
-        quality.require_row_count(providers, expected_rows)
 
     zips = write(
         "ranked_zip",
@@ -90,17 +109,21 @@ def build(
             population_order,
         ),
     )
-    nucc = loaded("nucc")
-    if enrich.is_long_list(nucc):
-        nucc = enrich.taxonomy_in_use(providers, nucc, workspace.root)
-    enriched = enrich.view_county(providers, zips, enrich.taxonomy_lookup(nucc))
+    taxonomy = enrich.taxonomy_lookup(loaded("nucc"))
+    enriched = enrich.provider_county_full(providers, zips, taxonomy)
     if cluster_by_county:
         enriched = enriched.sortWithinPartitions("county_name")
-    view = write("view_county", enriched)
-    for name, location in written.items():
-        publish.point_table(spark, workspace.table(name), location)
+    full = write("provider_county_full", enriched)
+    view = write("view_county", full.select(*enrich.VIEW_COLUMNS))
+    quality.require_valid_view(providers, view)
+    if expected_rows is not None:
+        quality.require_row_count(view, expected_rows)
+    for name, mart in MARTS.items():
+        write(name, mart(full))
+    publish.point_tables(spark, {workspace.table(name): at for name, at in written.items()})
     if export_path is not None:
-        publish.export_csv(subset.first_by_key(view, EXPORT_ROWS), export_path)
+        rows = view if export_rows is None else subset.first_by_key(view, export_rows)
+        publish.export_csv(rows, export_path)
     return spark.table(workspace.table("view_county"))
 
 
@@ -108,6 +131,7 @@ def run(
     spark: SparkSession,
     sources: Mapping[str, str],
     workspace: Workspace,
+    multi_line: bool = False,
     **build_options,
 ) -> DataFrame:
     """Load all five datasets, then build."""
@@ -115,7 +139,7 @@ def run(
     if missing:
         raise ValueError(f"no source for {', '.join(sorted(missing))}")
     for name in DATASETS:
-        load(spark, name, sources[name], workspace)
+        load(spark, name, sources[name], workspace, multi_line=multi_line)
     return build(spark, workspace, **build_options)
 
 
@@ -130,13 +154,16 @@ def register_views(
 ) -> None:
     """Temporary views under the table names stakeholders query with SQL.
 
-    Like any view they are computed when read; ``build`` writes them instead.
+    Like any view they are computed when read; ``build`` writes them instead. The tables
+    are those that ``load`` wrote; ``county_pop`` may have its population renamed.
     """
     cleaned = subset.provider_subset(providers)
     zips = geography.zip_lookup(
-        crosswalk, geography.county_population(county_pop, fips), population_order
+        crosswalk,
+        geography.county_population(readers.rename_population(county_pop), fips),
+        population_order,
     )
-    view = enrich.view_county(cleaned, zips, enrich.taxonomy_lookup(nucc))
+    full = enrich.provider_county_full(cleaned, zips, enrich.taxonomy_lookup(nucc))
     views = {
         "nppes": providers,
         "nucc": nucc,
@@ -144,7 +171,9 @@ def register_views(
         "zip": crosswalk,
         "county_pop": county_pop,
         "nppes_subset": cleaned,
-        "view_county": view,
+        "provider_county_full": full,
+        "view_county": full.select(*enrich.VIEW_COLUMNS),
+        **{name: mart(full) for name, mart in MARTS.items()},
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)

@@ -38,8 +38,8 @@ def _subset(given: Inputs) -> DataFrame:
 
 
 def _keys(given: Inputs) -> DataFrame:
-    """The subset's key columns; names and addresses, which need the customer, are left out."""
-    return given.order_providers.select(
+    """The subset's key columns."""
+    return given.providers.select(
         cleanse.typed_cast("npi", "bigint").alias("npi"),
         cleanse.zip_code().alias("zip_code"),
         cleanse.primary_taxonomy().alias("primary_taxonomy_code"),
@@ -57,11 +57,7 @@ def _zips(given: Inputs, population_order: str = "text") -> DataFrame:
 
 
 def _taxonomy(given: Inputs) -> DataFrame:
-    nucc = given.nucc
-    if enrich.is_long_list(nucc):
-        folder = storage.fresh_folder(given.spark, "nucc")
-        nucc = enrich.taxonomy_in_use(_keys(given), nucc, folder)
-    return enrich.taxonomy_lookup(nucc)
+    return enrich.taxonomy_lookup(given.nucc)
 
 
 def _with_faults(given: Inputs) -> DataFrame:
@@ -108,6 +104,31 @@ def csv_ingest_bad_fields(given: Inputs) -> DataFrame:
     return read_dataset(given.spark, "zip", folder)
 
 
+@query
+def csv_header_order(given: Inputs) -> DataFrame:
+    """Two folders that have the same columns in another order."""
+    rows = given.crosswalk.select(F.col("zip").alias("ZIP"), F.col("county").alias("COUNTY"))
+    found = []
+    for part, order in ((0, ("ZIP", "COUNTY")), (1, ("COUNTY", "ZIP"))):
+        folder = storage.fresh_folder(given.spark, "zip")
+        publish.export_csv(rows.where(F.col("COUNTY") % 2 == part).select(*order), folder)
+        found.append(read_dataset(given.spark, "zip", folder))
+    return found[0].unionByName(found[1])
+
+
+@query
+def csv_typed_columns(given: Inputs) -> DataFrame:
+    folder = storage.fresh_folder(given.spark, "zip")
+    ratio = F.when(F.col("county") % 4 != 0, F.col("county") / 8)
+    publish.export_csv(
+        given.crosswalk.select(
+            F.col("zip").alias("ZIP"), F.col("county").alias("COUNTY"), ratio.alias("RES_RATIO")
+        ),
+        folder,
+    )
+    return read_dataset(given.spark, "zip", folder, types={"res_ratio": "double"})
+
+
 def _write_matrices(population: DataFrame, folder: str) -> None:
     """Each row as a matrix of its own, like many small answers of the service."""
     header = F.array(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
@@ -155,7 +176,7 @@ def rename_population(given: Inputs) -> DataFrame:
 
 
 def _rule(given: Inputs, name: str, rule, *inputs: str) -> DataFrame:
-    return given.order_providers.select("npi", *inputs, rule.alias(name))
+    return given.providers.select("npi", *inputs, rule.alias(name))
 
 
 @query
@@ -165,16 +186,16 @@ def blank_to_null(given: Inputs) -> DataFrame:
 
 @query
 def typed_cast(given: Inputs) -> DataFrame:
-    return given.order_providers.select(
+    return given.providers.select(
         cleanse.typed_cast("npi", "bigint").alias("npi"),
         cleanse.typed_cast("entity_type_code", "int").alias("entity_type_code"),
     )
 
 
 def _malformed(given: Inputs) -> DataFrame:
-    """Order providers of which some have a key or a type that is no number."""
+    """Providers of which some have a key or a type that is no number."""
     k = F.col("npi").cast("bigint") - 1000000000
-    rows = given.order_providers
+    rows = given.providers
     return rows.withColumns(
         {
             "npi": F.when(k % 89 == 0, F.concat(F.lit("X"), "npi")).otherwise(F.col("npi")),
@@ -308,6 +329,19 @@ def view_county_late_dedup(given: Inputs) -> DataFrame:
     )
 
 
+@query
+def view_county_repeated_npi(given: Inputs) -> DataFrame:
+    """Some npi come twice, with another name and no taxonomy."""
+    rows = _subset(given)
+    again = rows.where("npi % 97 = 0").withColumns(
+        {
+            "entity_name": F.concat(F.lit("AGAIN "), "entity_name"),
+            "primary_taxonomy_code": F.lit(None).cast("string"),
+        }
+    )
+    return enrich.view_county_late_dedup(rows.unionByName(again), _zips(given), given.nucc)
+
+
 @query
 def provider_county_full(given: Inputs) -> DataFrame:
     return enrich.provider_county_full(
@@ -333,7 +367,7 @@ def view_sql(given: Inputs) -> DataFrame:
         providers=given.providers,
         crosswalk=given.crosswalk,
         fips=given.fips,
-        county_pop=readers.rename_population(given.county_pop),
+        county_pop=given.county_pop,
         nucc=given.nucc,
     )
     return given.spark.sql(
@@ -389,6 +423,11 @@ def key_violations(given: Inputs) -> DataFrame:
     return quality.key_violations(_with_faults(given))
 
 
+@query
+def view_checks(given: Inputs) -> DataFrame:
+    return quality.view_checks(_subset(given), view_county(given))
+
+
 @query
 def missing_county_rate(given: Inputs) -> DataFrame:
     return quality.missing_county_rate(enrich.with_county(_keys(given), _zips(given)))
@@ -421,9 +460,8 @@ def csv_export(given: Inputs) -> DataFrame:
     )
 
 
-@query
-def load_and_build(given: Inputs) -> DataFrame:
-    """Lands all five inputs as files, loads them, builds, and returns the view."""
+def _run_jobs(given: Inputs) -> jobs.Workspace:
+    """Lands all five inputs as files, loads them and builds."""
     landing = storage.fresh_folder(given.spark, "landing")
     sources = {
         name: f"{landing}/{name}" for name in ("nppes", "nucc", "fips", "zip", "county_pop")
@@ -436,4 +474,28 @@ def load_and_build(given: Inputs) -> DataFrame:
     workspace = jobs.Workspace(
         storage.fresh_folder(given.spark, "workspace"), storage.own_database(given.spark)
     )
-    return jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
+    jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
+    return workspace
+
+
+@query
+def load_and_build(given: Inputs) -> DataFrame:
+    return given.spark.table(_run_jobs(given).table("view_county"))
+
+
+@query
+def published_marts(given: Inputs) -> DataFrame:
+    """The county counts as published, beside the specialties and population published."""
+    workspace = _run_jobs(given)
+    tables = {name: given.spark.table(workspace.table(name)) for name in jobs.MARTS}
+    specialties = tables["county_specialty_distribution"].groupBy("county_name").agg(
+        F.count(F.lit(1)).alias("specialties"), F.sum("provider_count").alias("by_specialty")
+    )
+    counties = tables["providers_per_capita"].groupBy("county_name").agg(
+        F.sum("provider_count").alias("by_population")
+    )
+    found = tables["county_provider_counts"]
+    for other in (specialties, counties):
+        other = other.withColumnRenamed("county_name", "of")
+        found = found.join(other, F.col("county_name").eqNullSafe(F.col("of"))).drop("of")
+    return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,23 +39,25 @@ def fill_null_text(df: DataFrame) -> DataFrame:
 def read_reference_csv(
     spark: SparkSession,
     path: str,
-    integer_columns: Iterable[str] = (),
+    types: Mapping[str, str] | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header row, all columns kept, read by name.
+    """CSV with a header row, all columns kept.
 
-    Fields of ``integer_columns`` that do not parse become NULL and the row
-    stays. Every other column is text with NULL filled by ``''``.
+    Columns named in ``types`` get that type: a field that does not parse becomes NULL
+    and the row stays. Every other column is text with NULL filled by ``''``. All files
+    of a folder must have the columns in one order; another order is an error.
     """
     text = normalise_columns(
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("enforceSchema", False)
         .csv(path)
     )
     typed = text.withColumns(
-        {name: F.col(name).try_cast("int") for name in integer_columns}
+        {name: F.col(name).try_cast(kind) for name, kind in (types or {}).items()}
     )
     return fill_null_text(typed)
 
@@ -84,7 +86,12 @@ def _matrix_lines(spark: SparkSession, path: str, multi_line: bool) -> DataFrame
         F.when(F.col("closes"), "").otherwise("]"),
     )
     malformed = F.concat(F.lit("malformed JSON matrix: "), F.left("piece", F.lit(200)))
-    rows = F.coalesce(F.from_json(matrix, "array<array<string>>"), F.raise_error(malformed))
+    # A parser stops at the end of the first value; what follows must not get lost.
+    outline = F.regexp_replace("piece", r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "0")
+    several = F.concat(F.lit("more than one JSON matrix in one piece: "), F.left("piece", F.lit(200)))
+    rows = F.when(outline.rlike(r"\]\s*\]\s*\S"), F.raise_error(several)).otherwise(
+        F.coalesce(F.from_json(matrix, "array<array<string>>"), F.raise_error(malformed))
+    )
     return pieces.where("piece <> ''").select("opens", "closes", rows.alias("rows"))
 
 
@@ -97,7 +104,8 @@ def read_json_matrix(
     each line holds a whole matrix or some rows of it, as the census service
     writes it, so that large files are split. ``multi_line`` takes any layout
     and reads each file in one task. There may be many files and many matrices;
-    all must have the same header. Anything malformed or cut off is an error.
+    all must have the same header. Anything malformed or cut off is an error, and so is
+    a second matrix on a line, or with ``multi_line`` in a file.
     """
     lines = _matrix_lines(spark, path, multi_line)
 
@@ -133,5 +141,6 @@ def read_json_matrix(
 
 
 def rename_population(county_pop: DataFrame) -> DataFrame:
-    """The census variable under the name ``population``, still text."""
+    """The census variable under the name ``population``, still text; a table that has
+    the name already stays as it is."""
     return county_pop.withColumnRenamed(POPULATION_VARIABLE, "population")

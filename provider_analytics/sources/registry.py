@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,14 +14,15 @@ from . import readers
 class DatasetSpec:
     """One input: its kind of file and what the reader must know about it.
 
-    ``free_text`` marks CSV files whose fields may hold line breaks. Such a file
-    is read by one task (several files still run in parallel), the other CSV
-    files are split at line ends.
+    ``types`` are those of CSV columns that are not text. ``free_text`` marks CSV files
+    whose fields may hold line breaks. Such a file is read by one task (several files
+    still run in parallel), the other CSV files are split at line ends; the one list
+    marked so here has under 1,000 rows as published.
     """
 
     name: str
     kind: str
-    integer_columns: tuple[str, ...] = ()
+    types: Mapping[str, str] = field(default_factory=dict)
     free_text: bool = False
 
 
@@ -29,8 +31,8 @@ DATASETS = {
     for spec in [
         DatasetSpec("nppes", "parquet"),
         DatasetSpec("nucc", "csv", free_text=True),
-        DatasetSpec("fips", "csv", integer_columns=("fipscounty",)),
-        DatasetSpec("zip", "csv", integer_columns=("zip", "county")),
+        DatasetSpec("fips", "csv", types={"fipscounty": "int"}),
+        DatasetSpec("zip", "csv", types={"zip": "int", "county": "int"}),
         DatasetSpec("county_pop", "json_matrix"),
     ]
 }
@@ -45,13 +47,23 @@ def dataset(name: str) -> DatasetSpec:
         ) from None
 
 
-def read_dataset(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The dataset at ``path`` with the column names and types the jobs expect."""
+def read_dataset(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    types: Mapping[str, str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """The dataset at ``path`` with the column names and types the jobs expect.
+
+    ``types`` adds types for further CSV columns, as ratios that are to be numbers;
+    ``multi_line`` takes a JSON matrix in any layout, one task per file.
+    """
     spec = dataset(name)
     if spec.kind == "parquet":
         return readers.read_providers(spark, path)
     if spec.kind == "csv":
         return readers.read_reference_csv(
-            spark, path, spec.integer_columns, multi_line=spec.free_text
+            spark, path, {**spec.types, **(types or {})}, multi_line=spec.free_text
         )
-    return readers.read_json_matrix(spark, path)
+    return readers.read_json_matrix(spark, path, multi_line)

@@ -4,12 +4,13 @@ from collections import Counter
 
 import duckdb
 
-import __spark_entry__ as contract
+import oracle_queries
+from provider_analytics.plans import workload
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = workload.QUERIES
+ORACLE = oracle_queries.oracle_sql()
 
 
 def connect(sf_dir):

@@ -63,15 +63,12 @@ def test_early_and_late_dedup_agree(small):
     assert early.exceptAll(late).isEmpty() and late.exceptAll(early).isEmpty()
 
 
-def test_long_list_is_cut_to_the_codes_in_use(small, tmp_path, monkeypatch):
+def test_late_dedup_leaves_one_row_per_npi(small):
     subset, zips, nucc = small
-    monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 4)
-    assert enrich.is_long_list(nucc) and not enrich.is_long_list(nucc.limit(4))
-    used = enrich.taxonomy_in_use(subset, nucc, str(tmp_path))
-    assert sorted(r.code for r in used.collect()) == ["", "T1", "T1"]
-    whole = enrich.view_county(subset, zips, enrich.taxonomy_lookup(nucc))
-    cut = enrich.view_county(subset, zips, enrich.taxonomy_lookup(used))
-    assert by_npi(cut) == by_npi(whole)
+    again = subset.where("npi = 1").withColumn("entity_name", F.lit("0 OTHER"))
+    late = enrich.view_county_late_dedup(subset.unionByName(again), zips, nucc)
+    assert by_npi(late)[1] == (1, "0 OTHER", "x", "ONE", "C1", "G", "")
+    assert late.count() == 5
 
 
 def test_marts_of_groups_equal_marts_of_providers(small):
@@ -166,7 +163,6 @@ def test_hot_codes_are_split_when_the_list_is_too_large_to_broadcast(spark):
 
 def test_views_answer_sql(spark, sf_dir):
     from provider_analytics.plans.adapter import Inputs
-    from provider_analytics.sources.readers import rename_population
 
     given = Inputs(spark, sf_dir)
     jobs.register_views(
@@ -174,9 +170,10 @@ def test_views_answer_sql(spark, sf_dir):
         given.providers,
         given.crosswalk,
         given.fips,
-        rename_population(given.county_pop),
+        given.county_pop,
         given.nucc,
     )
     total, distinct = spark.sql("SELECT count(*), count(DISTINCT npi) FROM view_county").first()
     assert total == distinct == spark.table("nppes").count()
     assert spark.sql("SELECT npi FROM nppes_subset GROUP BY npi HAVING count(*) > 1").isEmpty()
+    assert spark.sql("SELECT sum(provider_count) FROM county_provider_counts").first()[0] == total

@@ -87,6 +87,25 @@ def test_malformed_rows_stop_or_go_to_quarantine(spark, tmp_path, database):
     view = jobs.build(spark, workspace, quarantine=True)
     assert view.count() == 1497
     assert spark.table(f"{database}.nppes_malformed").count() == 3
+    counts = spark.table(f"{database}.county_provider_counts")
+    assert counts.agg(F.sum("provider_count")).first()[0] == 1497
+    mended = f"{tmp_path}/mended"
+    bad.where("NPI NOT LIKE 'X%'").write.parquet(mended)
+    jobs.load(spark, "nppes", mended, workspace)
+    export = f"{tmp_path}/all"
+    jobs.build(spark, workspace, export_path=export, export_rows=None)
+    assert spark.table(f"{database}.nppes_malformed").isEmpty()
+    assert spark.read.option("header", True).csv(export).count() == 1497
+
+
+def test_a_join_that_multiplies_rows_stops_the_build(spark, tmp_path, database, monkeypatch):
+    sources = land(spark, tmp_path)
+    workspace = jobs.Workspace(str(tmp_path / "tables"), database)
+    jobs.run(spark, sources, workspace)
+    monkeypatch.setattr(jobs.enrich, "taxonomy_lookup", lambda nucc: nucc.union(nucc))
+    with pytest.raises(QualityError, match="one row per npi"):
+        jobs.build(spark, workspace)
+    assert spark.table(f"{database}.view_county").count() == 1500
 
 
 def test_population_refresh_alone(spark, tmp_path, database):

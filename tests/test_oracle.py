@@ -1,9 +1,9 @@
 """Every registered query against its SQL on DuckDB, whole tables."""
 
+import duckdb
 import pytest
 from oracle_check import ORACLE, QUERIES, assert_matches, connect
-
-from provider_analytics.operators import enrich
+from pyspark.sql import functions as F
 
 JOINS = [
     "county_population",
@@ -44,12 +44,6 @@ def shuffles_only(spark):
             spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("name", ["view_county", "county_specialty_distribution"])
-def test_matches_oracle_with_a_long_taxonomy_list(name, spark, duck, sf_dir, monkeypatch):
-    monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 100)
-    assert_matches(name, spark, duck, sf_dir)
-
-
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 
@@ -62,3 +56,30 @@ def test_matches_oracle(name, spark, duck, sf_dir):
 @pytest.mark.parametrize("name", JOINS)
 def test_matches_oracle_with_shuffle_joins(name, spark, duck, sf_dir, shuffles_only):
     assert_matches(name, spark, duck, sf_dir)
+
+
+def test_orders_without_customer_or_key(spark, sf_dir, tmp_path):
+    """Orders of unknown customers are no providers in any query; a missing key is kept."""
+    for name in ("customer", "nation", "region", "part"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    odd = orders.withColumns(
+        {
+            "o_custkey": F.expr("if(o_orderkey % 1000 = 7, -1, o_custkey)"),
+            "o_orderkey": F.expr("if(o_orderkey % 1000 = 9, NULL, o_orderkey)"),
+        }
+    )
+    odd.write.parquet(str(tmp_path / "orders.parquet"))
+    folder = str(tmp_path)
+    kept = odd.where("o_custkey <> -1").count()
+    assert kept < odd.count()
+    for name in ("provider_subset", "typed_cast", "provider_county", "provider_taxonomy"):
+        assert QUERIES[name](spark, folder).count() == kept
+    counts = QUERIES["county_provider_counts"](spark, folder)
+    assert counts.agg(F.sum("provider_count")).first()[0] == kept
+    other = duckdb.connect()
+    for name in ("customer", "nation", "region", "part"):
+        other.execute(f"CREATE VIEW {name} AS FROM '{sf_dir}/{name}.parquet'")
+    other.execute(f"CREATE VIEW orders AS FROM '{folder}/orders.parquet/*.parquet'")
+    for name in ("provider_subset", "zip_normalise", "key_violations"):
+        assert_matches(name, spark, other, folder)

@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from provider_analytics.operators import enrich, geography, subset
+from provider_analytics.plans import workload
 from provider_analytics.plans.adapter import Inputs
 from provider_analytics.sources import readers
 
-QUERIES = contract.queries()
+QUERIES = workload.QUERIES
 
 
 @pytest.fixture
@@ -41,7 +41,7 @@ def view(spark, sf_dir, providers):
     )
 
 
-def test_subset_is_narrow_and_reads_36_columns(provider_file, plan_of):
+def test_subset_is_narrow_and_reads_44_columns(provider_file, plan_of):
     plan = plan_of(subset.provider_subset(provider_file), "formatted")
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "EvalPython" not in plan
@@ -75,16 +75,16 @@ def test_taxonomy_is_broadcast_by_size_only(spark, sf_dir, provider_file, plan_o
     assert "BroadcastHashJoin [zip_code" in plan
 
 
-def test_long_taxonomy_list_is_broadcast_once_cut(spark, plan_of, monkeypatch):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+def test_no_job_runs_while_a_query_is_built(spark, sf_dir):
+    spark.sparkContext.setJobGroup("built", "")
     try:
-        whole = plan_of(QUERIES["view_county"](spark, "/root/testdata/sf0.1"))
-        monkeypatch.setattr(enrich, "LONG_LIST_ROWS", 1000)
-        cut = plan_of(QUERIES["view_county"](spark, "/root/testdata/sf0.1"))
+        for name in ("view_county", "provider_taxonomy", "county_specialty_distribution"):
+            QUERIES[name](spark, sf_dir)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("built")
+        stages = [s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [primary_taxonomy_code" in whole
-    assert "BroadcastHashJoin [primary_taxonomy_code" in cut
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) <= 8 * 3  # opening a Parquet file for its schema is a job of one stage
 
 
 def test_filter_on_the_subset_reaches_the_file(provider_file, plan_of):

@@ -36,6 +36,64 @@ def test_failed_write_leaves_the_table(spark, tmp_path):
     assert spark.table(name).count() == 5
 
 
+def test_a_failed_change_of_schema_leaves_the_table(spark, tmp_path, monkeypatch):
+    name = "default.changed"
+    publish.replace_table(spark.range(5).toDF("n"), name, str(tmp_path))
+
+    def fails(*_):
+        raise RuntimeError("no")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(publish, "_create", fails)
+        publish.replace_table(spark.range(3).toDF("m"), name, str(tmp_path))
+    assert spark.table(name).columns == ["n"] and spark.table(name).count() == 5
+
+    rename = publish._rename
+
+    def fails_on_new(spark, table, to):
+        if table.endswith("__new"):
+            raise RuntimeError("no")
+        rename(spark, table, to)
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(publish, "_rename", fails_on_new)
+        publish.replace_table(spark.range(3).toDF("m"), name, str(tmp_path))
+    assert spark.table(name).columns == ["n"] and spark.table(name).count() == 5
+    assert publish.replace_table(spark.range(3).toDF("m"), name, str(tmp_path)).columns == ["m"]
+
+
+def test_managed_tables_are_refused(spark, tmp_path):
+    spark.range(5).write.mode("overwrite").saveAsTable("default.managed")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            publish.replace_table(spark.range(3), "default.managed", str(tmp_path))
+        assert spark.table("default.managed").count() == 5
+    finally:
+        spark.sql("DROP TABLE default.managed")
+
+
+def test_tables_switch_together_or_not_at_all(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    publish.replace_table(spark.range(1).toDF("n"), "default.first", root)
+    publish.replace_table(spark.range(1).toDF("n"), "default.second", root)
+    after = {
+        f"default.{name}": publish.write_files(spark.range(9).toDF("n"), name, root)
+        for name in ("first", "third", "second")
+    }
+    point = publish.point_table
+
+    def fails(spark, table, location):
+        if table == "default.second" and location == after[table]:
+            raise RuntimeError("no")
+        return point(spark, table, location)
+
+    monkeypatch.setattr(publish, "point_table", fails)
+    with pytest.raises(RuntimeError):
+        publish.point_tables(spark, after)
+    assert [spark.table(f"default.{name}").count() for name in ("first", "second")] == [1, 1]
+    assert not spark.catalog.tableExists("default.third")
+
+
 def test_csv_export_format(spark, tmp_path):
     rows = [
         (1, None, "plain"),

@@ -84,6 +84,20 @@ def test_csv_keeps_rows_with_bad_fields(spark, tmp_path):
     ]
 
 
+def test_csv_columns_in_another_order_are_an_error(spark, tmp_path):
+    (tmp_path / "zips").mkdir()
+    text_file(tmp_path / "zips", "a.csv", "ZIP,COUNTY\n36103,502\n")
+    text_file(tmp_path / "zips", "b.csv", "COUNTY,ZIP\n502,36103\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        read_dataset(spark, "zip", str(tmp_path / "zips")).collect()
+
+
+def test_csv_types_of_further_columns(spark, tmp_path):
+    path = text_file(tmp_path, "zip.csv", "ZIP,COUNTY,RES_RATIO\n1,2,0.25\n3,4,\n5,6,x\n")
+    df = read_dataset(spark, "zip", path, types={"res_ratio": "double"})
+    assert [tuple(r) for r in df.collect()] == [(1, 2, 0.25), (3, 4, None), (5, 6, None)]
+
+
 def test_csv_free_text_may_hold_line_breaks(spark, tmp_path):
     path = text_file(
         tmp_path,
@@ -139,6 +153,18 @@ def test_json_matrix_any_layout(spark, tmp_path, content):
     assert sorted(map(tuple, df.collect()), key=str) == sorted(ROWS, key=str)
 
 
+def test_two_matrices_in_a_file_of_any_layout_are_an_error(spark, tmp_path):
+    path = text_file(tmp_path, "pop.json", json.dumps(MATRIX, indent=2) + json.dumps(MATRIX))
+    with pytest.raises(PySparkException, match="more than one JSON matrix"):
+        readers.read_json_matrix(spark, path, multi_line=True).collect()
+
+
+def test_load_takes_any_layout(spark, tmp_path):
+    path = text_file(tmp_path, "pop.json", json.dumps(MATRIX, indent=2))
+    df = read_dataset(spark, "county_pop", path, multi_line=True)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(ROWS, key=str)
+
+
 def test_json_matrix_takes_any_text(spark, tmp_path):
     draw = random.Random(7)
     alphabet = '[]{}",\\ \n\r\t:aé\u2028'
@@ -187,6 +213,8 @@ def test_json_matrix_without_rows(spark, tmp_path):
         (layouts()["row per line"].rsplit("\n", 1)[0], "cut off"),
         (json.dumps(MATRIX, indent=2), "malformed JSON matrix|no JSON matrix"),
         ('[["A","B"],["1"]]', "does not fit header"),
+        ('[["A"],["1"]][["A"],["2"]]', "more than one JSON matrix"),
+        ('[["A"],\n["1"]] , [["A"],\n["2"]]', "more than one JSON matrix"),
         ('[["A","B"],["1","2"]]\n[["A","C"],["1","2"]]', "headers differ"),
     ],
 )
