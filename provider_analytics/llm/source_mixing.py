@@ -23,7 +23,9 @@ from .common import WORD, numbered, staged
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-NEWTON_STEPS = 32
+NEWTON_STEPS = 24
+#: Steps planned as one query; a plan of all of them takes long to optimise.
+STEPS_AT_ONCE = 6
 #: Rounds in which one size of a source makes up for missing words.
 REPAIRS = 12
 #: Documents of one source and size are ranked in so many pieces.
@@ -83,7 +85,9 @@ def _with_rates(cells: DataFrame) -> DataFrame:
         }
     )
     rate = F.least(F.lit(float(MAX_COPIES)), F.exp(F.col("m") * z))
-    for _ in range(NEWTON_STEPS):
+    for i in range(NEWTON_STEPS):
+        if i and i % STEPS_AT_ONCE == 0:
+            cells = staged(cells, "newton")
         words = F.col("n") * size * rate
         cells = cells.withColumns(
             {
@@ -105,7 +109,7 @@ def _with_rates(cells: DataFrame) -> DataFrame:
         m = F.when(grows, F.when(inside, F.col("newton")).otherwise(middle)).otherwise(
             F.coalesce("newton", F.col("m"))
         )
-        cells = cells.withColumn("m", m)
+        cells = cells.withColumn("m", m).drop("got", "slope", "newton")
     full = F.col("target") >= MAX_COPIES * F.col("source_size")
     rate = F.when(full, F.lit(float(MAX_COPIES))).otherwise(rate)
     return cells.select("key", "size", "n", "source_size", "target", rate.alias("rate"))
@@ -120,7 +124,9 @@ def _with_copies(cells: DataFrame) -> DataFrame:
     cells = cells.withColumn("upto", F.floor(upto + 0.5))
     copies = F.col("upto") - F.lag("upto", 1, 0).over(falling)
     cells = cells.withColumn("copies", F.greatest(F.lit(0), F.least(most, copies)))
-    for _ in range(REPAIRS):
+    for i in range(REPAIRS):
+        if i % STEPS_AT_ONCE == 0:
+            cells = staged(cells, "copies")
         lacks = F.col("target") - F.sum(F.col("size") * F.col("copies")).over(source)
         cells = cells.withColumn("lacks", lacks)
         room = F.when(F.col("lacks") > 0, most - F.col("copies")).otherwise(F.col("copies"))
@@ -131,6 +137,7 @@ def _with_copies(cells: DataFrame) -> DataFrame:
         change = F.least(F.col("room"), F.floor(F.abs("lacks") / F.nullif("size", F.lit(0))))
         change = F.when(F.col("size") == F.col("pick"), F.signum("lacks").cast("bigint") * change)
         cells = cells.withColumn("copies", F.col("copies") + F.coalesce(change, F.lit(0)))
+        cells = cells.drop("room", "pick", "lacks")
     return cells.select("key", "size", "n", "source_size", "target", "copies")
 
 
