@@ -26,13 +26,13 @@ from .common import frequent, staged
 #: White space as Unicode defines it; Java's own class is smaller.
 SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Words folded ahead at most, and the longest of them in bytes.
-AHEAD = 1 << 18
+AHEAD = 1 << 16
 AHEAD_BYTES = 48
 #: Words of more bytes join all places of the lowest pair in one step.
 LONG = 64
 #: A literal map is searched from its start, so it is dealt to this many small ones.
 RANK_MAPS = 1 << 16
-WORD_MAPS = 1 << 18
+WORD_MAPS = 1 << 16
 #: In the state of a fold: a pair without a rank, and a byte within a piece.
 NO_RANK = 1 << 20
 GONE = 1 << 62
@@ -195,7 +195,7 @@ def _words_ahead(docs: DataFrame, ranks: Column, pattern: str, ahead: int) -> di
     counts = staged(counts.where(F.octet_length("word") <= AHEAD_BYTES), "word-counts")
     ids = bound(ranks, lambda r: word_ids(F.col("word"), r))
     folded = frequent(counts, ahead).select("word", ids.alias("ids"))
-    return {row["word"]: row["ids"] for row in folded.toLocalIterator()}
+    return {row["word"]: row["ids"] for row in folded.collect()}
 
 
 def encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, ahead: int = AHEAD) -> DataFrame:
