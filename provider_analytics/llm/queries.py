@@ -14,6 +14,8 @@ from . import (
     language_id,
     language_model,
     line_dedup,
+    passage_dedup,
+    quality_resampling,
     quality_rules,
     simhash_dedup,
     source_mixing,
@@ -53,6 +55,16 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passage_dedup.without_repeated_passages(documents(spark, sf_dir))
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_dropped", digest.alias("kept_sha256"))
+
+
+def op5_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_resampling.weighted(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_gated_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(documents(spark, sf_dir))
 
@@ -80,6 +92,8 @@ QUERIES: dict[str, Query] = {
         op1_byte_bpe,
         op2_source_mixing,
         op3_line_dedup,
+        op4_passage_dedup,
+        op5_quality_resampling,
         op6_gated_language_model,
         op7_simhash_dedup,
         op8_language_id,

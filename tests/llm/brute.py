@@ -54,6 +54,22 @@ def dedup_lines(rows):
     return found
 
 
+def dedup_passages(rows, passage):
+    """(doc_id, text) -> doc_id, n_words, n_dropped and the words that are left."""
+    split = [words(text) for _, text in rows]
+    at = [[tuple(x.lower() for x in w[i : i + passage]) for i in range(len(w) - passage + 1)] for w in split]
+    stays = {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0)):
+        for p in at[i]:
+            stays.setdefault(p, i)
+    found = []
+    for i, (doc_id, _) in enumerate(rows):
+        gone = {k + j for k, p in enumerate(at[i]) if stays[p] != i for j in range(passage)}
+        left = b" ".join(w for k, w in enumerate(split[i]) if k not in gone)
+        found.append((doc_id, len(split[i]), len(gone), left))
+    return found
+
+
 def simhash(text, shingle=4):
     w = [x.lower() for x in words(text)]
     if not w:
