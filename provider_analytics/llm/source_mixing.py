@@ -10,8 +10,9 @@ of one variable, here by Newton's method kept within a bracket.
 A rate depends on the source and the size alone, so the iterations run on the counts of
 documents by source and size. These are small whatever the corpus holds, and come from
 one aggregation with map-side combining. Rates are rounded to whole copies per source
-and size, with the words that are missing or over made up by smaller documents, and the
-copies dealt to the documents in the order of a hash of their doc_id.
+and size, with the words that are missing or over made up by documents that are small
+enough, until every document that could change is larger than what is left; the copies
+are dealt to the documents in the order of a hash of their doc_id.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ MAX_COPIES = 3
 NEWTON_STEPS = 24
 #: Steps planned as one query; a plan of all of them takes long to optimise.
 STEPS_AT_ONCE = 6
-#: Rounds in which one size of a source makes up for missing words.
-REPAIRS = 12
 #: Documents of one source and size are ranked in so many pieces.
 BINS = 1 << 16
 
@@ -124,20 +123,23 @@ def _with_copies(cells: DataFrame) -> DataFrame:
     cells = cells.withColumn("upto", F.floor(upto + 0.5))
     copies = F.col("upto") - F.lag("upto", 1, 0).over(falling)
     cells = cells.withColumn("copies", F.greatest(F.lit(0), F.least(most, copies)))
-    for i in range(REPAIRS):
-        if i % STEPS_AT_ONCE == 0:
-            cells = staged(cells, "copies")
+    while True:
+        # Largest first, each size gives what it has as long as that does not go too far.
+        # What is left is less than the last size that gave any, and at most half of what
+        # there was, so few rounds lead to where every size with room is too large.
         lacks = F.col("target") - F.sum(F.col("size") * F.col("copies")).over(source)
         cells = cells.withColumn("lacks", lacks)
         room = F.when(F.col("lacks") > 0, most - F.col("copies")).otherwise(F.col("copies"))
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("lacks")) & (room > 0)
-        cells = cells.withColumn("room", room).withColumn(
-            "pick", F.max(F.when(fits, F.col("size"))).over(source)
-        )
-        change = F.least(F.col("room"), F.floor(F.abs("lacks") / F.nullif("size", F.lit(0))))
-        change = F.when(F.col("size") == F.col("pick"), F.signum("lacks").cast("bigint") * change)
-        cells = cells.withColumn("copies", F.col("copies") + F.coalesce(change, F.lit(0)))
-        cells = cells.drop("room", "pick", "lacks")
+        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("lacks"))
+        cells = cells.withColumn("room", F.when(fits, room).otherwise(0))
+        larger = F.sum(F.col("size") * F.col("room")).over(falling.rowsBetween(Window.unboundedPreceding, -1))
+        left = F.abs("lacks") - F.coalesce(larger, F.lit(0))
+        change = F.greatest(F.lit(0), F.least(F.col("room"), F.floor(left / F.nullif("size", F.lit(0)))))
+        change = F.signum("lacks").cast("bigint") * F.coalesce(change, F.lit(0))
+        cells = staged(cells.withColumn("change", change), "copies")
+        if not cells.agg(F.max(F.abs("change"))).first()[0]:
+            break
+        cells = cells.withColumn("copies", F.col("copies") + F.col("change")).drop("room", "lacks", "change")
     return cells.select("key", "size", "n", "source_size", "target", "copies")
 
 

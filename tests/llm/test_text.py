@@ -166,5 +166,31 @@ def test_mixing(odd):
         assert off <= max(0.02 * target[source], max(r.size for r in own) / 2)
 
 
+def test_mix_makes_up_for_rounding(spark):
+    draw = np.random.default_rng(4)
+    small = np.maximum(1, draw.lognormal(5.5, 0.7, 2000)).astype(int).tolist()
+    tables = {
+        "one long": (small + [1_000_000], (0.7, 1.3, 1.9)),
+        "three long": (small + [1_000_000] * 3, (0.3,)),
+        "two long": (small[:200] + [60_000, 90_000], (0.5, 2.0)),
+    }
+    rows = []
+    for name, (sizes, ratios) in tables.items():
+        for ratio in ratios:
+            total = sum(sizes)
+            rows += [(f"{name} {ratio}", s, n, total, ratio * total) for s, n in Counter(sizes).items()]
+    cells = spark.createDataFrame(rows, "key string, size bigint, n bigint, source_size bigint, target double")
+    plan = source_mixing._with_copies(source_mixing._with_rates(cells)).collect()
+    assert len(plan) == len(rows)
+    for key in {r[0] for r in rows}:
+        own = [r for r in plan if r.key == key]
+        assert all(0 <= r.copies <= 3 * r.n for r in own)
+        lacks = own[0].target - sum(r.size * r.copies for r in own)
+        room = [r.size for r in own if (r.copies < 3 * r.n if lacks > 0 else r.copies > 0)]
+        assert not room or abs(lacks) < min(room)
+        if key != "three long 0.3":
+            assert abs(lacks) < 1e-3 * own[0].target
+
+
 def test_mixing_of_no_rows(empty):
     assert source_mixing.mixed(empty).count() == 0
