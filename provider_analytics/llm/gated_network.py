@@ -14,9 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-UNITS = 8
+UNITS = 16
 LANES = 512
-WINDOW = 16
+WINDOW = 32
 #: Steps of a window when scoring, which keeps nothing for a way back.
 SCORED = 64
 RATE = 0.01
@@ -175,7 +175,8 @@ def _outputs(v: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray, grad:
         grad["class_weights"] += h.T @ p
         grad["class_bias"] += p.sum(axis=0)
         dh = p @ v["class_weights"].T
-    kind = kind.astype(np.int16)  # short integers sort by digits
+    if k < 1 << 15:
+        kind = kind.astype(np.int16)  # short integers sort by digits
     order = np.argsort(kind, kind="stable")
     edges = np.searchsorted(kind[order], np.arange(k + 1))
     for c in range(k):
@@ -249,7 +250,9 @@ class Trainer:
             da = self._back(v, above, before, gates, candidates, lanes.starts[window])
             flat_da = da.reshape(-1, da.shape[2])
             g["recurrent"] += before.reshape(-1, UNITS).T @ flat_da
-            ids = inputs.ravel().astype(np.int16)
+            ids = inputs.ravel()
+            if self.vocabulary < 1 << 15:
+                ids = ids.astype(np.int16)  # sorted by digits
             order = np.argsort(ids, kind="stable")
             present, first = np.unique(ids[order], return_index=True)
             g["input"][present] += np.add.reduceat(flat_da[order], first)

@@ -1,7 +1,7 @@
 """Language-model scores of whole documents by a small gated recurrent network.
 
-The network predicts the most frequent words, the document's end and one mark for all
-other words; such a word then has its share, by smoothed counts, of what the mark gets,
+The network predicts the words that the training documents hold often enough to learn
+them, the document's end and one mark for all other words; such a word then has its share, by smoothed counts, of what the mark gets,
 so that every text has a probability. All words of all training documents are counted,
 and all of them train: each task trains a copy of the network on its documents, and the
 copies are averaged by the words they saw, in two steps so that no task meets all of
@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 from . import gated_network as network
 from .common import frequent, staged, utf8
 
-#: Words the network predicts, the end and the mark for other words included.
+#: A word that comes so often is predicted by the network, however many such words there
+#: are, and so are the most frequent ones up to ``VOCABULARY``, end and mark included.
+OFTEN = 100
 VOCABULARY = 512
-#: Words whose counts go to every task at most, and the longest of them in bytes.
+#: Words whose counts go to every task at most, or as many as the network predicts; and
+#: the longest of them in bytes.
 KNOWN = 1 << 17
 KNOWN_BYTES = 64
 END, OTHER = 0, 1
@@ -145,9 +148,15 @@ def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
     return np.concatenate(parts).astype(np.float32)
 
 
-def scored(docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN) -> DataFrame:
+def vocabulary_of(counts: DataFrame) -> int:
+    """How many words the network predicts, the end and the mark included."""
+    return max(VOCABULARY, counts.where(F.col("n") >= OFTEN).count() + 2)
+
+
+def scored(docs: DataFrame, vocabulary: int | None = None, known: int = KNOWN) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id,
-    held_out, n_tokens, n_known, train_tokens, base_score, score.
+    held_out, n_tokens, n_known, train_tokens, base_score, score. ``vocabulary`` follows
+    the counts if it is not given.
 
     A null or empty text is scored by its end alone. Rows that repeat count as often as
     they come and get equal scores. Without training documents all counts are zero and
@@ -163,7 +172,11 @@ def scored(docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN) ->
     train_distinct = distinct + bool(ends)
 
     short = counts.where(F.octet_length("word") <= KNOWN_BYTES)
-    most = frequent(short, known).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    most = frequent(short, known)
+    if vocabulary is None:
+        vocabulary = vocabulary_of(short)
+        most = most.union(short.where(F.col("n") >= OFTEN)).distinct()
+    most = most.toPandas().sort_values(["n", "word"], ascending=[False, True])
     numbers = Numbers(most["word"].tolist(), most["n"].tolist(), vocabulary)
     numbers.counts[END] = ends
     in_network = numbers.counts[: numbers.vocabulary].copy()

@@ -116,6 +116,45 @@ def test_scores_of_no_rows(empty):
     assert language_model.scored(empty).count() == 0
 
 
+def test_vocabulary_follows_the_counts(spark):
+    rows = [(f"w{i}", 100 + i % 7) for i in range(3000)] + [(f"rare{i}", 99) for i in range(500)]
+    counts = spark.createDataFrame(rows, "word string, n bigint")
+    assert language_model.vocabulary_of(counts) == 3002
+    assert language_model.vocabulary_of(counts.where("n < 100")) == language_model.VOCABULARY
+
+
+def test_many_words_train():
+    vocabulary = 40_000  # more than short integers number
+    documents = [np.array([*range(i, vocabulary, 400), 0], np.int32) for i in range(2, 400)]
+    start = gated_network.initial(np.bincount(np.concatenate(documents), minlength=vocabulary))
+    trainer = gated_network.Trainer(start, vocabulary)
+    trainer.learn(documents, 0)
+    before, after = (gated_network.log_likelihoods(p, vocabulary, documents, 0).sum() for p in (start, trainer.flat))
+    changed = gated_network.views(trainer.flat, vocabulary)["input"] != gated_network.views(start, vocabulary)["input"]
+    assert after > before and changed[35_000:].any()
+
+
+def test_held_out_documents_score_above_the_counts(spark):
+    # 700 words of which each tells the next; half of them are beyond the first 512.
+    draw = np.random.default_rng(1)
+    after = draw.permutation(700)
+    texts = []
+    for _ in range(1500):
+        at = [int(draw.integers(700))]
+        while len(at) < 120:
+            at.append(int(after[at[-1]]) if draw.random() < 0.9 else int(draw.integers(700)))
+        texts.append(" ".join(f"w{i}" for i in at))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    rows = [r for r in language_model.scored(docs).collect() if r.held_out]
+    assert len(rows) > 100
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_held_out_documents_of_the_table_score_above_the_counts(spark, sf_dir):
+    rows = language_model.scored(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
 def test_network_is_a_distribution_and_learns():
     draw = np.random.default_rng(0)
     # A word is followed by its double, so context tells much.
