@@ -4,6 +4,11 @@ from collections import Counter
 
 import brute
 import corpus_pipeline
+import public_tokenizers
+import pytest
+import tiktoken
+
+from provider_analytics.llm import byte_bpe, queries, source_mixing
 
 
 def test_stages(spark, odd):
@@ -27,3 +32,47 @@ def test_stages(spark, odd):
     mix = stages["source mixing"](spark, few, None)
     assert mix.columns == odd.columns
     assert set(pairs(mix)) <= set(pairs(few)) and max(Counter(pairs(mix)).values()) <= 3
+
+
+def words_by_source(rows):
+    found = Counter()
+    for r in rows:
+        found[r.source] += len(brute.words(r.text))
+    return found
+
+
+@pytest.mark.parametrize("table", ["odd", "documents"])
+def test_mix_gives_what_the_plan_says(spark, odd, sf_dir, table):
+    docs = odd if table == "odd" else spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mix = dict(corpus_pipeline.STAGES)["source mixing"](spark, docs, None).collect()
+    if table == "documents":
+        planned = {r.doc_id: r.copies for r in source_mixing.mixed(docs).collect() if r.copies}
+        assert Counter(r.doc_id for r in mix) == planned
+    sizes = words_by_source(docs.collect())
+    taken, target = words_by_source(mix), brute.targets(sizes)
+    copies = Counter((r.doc_id, r.text, r.source) for r in mix)
+    rows = Counter((r.doc_id, r.text, r.source) for r in docs.collect())
+    assert all(0 < n <= 3 * rows[r] for r, n in copies.items())
+    for source in sizes:
+        lacks = target[source] - taken[source]
+        own = [(len(brute.words(r[1])), n, copies[r]) for r, n in rows.items() if r[2] == source]
+        room = [size for size, n, got in own if size and (got < 3 * n if lacks > 0 else got)]
+        assert not room or abs(lacks) < min(room)
+
+
+def test_all_five_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).localCheckpoint()
+    ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
+    encoding = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    expected = Counter()
+    for r in docs.collect():
+        ids = encoding.encode_ordinary(r.text or "")
+        expected[r.doc_id, len(ids), brute.sha(",".join(map(str, ids))), brute.sha(r.text or "")] += 1
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert set(found.columns) == {*columns, "ids"}
+    assert Counter(map(tuple, found.select(*columns).collect())) == expected
