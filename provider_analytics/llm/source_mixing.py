@@ -24,8 +24,10 @@ from .common import WORD, numbered, staged
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-NEWTON_STEPS = 24
-#: Steps planned as one query; a plan of all of them takes long to optimise.
+#: The iterations end when no source's expected words are off its target by a larger share,
+#: or when a block of steps changes no multiplier any more.
+RESIDUAL = 1e-9
+#: Steps planned as one query; a plan of many takes long to optimise.
 STEPS_AT_ONCE = 6
 #: Documents of one source and size are ranked in so many pieces.
 BINS = 1 << 16
@@ -84,32 +86,45 @@ def _with_rates(cells: DataFrame) -> DataFrame:
         }
     )
     rate = F.least(F.lit(float(MAX_COPIES)), F.exp(F.col("m") * z))
-    for i in range(NEWTON_STEPS):
-        if i and i % STEPS_AT_ONCE == 0:
-            cells = staged(cells, "newton")
-        words = F.col("n") * size * rate
-        cells = cells.withColumns(
-            {
-                "got": F.sum(words).over(source),
-                "slope": F.sum(F.when(rate < MAX_COPIES, words * z).otherwise(0.0)).over(source),
-            }
-        )
-        # Newton's step on the logarithm of the words: where words must shrink, it comes
-        # from the right on a convex curve and never goes too far.
-        ready = (F.col("target") > 0) & (F.col("got") > 0) & (F.col("slope") > 0)
-        step = F.log(F.col("got") / F.col("target")) * F.col("got") / F.col("slope")
-        newton = F.when(ready, F.col("m") - step)
-        short = F.col("got") < F.col("target")
-        low = F.when(grows & short, F.col("m")).otherwise(F.col("low"))
-        high = F.when(grows & ~short, F.col("m")).otherwise(F.col("high"))
-        cells = cells.withColumns({"low": low, "high": high, "newton": newton})
-        inside = (F.col("newton") > F.col("low")) & (F.col("newton") < F.col("high"))
-        middle = (F.col("low") + F.col("high")) / 2
-        m = F.when(grows, F.when(inside, F.col("newton")).otherwise(middle)).otherwise(
-            F.coalesce("newton", F.col("m"))
-        )
-        cells = cells.withColumn("m", m).drop("got", "slope", "newton")
     full = F.col("target") >= MAX_COPIES * F.col("source_size")
+    ready = ~full & (F.col("target") > 0)
+    cells = staged(cells, "newton")
+    last = float("inf")
+    while True:
+        got = F.sum(F.col("n") * size * rate)
+        off = cells.where(ready).groupBy("key").agg(F.abs(got / F.any_value("target") - 1).alias("off"))
+        worst = off.agg(F.max("off")).first()[0] or 0.0
+        # Where doubles are too coarse for the bound, the last digits may go to and fro.
+        if worst <= RESIDUAL or last <= worst < 1e3 * RESIDUAL:
+            break
+        last = worst
+        cells = cells.withColumn("was", F.col("m"))
+        for _ in range(STEPS_AT_ONCE):
+            words = F.col("n") * size * rate
+            cells = cells.withColumns(
+                {
+                    "got": F.sum(words).over(source),
+                    "slope": F.sum(F.when(rate < MAX_COPIES, words * z).otherwise(0.0)).over(source),
+                }
+            )
+            # Newton's step on the logarithm of the words: where words must shrink, it comes
+            # from the right on a convex curve and never goes too far.
+            sloped = (F.col("target") > 0) & (F.col("got") > 0) & (F.col("slope") > 0)
+            step = F.log(F.col("got") / F.col("target")) * F.col("got") / F.col("slope")
+            newton = F.when(sloped, F.col("m") - step)
+            short = F.col("got") < F.col("target")
+            low = F.when(grows & short, F.col("m")).otherwise(F.col("low"))
+            high = F.when(grows & ~short, F.col("m")).otherwise(F.col("high"))
+            cells = cells.withColumns({"low": low, "high": high, "newton": newton})
+            inside = (F.col("newton") > F.col("low")) & (F.col("newton") < F.col("high"))
+            middle = (F.col("low") + F.col("high")) / 2
+            m = F.when(grows, F.when(inside, F.col("newton")).otherwise(middle)).otherwise(
+                F.coalesce("newton", F.col("m"))
+            )
+            cells = cells.withColumn("m", m).drop("got", "slope", "newton")
+        cells = staged(cells, "newton")
+        if not cells.where(ready & (F.col("m") != F.col("was"))).limit(1).count():
+            break
     rate = F.when(full, F.lit(float(MAX_COPIES))).otherwise(rate)
     return cells.select("key", "size", "n", "source_size", "target", rate.alias("rate"))
 

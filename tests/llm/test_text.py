@@ -205,6 +205,22 @@ def test_mixing(odd):
         assert off <= max(0.02 * target[source], max(r.size for r in own) / 2)
 
 
+def test_rates_meet_the_targets(spark):
+    draw = np.random.default_rng(5)
+    small = np.maximum(1, draw.lognormal(5.5, 1.5, 500)).astype(int).tolist()
+    rows = []
+    for long in ([], [100_000], [3_000_000, 40_000]):
+        for ratio in (0.01, 0.3, 0.7, 1.3, 2.0, 2.7, 2.95):
+            total = sum(small + long)
+            rows += [(f"{long} {ratio}", s, n, total, ratio * total) for s, n in Counter(small + long).items()]
+    cells = spark.createDataFrame(rows, "key string, size bigint, n bigint, source_size bigint, target double")
+    found = source_mixing._with_rates(cells).collect()
+    for key in {r[0] for r in rows}:
+        own = [r for r in found if r.key == key]
+        got = sum(r.size * r.n * r.rate for r in own)
+        assert all(0 <= r.rate <= 3 for r in own) and math.isclose(got, own[0].target, rel_tol=2e-9)
+
+
 def test_mix_makes_up_for_rounding(spark):
     draw = np.random.default_rng(4)
     small = np.maximum(1, draw.lognormal(5.5, 0.7, 2000)).astype(int).tolist()
