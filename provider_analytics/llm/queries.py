@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from . import (
     byte_bpe,
     exact_dedup,
+    filter_audit,
+    fingerprints,
     language_id,
     language_model,
     line_dedup,
@@ -19,6 +22,7 @@ from . import (
     quality_rules,
     simhash_dedup,
     source_mixing,
+    vector_codes,
 )
 from .common import documents
 
@@ -86,6 +90,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups_of_equals(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digest = hashlib.sha256(vector_codes.numbers(books).encode()).hexdigest()
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fingerprints.edited(documents(spark, sf_dir))
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text("fingerprint").alias("fingerprint"),
+        fingerprints.as_text("edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -99,10 +126,102 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_quality_rules,
         op10_exact_dedup,
+        op11_vector_codes,
+        op12_fingerprints,
+        op13_filter_audit,
     )
 }
 
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Every part against every entry, round by round."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+        found{n} AS MATERIALIZED (
+            SELECT r, part, min(d) AS d, arg_min(entry, (d, entry)) AS entry FROM (
+                SELECT p.r, p.part, b.entry, sum((p.x - b.y) * (p.x - b.y))::BIGINT AS d
+                FROM places p JOIN book{n} b ON p.part = b.part AND p.i = b.i
+                GROUP BY p.r, p.part, b.entry)
+            GROUP BY r, part
+        )""")
+        if n < rounds:
+            steps.append(f"""
+        book{n + 1} AS MATERIALIZED (
+            SELECT part, entry, i,
+                coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, y) AS y
+            FROM book{n} LEFT JOIN (
+                SELECT f.part, f.entry, p.i, sum(p.x) AS s, count(*) AS n
+                FROM found{n} f JOIN places p ON f.r = p.r AND f.part = p.part
+                GROUP BY f.part, f.entry, p.i) USING (part, entry, i)
+        )""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, len(embedding) // 4 AS w,
+                list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), places AS MATERIALIZED (
+            SELECT r, (spot - 1) // w AS part, (spot - 1) % w AS i, x
+            FROM (SELECT r, w, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS spot FROM kept)
+        ), book0 AS MATERIALIZED (
+            SELECT part, r - 1 AS entry, i, x AS y FROM places WHERE r <= 256
+        ), {",".join(steps)},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+            FROM found{rounds} GROUP BY r
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, i)) FROM book{rounds}) AS codebooks_sha256
+        FROM kept JOIN coded USING (r)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_vector_codes": _vector_codes_sql(),
+    "op13_filter_audit": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), marks AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ), judged AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                list_filter([
+                    CASE WHEN len(w) < 200 THEN 'A' END,
+                    CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                    CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' END,
+                    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+                    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END
+                ], lambda letter: letter IS NOT NULL) AS letters
+            FROM words LEFT JOIN marks USING (doc_id)
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+        ), orders AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+        ), steps AS (
+            SELECT filter_order, step::INTEGER AS step, filter_order[step] AS f,
+                string_split(left(filter_order, step - 1), '') AS before
+            FROM orders, range(1, 6) r(step)
+        ), counted AS (
+            SELECT part, filter_order, step, any_value(f) AS f,
+                count(*) FILTER (WHERE NOT gone AND NOT hit) AS kept,
+                count(*) FILTER (WHERE NOT gone AND hit) AS removed,
+                count(*) FILTER (WHERE gone AND hit) AS redundant,
+                count(*) FILTER (WHERE letters = [f]) AS unique_fails,
+                count(*) FILTER (WHERE NOT gone AND hit AND good) AS good_lost,
+                count(*) FILTER (WHERE NOT gone AND hit AND toxic) AS toxic_lost
+            FROM (SELECT *, list_has_any(letters, before) AS gone, list_contains(letters, f) AS hit
+                  FROM judged, steps)
+            GROUP BY part, filter_order, step
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM counted
+    """,
     "op3_line_dedup": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines

@@ -1,0 +1,93 @@
+"""The audit of filters against a plain run of every order."""
+
+import re
+from collections import Counter
+from itertools import permutations
+
+import brute
+import pytest
+
+from provider_analytics.llm import filter_audit
+
+LABELS = "doc_id bigint, quality int, toxic int, part string, bits int"
+
+
+def expected(rows, labels):
+    """One row per part, order and step, by applying the filters one after the other."""
+
+    def fails(letter, doc_id, text):
+        words = brute.words(text)
+        return {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": doc_id is not None and any(i is not None and i < doc_id and t == text for i, t, _ in rows),
+        }[letter]
+
+    rows = [(i, t or "", s or "") for i, t, s in rows]
+    failing = [(s, i, {f for f in "ABCDE" if fails(f, i, t)}) for i, t, s in rows]
+    good = {i for i, quality, _ in labels if i is not None and quality == 1}
+    toxic = {i for i, _, mark in labels if i is not None and mark == 1}
+    found, shapley = [], Counter()
+    for part in {s for s, _, _ in failing}:
+        for order in permutations("ABCDE"):
+            here = [(i, f) for s, i, f in failing if s == part]
+            left = here
+            for step, letter in enumerate(order, 1):
+                out = [(i, f) for i, f in left if letter in f]
+                all_failing = sum(letter in f for _, f in here)
+                left = [(i, f) for i, f in left if letter not in f]
+                shapley[part, letter] += len(out)
+                alone = sum(f == {letter} for _, f in here)
+                lost = [sum(i in marked for i, _ in out) for marked in (good, toxic)]
+                found.append(
+                    (part, "".join(order), step, len(left), len(out), all_failing - len(out), alone, *lost)
+                )
+    return Counter((*row, shapley[row[0], row[1][row[2] - 1]]) for row in found)
+
+
+@pytest.fixture
+def labels(spark):
+    rows = [(i, i % 3 == 0, i % 5 == 0) for i in range(0, 70, 2)]
+    rows = [(i, int(q), int(t), "x", 1) for i, q, t in rows]
+    rows += [(0, None, None, None, None), (4, 1, 1, "x", 2), (4, 0, 0, "x", 2), (None, 1, 1, "x", 3)]
+    return spark.createDataFrame(rows, LABELS)
+
+
+@pytest.fixture
+def rows():
+    from conftest import odd_rows
+
+    return [(r[0], r[1], r[3]) for r in odd_rows()]
+
+
+@pytest.mark.parametrize("group", [1, 512])
+def test_equals_every_order(odd, labels, rows, group, monkeypatch):
+    monkeypatch.setattr(filter_audit, "GROUP_ROWS", group)
+    marks = [(r.doc_id, r.quality, r.toxic) for r in labels.collect()]
+    found = Counter(tuple(r) for r in filter_audit.audit(odd, labels).collect())
+    assert found == expected(rows, marks)
+    assert sum(r[4] * n for r, n in found.items() if r[1][r[2] - 1] == "E") > 0
+
+
+def test_many_copies_of_one_text(spark, labels):
+    rows = [(i, "many copies of one text", "s") for i in range(3000)] + [(None, "many copies of one text", "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    found = {r.step: r for r in filter_audit.audit(docs, labels).where("filter_order = 'EABCD'").collect()}
+    assert (found[1].removed, found[1].kept) == (2999, 2)
+    assert (found[2].removed, found[2].redundant) == (2, 2999)
+
+
+def test_different_texts_of_one_hash(spark):
+    rows = [(1, "a", 7), (2, "b", 7), (3, "a", 7), (3, "b", 7), (None, "a", 7), (0, "c", 7)]
+    docs = spark.createDataFrame(
+        [(n, *r) for n, r in enumerate(rows)], "`row` bigint, doc_id bigint, text string, hash bigint"
+    )
+    assert sorted(r[0] for r in filter_audit.copies(docs, "row").collect()) == [2, 3]
+
+
+def test_no_rows(spark, empty, odd, labels):
+    assert filter_audit.audit(empty, labels).count() == 0
+    some = filter_audit.audit(odd, labels.limit(0))
+    assert some.where("good_lost > 0 OR toxic_lost > 0").count() == 0 and some.count() > 0
