@@ -45,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(
                 "--multi-line", action="store_true", help="JSON matrices in any layout"
             )
+            sub.add_argument(
+                "--infer-types", action="store_true", help="CSV columns get the type of their fields"
+            )
         if command != "load":
             sub.add_argument("--export", help="folder for the CSV extract")
             sub.add_argument(
@@ -68,7 +71,9 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
     workspace = jobs.Workspace(given.root, given.database)
     if given.command == "load":
         for name, path in given.sources:
-            jobs.load(spark, name, path, workspace, multi_line=given.multi_line)
+            jobs.load(
+                spark, name, path, workspace, multi_line=given.multi_line, infer=given.infer_types
+            )
         return
     options = {
         "population_order": given.population_order,
@@ -82,4 +87,6 @@ def main(spark: SparkSession, arguments: list[str] | None = None) -> None:
     if given.command == "build":
         jobs.build(spark, workspace, **options)
     else:
-        jobs.run(spark, dict(given.sources), workspace, given.multi_line, **options)
+        jobs.run(
+            spark, dict(given.sources), workspace, given.multi_line, given.infer_types, **options
+        )

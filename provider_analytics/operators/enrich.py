@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 VIEW_COLUMNS = [
@@ -75,12 +75,20 @@ def with_taxonomy(
     )
 
 
+FULL_COLUMNS = [*VIEW_COLUMNS, "fipscounty", "population"]
+
+
+def provider_rows(subset: DataFrame, zips: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """The subset's columns and the details of county and taxonomy, a row per subset row."""
+    enriched = with_taxonomy(with_county(subset, zips), taxonomy)
+    return enriched.select(*subset.columns, *[c for c in FULL_COLUMNS if c not in subset.columns])
+
+
 def provider_county_full(
     subset: DataFrame, zips: DataFrame, taxonomy: DataFrame
 ) -> DataFrame:
     """The provider view with the county's FIPS code and population."""
-    enriched = with_taxonomy(with_county(subset, zips), taxonomy)
-    return enriched.select(*VIEW_COLUMNS, "fipscounty", "population")
+    return provider_rows(subset, zips, taxonomy).select(*FULL_COLUMNS)
 
 
 def view_county(subset: DataFrame, zips: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -100,15 +108,11 @@ def view_county_late_dedup(
     The generic form: one row per npi, the first by classification, grouping and
     specialization, then by the provider's own columns, NULL first; rows without an npi
     count as one. It shuffles every provider, so ``view_county`` is the one to use. A
-    code listed M times multiplies its N providers before they are reduced, on the map
-    side as far as rows of an npi come from one task.
+    code listed M times multiplies its N providers before they are reduced; each task
+    passes on one row per npi.
     """
-    joined = with_taxonomy(with_county(subset, zips), nucc)
+    joined = with_taxonomy(with_county(subset, zips), nucc).select(*VIEW_COLUMNS)
     details = ["classification", "grouping", "specialization"]
     others = [name for name in VIEW_COLUMNS if name not in ("npi", *details)]
-    return (
-        joined.groupBy("npi")
-        .agg(F.min(F.struct(*details, *others)).alias("first"))
-        .select("npi", "first.*")
-        .select(*VIEW_COLUMNS)
-    )
+    place = F.row_number().over(Window.partitionBy("npi").orderBy(*details, *others))
+    return joined.withColumn("place", place).where("place = 1").select(*VIEW_COLUMNS)

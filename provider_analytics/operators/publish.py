@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,25 +26,20 @@ def replace_table(df: DataFrame, table: str, root: str) -> DataFrame:
     return point_table(df.sparkSession, table, write_files(df, table, root))
 
 
-def _sql_name(table: str) -> str:
+def sql_name(table: str) -> str:
     return ".".join(quoted(part) for part in table.split("."))
 
 
-def location_of(spark: SparkSession, table: str) -> str | None:
-    """Where the files of ``table`` are; None if there is no such table."""
-    if not spark.catalog.tableExists(table):
-        return None
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_sql_name(table)}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _create(spark: SparkSession, table: str, location: str) -> None:
-    place = "'" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    spark.sql(f"CREATE TABLE {_sql_name(table)} USING parquet LOCATION {place}")
+    spark.sql(f"CREATE TABLE {sql_name(table)} USING parquet LOCATION {sql_text(location)}")
 
 
 def _rename(spark: SparkSession, table: str, to: str) -> None:
-    spark.sql(f"ALTER TABLE {_sql_name(table)} RENAME TO {_sql_name(to)}")
+    spark.sql(f"ALTER TABLE {sql_name(table)} RENAME TO {sql_name(to)}")
 
 
 def point_table(spark: SparkSession, table: str, location: str) -> DataFrame:
@@ -65,12 +59,11 @@ def point_table(spark: SparkSession, table: str, location: str) -> DataFrame:
     if spark.catalog.getTable(table).tableType == "MANAGED":
         raise ValueError(f"{table} is a managed table: its files would be lost")
     if spark.table(table).schema == spark.read.parquet(location).schema:
-        place = "'" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        spark.sql(f"ALTER TABLE {_sql_name(table)} SET LOCATION {place}")
+        spark.sql(f"ALTER TABLE {sql_name(table)} SET LOCATION {sql_text(location)}")
         spark.catalog.refreshTable(table)
         return spark.table(table)
     for name in (new, old):
-        spark.sql(f"DROP TABLE IF EXISTS {_sql_name(name)}")
+        spark.sql(f"DROP TABLE IF EXISTS {sql_name(name)}")
     _create(spark, new, location)
     _rename(spark, table, old)
     try:
@@ -78,38 +71,19 @@ def point_table(spark: SparkSession, table: str, location: str) -> DataFrame:
     except Exception:
         _rename(spark, old, table)
         raise
-    spark.sql(f"DROP TABLE {_sql_name(old)}")
+    spark.sql(f"DROP TABLE {sql_name(old)}")
     return spark.table(table)
 
 
-def point_tables(spark: SparkSession, locations: Mapping[str, str]) -> None:
-    """Point several tables one after another; if one fails, those before it go back.
-
-    A reader may see some tables of the new build beside some of the old while this
-    runs: a moment, since all files are written before.
-    """
-    before = {table: location_of(spark, table) for table in locations}
-    done = []
-    try:
-        for table, location in locations.items():
-            point_table(spark, table, location)
-            done.append(table)
-    except Exception:
-        for table in reversed(done):
-            if before[table]:
-                point_table(spark, table, before[table])
-            else:
-                spark.sql(f"DROP TABLE {_sql_name(table)}")
-        raise
-
-
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """CSV with a header in each file, quotes only where needed and doubled inside.
 
-    NULL and ``''`` are both written as nothing; white space is kept.
+    NULL and ``''`` are both written as nothing; white space is kept. ``one_file`` has one
+    task write all rows below one header: for extracts, not for whole tables.
     """
     (
-        df.write.mode("overwrite")
+        (df.coalesce(1) if one_file else df)
+        .write.mode("overwrite")
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import enrich, geography, marts, publish, quality, subset
 from ..sources import readers
-from ..sources.registry import DATASETS, read_dataset
+from ..sources.readers import quoted
+from ..sources.registry import DATASETS, dataset, read_dataset
+from ..sources.schema import PROVIDER_COLUMNS, PROVIDER_HEADERS, SUBSET_SCHEMA
+from . import builds
+from .builds import Workspace
+from .record import RunRecord, fingerprint
 
 #: Rows of the CSV extract unless the caller says otherwise.
 EXPORT_ROWS = 1000
@@ -23,15 +28,15 @@ MARTS = {
 }
 
 
-@dataclass(frozen=True)
-class Workspace:
-    """Where tables live: a folder for their files and a database for their names."""
-
-    root: str
-    database: str = "default"
-
-    def table(self, name: str) -> str:
-        return f"{self.database}.{name}"
+#: Published names: the stored table each one reads, and its columns (None: all).
+PUBLISHED = {
+    "nppes_malformed": ("nppes_malformed", None),
+    "nppes_subset": ("providers", [field.name for field in SUBSET_SCHEMA]),
+    "ranked_zip": ("ranked_zip", None),
+    "provider_county_full": ("providers", enrich.FULL_COLUMNS),
+    "view_county": ("providers", enrich.VIEW_COLUMNS),
+    **{name: (name, None) for name in MARTS},
+}
 
 
 def load(
@@ -41,10 +46,21 @@ def load(
     workspace: Workspace,
     types: Mapping[str, str] | None = None,
     multi_line: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
-    """Full refresh of one dataset from the file or folder ``source``; see ``read_dataset``."""
+    """Full refresh of one dataset from the file or folder ``source``; see ``read_dataset``.
+
+    The registry is Parquet as it lands and is not copied: its table is a view that picks and
+    names the columns, so the landed files must stay until the next load.
+    """
+    table = workspace.table(name)
+    if dataset(name).kind == "parquet":
+        path = source.replace("`", "``")
+        columns = [f"{quoted(old)} AS {quoted(new)}" for old, new in zip(PROVIDER_HEADERS, PROVIDER_COLUMNS)]
+        builds.make_view(spark, table, f"SELECT {', '.join(columns)} FROM parquet.`{path}`")
+        return spark.table(table)
     return publish.replace_table(
-        read_dataset(spark, name, source, types, multi_line), workspace.table(name), workspace.root
+        read_dataset(spark, name, source, types, multi_line, infer), table, workspace.root
     )
 
 
@@ -65,40 +81,48 @@ def build(
     export_rows: int | None = EXPORT_ROWS,
     quarantine: bool = False,
     cluster_by_county: bool = False,
+    record: RunRecord | None = None,
 ) -> DataFrame:
     """Derive the provider subset, the ZIP counties, the provider view and the marts.
 
-    Each step reads the written files of the one before, so a lost executor costs its
-    own tasks only. Keys are checked in the subset, and rows and keys in the view, before
-    any table is replaced (see ``publish.point_tables``); the extract is written last,
-    with the first ``export_rows`` rows by npi, or all of them for None.
+    Providers are written once, with all columns of subset and view, in buckets by npi; the
+    published names are views of these tables (``PUBLISHED``). Rows are counted while they
+    are written, keys are checked in the buckets without a shuffle, and only then one record
+    makes all tables of the build the published ones (``builds``). The extract is
+    written last, with the first ``export_rows`` rows by npi, or all of them for None.
 
     A malformed row stops the job; with ``quarantine`` it goes to the table
     ``nppes_malformed``, empty otherwise, and the others are used.
-    ``cluster_by_county`` sorts each file of the view, without a shuffle, so that reads
-    of one county skip most of it.
+    ``cluster_by_county`` sorts each file of the providers, so that reads of one county skip
+    most of it. ``record`` names the tables of a build that stopped, which are not written
+    again. The result is the view of this build, also when a later one is published.
     """
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("spark.sql.ansi.enabled is off: malformed values would pass as NULL")
+    steps = record.steps if record else {}
+    this = steps.get("build") or builds.start()
+    if record and "build" not in steps:
+        record.add("build", this)
 
     def loaded(name: str) -> DataFrame:
         return spark.table(workspace.table(name))
 
-    written: dict[str, str] = {}
+    def written(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table, by ``make`` unless the record has it."""
+        if steps.get(f"table {name}") == this:
+            return builds.read(spark, workspace, this, name)
+        found = make()
+        if record:
+            record.add(f"table {name}", this)
+        return found
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        written[name] = publish.write_files(df, workspace.table(name), workspace.root)
-        return spark.read.parquet(written[name])
+        return written(name, lambda: builds.write(spark, workspace, this, name, df))
 
     raw = loaded("nppes")
     write("nppes_malformed", quality.malformed_rows(raw) if quarantine else raw.where("false"))
     if quarantine:
         raw = raw.where(~quality.is_malformed())
-    providers = write(
-        "nppes_subset", subset.provider_subset(raw, name_fallback=name_fallback)
-    )
-    quality.require_valid_keys(providers)
-
     zips = write(
         "ranked_zip",
         geography.zip_lookup(
@@ -109,22 +133,37 @@ def build(
             population_order,
         ),
     )
-    taxonomy = enrich.taxonomy_lookup(loaded("nucc"))
-    enriched = enrich.provider_county_full(providers, zips, taxonomy)
-    if cluster_by_county:
-        enriched = enriched.sortWithinPartitions("county_name")
-    full = write("provider_county_full", enriched)
-    view = write("view_county", full.select(*enrich.VIEW_COLUMNS))
-    quality.require_valid_view(providers, view)
-    if expected_rows is not None:
-        quality.require_row_count(view, expected_rows)
+
+    def providers() -> DataFrame:
+        before, counts = quality.observed_rows("subset")
+        after, _ = quality.observed_rows("view")
+        cleaned = subset.provider_subset(raw, name_fallback=name_fallback)
+        rows = enrich.provider_rows(cleaned.observe(before, *counts), zips, enrich.taxonomy_lookup(loaded("nucc")))
+        n = builds.buckets(spark, workspace, "providers")
+        dealt = rows.repartition(n, "npi")
+        if cluster_by_county:
+            dealt = dealt.sortWithinPartitions(F.pmod(F.hash("npi"), F.lit(n)), "county_name")
+        found = builds.write(spark, workspace, this, "providers", dealt.observe(after, *counts), bucket_by="npi")
+        given, kept = before.get["rows"], after.get["rows"]
+        if given != kept:
+            # A task that ran twice, its output lost, is counted twice: count the rows.
+            given, kept = raw.count(), found.count()
+        quality.require_all_rows(given, kept)
+        if expected_rows is not None:
+            quality.require_rows(kept, expected_rows)
+        quality.require_valid_keys(found)
+        return found
+
+    full = written("providers", providers)
     for name, mart in MARTS.items():
         write(name, mart(full))
-    publish.point_tables(spark, {workspace.table(name): at for name, at in written.items()})
+    builds.publish(spark, workspace, PUBLISHED)
+    builds.switch(spark, workspace, this)
+    view = full.select(*enrich.VIEW_COLUMNS)
     if export_path is not None:
         rows = view if export_rows is None else subset.first_by_key(view, export_rows)
-        publish.export_csv(rows, export_path)
-    return spark.table(workspace.table("view_county"))
+        publish.export_csv(rows, export_path, one_file=export_rows is not None)
+    return view
 
 
 def run(
@@ -132,15 +171,33 @@ def run(
     sources: Mapping[str, str],
     workspace: Workspace,
     multi_line: bool = False,
+    infer: bool = False,
     **build_options,
 ) -> DataFrame:
-    """Load all five datasets, then build."""
+    """Load all five datasets, then build.
+
+    A run that failed is gone on with by the next call with the same sources and options:
+    loads and tables that were finished are not done again, unless files of a source have
+    changed or its table is another one by now; after such a load the build starts anew.
+    After a run that reached its end everything is loaded and built again.
+    """
     missing = DATASETS.keys() - sources.keys()
     if missing:
         raise ValueError(f"no source for {', '.join(sorted(missing))}")
+    settings = {"sources": dict(sources), "multi_line": multi_line, "infer": infer, **build_options}
+    record = RunRecord(spark, workspace, settings)
+    again = False
     for name in DATASETS:
-        load(spark, name, sources[name], workspace, multi_line=multi_line)
-    return build(spark, workspace, **build_options)
+        again |= record.once(
+            f"load {name}",
+            lambda name=name: f"{fingerprint(spark, sources[name])} {builds.definition(spark, workspace.table(name))}",
+            lambda name=name: load(spark, name, sources[name], workspace, multi_line=multi_line, infer=infer),
+        )
+    if again:
+        record.steps.pop("build", None)
+    view = build(spark, workspace, record=record, **build_options)
+    record.end()
+    return view
 
 
 def register_views(

@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
-
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="provider-analytics-")
+from .builds import Workspace
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` as the session names it.
-
-    A local session without that setting, as in tests, gets a temporary folder;
-    a cluster without it is an error, since its executors share no local disk.
-    """
+    """``spark.checkpoint.dir`` as the session names it, else the session's warehouse: both
+    are places that driver and executors share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
@@ -33,14 +22,16 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/provider-analytics/{label}-{uuid.uuid4().hex}"
 
 
-@lru_cache(maxsize=1)
-def _database_name() -> str:
+@lru_cache
+def _own_name(folder: str) -> str:
     return f"provider_analytics_{uuid.uuid4().hex}"
 
 
-def own_database(spark: SparkSession) -> str:
-    """A database of this process in the shared folder, apart from anyone's tables."""
-    name = _database_name()
-    folder = f"{shared_folder(spark)}/provider-analytics/{name}".replace("'", "\\'")
+def own_workspace(spark: SparkSession) -> Workspace:
+    """A folder and a database of this process in the shared folder, apart from anyone's
+    tables."""
+    shared = f"{shared_folder(spark)}/provider-analytics"
+    name = _own_name(shared)
+    folder = f"{shared}/{name}".replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
-    return name
+    return Workspace(f"{shared}/{name}-tables", name)

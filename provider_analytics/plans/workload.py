@@ -12,10 +12,11 @@ from ..operators import enrich, geography, marts, publish, quality, subset
 from ..sources import names, readers
 from ..sources.registry import read_dataset
 from ..sources.schema import POPULATION_HEADERS, POPULATION_VARIABLE
-from . import jobs, storage
+from . import builds, jobs, storage
 from .adapter import Inputs
 
 SAMPLE_ROWS = 1000
+LARGE_SAMPLE_ROWS = 5000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,14 +107,37 @@ def csv_ingest_bad_fields(given: Inputs) -> DataFrame:
 
 @query
 def csv_header_order(given: Inputs) -> DataFrame:
-    """Two folders that have the same columns in another order."""
-    rows = given.crosswalk.select(F.col("zip").alias("ZIP"), F.col("county").alias("COUNTY"))
-    found = []
-    for part, order in ((0, ("ZIP", "COUNTY")), (1, ("COUNTY", "ZIP"))):
-        folder = storage.fresh_folder(given.spark, "zip")
-        publish.export_csv(rows.where(F.col("COUNTY") % 2 == part).select(*order), folder)
-        found.append(read_dataset(given.spark, "zip", folder))
-    return found[0].unionByName(found[1])
+    """A folder of files that have the same columns in different orders."""
+    rows = given.crosswalk.select(
+        F.col("zip").alias("ZIP"), F.col("county").alias("COUNTY"), F.lit("a, b").alias("Note")
+    )
+    folder = storage.fresh_folder(given.spark, "zip")
+    orders = [("ZIP", "COUNTY", "Note"), ("COUNTY", "Note", "ZIP"), ("Note", "ZIP", "COUNTY")]
+    for part, order in enumerate(orders):
+        publish.export_csv(rows.where(F.col("COUNTY") % 3 == part).select(*order), f"{folder}/{part}")
+    return read_dataset(given.spark, "zip", f"{folder}/*")
+
+
+@query
+def csv_inferred_types(given: Inputs) -> DataFrame:
+    """Columns of whole numbers, of decimals, of numbers too long for a long, of numbers with
+    a text among them, and without values."""
+    folder = storage.fresh_folder(given.spark, "zip")
+    county = F.col("county")
+    text = county.cast("string")
+    publish.export_csv(
+        given.crosswalk.select(
+            F.col("zip").alias("ZIP"),
+            county.alias("COUNTY"),
+            F.when(county % 5 != 0, F.lpad((county % 12).cast("string"), 3, "0")).alias("Months"),
+            F.when(county % 4 != 0, county / 8).alias("RES_RATIO"),
+            F.concat(text, F.lit("00000000000000000000")).alias("Long Number"),
+            F.when(county % 1000 == 7, F.concat(F.lit("no. "), text)).otherwise(text).alias("Mixed"),
+            F.lit(None).cast("string").alias("Nothing"),
+        ),
+        folder,
+    )
+    return read_dataset(given.spark, "zip", folder, infer=True)
 
 
 @query
@@ -152,11 +176,49 @@ def json_matrix_ingest(given: Inputs) -> DataFrame:
     return read_dataset(given.spark, "county_pop", folder)
 
 
+@query
+def json_matrix_layouts(given: Inputs) -> DataFrame:
+    """Matrices of up to 5,000 rows a file, some on one line, some spread over lines, with
+    brackets and quotes in their cells."""
+    folder = storage.fresh_folder(given.spark, "county_pop")
+    rows = given.table("customer").selectExpr(
+        "c_custkey DIV 5000 AS matrix",
+        "concat(c_name, if(c_custkey % 3 = 0, ' ]],[\"[', ' ]')) AS NAME",
+        f"if(c_custkey % 97 = 8, NULL, string(c_acctbal)) AS {POPULATION_VARIABLE}",
+        "lpad(string(c_nationkey), 2, '0') AS state",
+        "lpad(string(c_custkey % 1000), 3, '0') AS county",
+    )
+    header = F.to_json(F.array(*[F.lit(name) for name in POPULATION_HEADERS]))
+    lines = F.sort_array(F.collect_list(F.to_json(F.array(*POPULATION_HEADERS))))
+    matrices = rows.groupBy("matrix").agg(F.concat(F.array(header), lines).alias("lines"))
+    spread = F.concat(F.lit("[\n  "), F.array_join("lines", " ,\n  "), F.lit("\n] "))
+    one_line = F.concat(F.lit("["), F.array_join("lines", ","), F.lit("]"))
+    value = F.when(F.col("matrix") % 2 == 0, one_line).otherwise(spread)
+    matrices.select("matrix", value.alias("value")).write.partitionBy("matrix").text(folder)
+    return read_dataset(given.spark, "county_pop", folder, multi_line=True)
+
+
+@query
+def population_refresh(given: Inputs) -> DataFrame:
+    """The county population loaded from some counties, then refreshed from all."""
+    workspace = storage.own_workspace(given.spark)
+    for rows in (given.county_pop.where("state = '01'"), given.county_pop):
+        folder = storage.fresh_folder(given.spark, "county_pop")
+        _write_matrices(rows, folder)
+        table = jobs.refresh_population(given.spark, folder, workspace)
+    return table
+
+
 @query
 def sample_n(given: Inputs) -> DataFrame:
     return subset.sample_providers(_subset(given), SAMPLE_ROWS)
 
 
+@query
+def sample_5000(given: Inputs) -> DataFrame:
+    return subset.sample_providers(_subset(given), LARGE_SAMPLE_ROWS)
+
+
 @query
 def normalise_columns(given: Inputs) -> DataFrame:
     return names.normalise_columns(given.raw_nucc)
@@ -359,6 +421,28 @@ def view_sample_1000(given: Inputs) -> DataFrame:
     )
 
 
+@query
+def view_sample_5000(given: Inputs) -> DataFrame:
+    """The first of the view itself, of which any number may be taken."""
+    return subset.first_by_key(view_county(given), LARGE_SAMPLE_ROWS)
+
+
+@query
+def view_merged_keys(given: Inputs) -> DataFrame:
+    """ZIP numbers that are one when cut to five characters, and a blank taxonomy code."""
+    crosswalk = given.crosswalk.select("zip", "county")
+    for number in ("int(zip * 100 + 12)", "int(zip * 1000 + 120 + county % 7)"):
+        crosswalk = crosswalk.union(given.crosswalk.selectExpr(number, "county"))
+    blank = given.nucc.where("code = '1'").withColumns(
+        {"code": F.lit(""), "classification": F.lit("No code"), "specialization": F.lit("")}
+    )
+    return enrich.provider_county_full(
+        _subset(given),
+        geography.zip_lookup(crosswalk, _counties(given)),
+        enrich.taxonomy_lookup(given.nucc.unionByName(blank)),
+    )
+
+
 @query
 def view_sql(given: Inputs) -> DataFrame:
     """A stakeholder's SQL over the registered view."""
@@ -440,7 +524,7 @@ def missing_county_rate(given: Inputs) -> DataFrame:
 def table_replace(given: Inputs) -> DataFrame:
     """Replaces a table by a result that reads the table itself."""
     root = storage.fresh_folder(given.spark, "tables")
-    name = f"{storage.own_database(given.spark)}.provider_subset_copy"
+    name = storage.own_workspace(given.spark).table("provider_subset_copy")
     first = publish.replace_table(_subset(given), name, root)
     cleaned = first.withColumn("zip_code", F.coalesce("zip_code", F.lit("00000")))
     return publish.replace_table(cleaned, name, root)
@@ -460,8 +544,8 @@ def csv_export(given: Inputs) -> DataFrame:
     )
 
 
-def _run_jobs(given: Inputs) -> jobs.Workspace:
-    """Lands all five inputs as files, loads them and builds."""
+def _run_jobs(given: Inputs) -> tuple[jobs.Workspace, DataFrame]:
+    """Lands all five inputs as files, loads them and builds; the view of this build."""
     landing = storage.fresh_folder(given.spark, "landing")
     sources = {
         name: f"{landing}/{name}" for name in ("nppes", "nucc", "fips", "zip", "county_pop")
@@ -471,23 +555,21 @@ def _run_jobs(given: Inputs) -> jobs.Workspace:
     publish.export_csv(given.fips, sources["fips"])
     publish.export_csv(given.crosswalk, sources["zip"])
     _write_matrices(given.county_pop, sources["county_pop"])
-    workspace = jobs.Workspace(
-        storage.fresh_folder(given.spark, "workspace"), storage.own_database(given.spark)
-    )
-    jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
-    return workspace
+    workspace = storage.own_workspace(given.spark)
+    return workspace, jobs.run(given.spark, sources, workspace, export_path=f"{landing}/result")
 
 
 @query
 def load_and_build(given: Inputs) -> DataFrame:
-    return given.spark.table(_run_jobs(given).table("view_county"))
+    return _run_jobs(given)[1]
 
 
 @query
 def published_marts(given: Inputs) -> DataFrame:
     """The county counts as published, beside the specialties and population published."""
-    workspace = _run_jobs(given)
-    tables = {name: given.spark.table(workspace.table(name)) for name in jobs.MARTS}
+    workspace, _ = _run_jobs(given)
+    this = builds.current(given.spark, workspace)
+    tables = {name: builds.read(given.spark, workspace, this, name) for name in jobs.MARTS}
     specialties = tables["county_specialty_distribution"].groupBy("county_name").agg(
         F.count(F.lit(1)).alias("specialties"), F.sum("provider_count").alias("by_specialty")
     )

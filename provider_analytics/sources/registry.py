@@ -53,17 +53,19 @@ def read_dataset(
     path: str,
     types: Mapping[str, str] | None = None,
     multi_line: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
     """The dataset at ``path`` with the column names and types the jobs expect.
 
-    ``types`` adds types for further CSV columns, as ratios that are to be numbers;
-    ``multi_line`` takes a JSON matrix in any layout, one task per file.
+    ``types`` adds types for further CSV columns, as ratios that are to be numbers, and
+    ``infer`` takes the types of those left from their fields; ``multi_line`` takes JSON
+    matrices in any layout, one a file.
     """
     spec = dataset(name)
     if spec.kind == "parquet":
         return readers.read_providers(spark, path)
     if spec.kind == "csv":
         return readers.read_reference_csv(
-            spark, path, {**spec.types, **(types or {})}, multi_line=spec.free_text
+            spark, path, {**spec.types, **(types or {})}, spec.free_text, infer
         )
     return readers.read_json_matrix(spark, path, multi_line)

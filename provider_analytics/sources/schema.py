@@ -78,8 +78,6 @@ POPULATION_HEADERS = ["NAME", POPULATION_VARIABLE, "state", "county"]
 
 PROVIDER_COLUMNS = normalise(PROVIDER_HEADERS)
 
-PROVIDER_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in PROVIDER_HEADERS])
-
 SUBSET_SCHEMA = T.StructType(
     [
         T.StructField("npi", T.LongType()),

@@ -1,8 +1,10 @@
 """The plans that make the jobs hold at scale."""
 
+import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from provider_analytics.operators import enrich, geography, subset
 from provider_analytics.plans import workload
@@ -105,6 +107,69 @@ def test_top_rows_need_no_full_sort(spark, sf_dir, plan_of, name):
     assert "rangepartitioning" not in plan
 
 
+@pytest.mark.parametrize("name", ["sample_5000", "view_sample_5000"])
+def test_more_first_rows_need_no_shuffle_of_rows(spark, sf_dir, plan_of, name):
+    """The bound is known, so rows are picked where they are; only lookups are dealt out."""
+    df = QUERIES[name](spark, sf_dir)
+    plan = plan_of(df)
+    assert "Window [row_number" not in plan.split("zip_code")[0]
+    assert "rangepartitioning" not in plan and "TakeOrdered" not in plan and "SinglePartition" not in plan
+    lines = plan.splitlines()
+    [scan] = [i for i, line in enumerate(lines) if "orders.parquet" in line]
+    depth, above = lines[scan].index("FileScan"), []
+    for line in reversed(lines[:scan]):
+        start = len(line) - len(line.lstrip(" :+-*0123456789()"))
+        if start < depth:
+            above.append(line.strip())
+            depth = start
+    assert not [line for line in above if line.startswith("Exchange")]
+
+
+def values(spark, rows):
+    return spark.createDataFrame([(v, i) for i, v in enumerate(rows)], "npi bigint, n int").repartition(5)
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        list(range(-1500, 1500)),
+        [i * (2**63 // 1600) for i in range(-1600, 1600)],
+        [None] * 1200 + list(range(1800)),
+        [7] * 2000 + [None] * 300 + list(range(100, 800)),
+        [-(2**63), 2**63 - 1] * 900 + [0] * 900,
+        [i * i * i for i in range(3000)],
+    ],
+)
+@pytest.mark.parametrize("n", [1200, 2300, 5000])
+def test_first_n_of_any_keys(spark, monkeypatch, rows, n):
+    monkeypatch.setattr(subset, "RANGES", 16)
+    df = values(spark, rows)
+    found = subset.first_by_key(df, n).collect()
+    order = sorted(rows, key=lambda v: (v is not None, v or 0))
+    assert sorted((r.npi for r in found), key=lambda v: (v is not None, v or 0)) == order[:n]
+    assert len({r.n for r in found}) == min(n, len(rows))
+
+
+def test_first_n_counts_ranges_not_rows(spark):
+    """The driver gets counts per range, whatever the number of rows and their keys."""
+    bound, below, level = subset.bound_of_first(spark.range(10**6), 123_456, F.col("id"))
+    assert (bound, below, level) == (123_455, 123_455, 1)
+    assert subset.bound_of_first(spark.range(0), 5, F.col("id")) == (None, 0, 0)
+
+
+def test_sample_beyond_the_limit_of_a_group(spark):
+    df = values(spark, range(20_000))
+    found = {r.npi for r in subset.sample_providers(df, 3000).collect()}
+    digest = sorted(range(20_000), key=lambda v: hashlib.md5(str(v).encode()).hexdigest())
+    assert found == set(digest[:3000])
+
+
+def test_one_row_per_npi_without_a_sorted_aggregate(spark, sf_dir, plan_of):
+    plan = plan_of(QUERIES["view_county_repeated_npi"](spark, sf_dir))
+    assert "SortAggregate" not in plan.split("BroadcastExchange")[0]
+    assert re.search(r"WindowGroupLimit \[npi.*row_number\(\), 1, Partial", plan)
+
+
 @pytest.mark.parametrize("name", ["county_provider_counts", "duplicate_keys", "key_violations"])
 def test_counts_combine_before_the_shuffle(spark, sf_dir, plan_of, name):
     assert "partial_count" in plan_of(QUERIES[name](spark, sf_dir))

@@ -72,28 +72,6 @@ def test_managed_tables_are_refused(spark, tmp_path):
         spark.sql("DROP TABLE default.managed")
 
 
-def test_tables_switch_together_or_not_at_all(spark, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    publish.replace_table(spark.range(1).toDF("n"), "default.first", root)
-    publish.replace_table(spark.range(1).toDF("n"), "default.second", root)
-    after = {
-        f"default.{name}": publish.write_files(spark.range(9).toDF("n"), name, root)
-        for name in ("first", "third", "second")
-    }
-    point = publish.point_table
-
-    def fails(spark, table, location):
-        if table == "default.second" and location == after[table]:
-            raise RuntimeError("no")
-        return point(spark, table, location)
-
-    monkeypatch.setattr(publish, "point_table", fails)
-    with pytest.raises(RuntimeError):
-        publish.point_tables(spark, after)
-    assert [spark.table(f"default.{name}").count() for name in ("first", "second")] == [1, 1]
-    assert not spark.catalog.tableExists("default.third")
-
-
 def test_csv_export_format(spark, tmp_path):
     rows = [
         (1, None, "plain"),
@@ -126,3 +104,10 @@ def test_key_checks(spark):
     quality.require_row_count(df, 5)
     with pytest.raises(QualityError, match="expected 100000 rows, found 5"):
         quality.require_row_count(df, 100_000)
+
+
+def test_an_extract_is_one_file_with_one_header(spark, tmp_path):
+    path = str(tmp_path / "out")
+    publish.export_csv(spark.range(100).repartition(7), path, one_file=True)
+    [name] = glob.glob(f"{path}/*.csv")
+    assert len(open(name).read().splitlines()) == 101

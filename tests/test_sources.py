@@ -84,12 +84,51 @@ def test_csv_keeps_rows_with_bad_fields(spark, tmp_path):
     ]
 
 
-def test_csv_columns_in_another_order_are_an_error(spark, tmp_path):
+def test_csv_files_of_a_folder_are_joined_by_name(spark, tmp_path):
+    (tmp_path / "zips").mkdir()
+    text_file(tmp_path / "zips", "a.csv", "ZIP,COUNTY,Note\n36103,502,x\n")
+    text_file(tmp_path / "zips", "b.csv", '\n"COUNTY",Note,"ZIP"\n502,"y, ""z""",36104\nbad,,1\n')
+    text_file(tmp_path / "zips", "c d.csv", "ZIP,COUNTY,Note\n")
+    text_file(tmp_path / "zips", "empty.csv", "")
+    df = read_dataset(spark, "zip", str(tmp_path / "zips"))
+    assert df.dtypes == [("zip", "int"), ("county", "int"), ("note", "string")]
+    found = sorted(map(tuple, df.collect()))
+    assert found == [(1, None, ""), (36103, 502, "x"), (36104, 502, 'y, "z"')]
+
+
+def test_csv_files_with_other_columns_are_an_error(spark, tmp_path):
     (tmp_path / "zips").mkdir()
     text_file(tmp_path / "zips", "a.csv", "ZIP,COUNTY\n36103,502\n")
-    text_file(tmp_path / "zips", "b.csv", "COUNTY,ZIP\n502,36103\n")
-    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
-        read_dataset(spark, "zip", str(tmp_path / "zips")).collect()
+    text_file(tmp_path / "zips", "b.csv", "COUNTY,PLACE\n502,36103\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_dataset(spark, "zip", str(tmp_path / "zips"))
+
+
+def test_csv_types_follow_all_fields(spark, tmp_path):
+    rows = [
+        "ZIP,COUNTY,whole,decimal,text,long,none,odd.name",
+        "1,2,-5,1,7,9223372036854775807,,1",
+        "3,4,+007,.5,8,1,,2",
+        "5,6,,2e3,x,,,3",
+    ]
+    path = text_file(tmp_path, "zip.csv", "\n".join(rows) + "\n")
+    df = read_dataset(spark, "zip", path, types={"oddname": "string"}, infer=True)
+    assert [kind for _, kind in df.dtypes] == ["int", "int", "bigint", "double", "string", "bigint", "string", "string"]
+    assert [tuple(r)[2:7] for r in df.collect()] == [
+        (-5, 1.0, "7", 2**63 - 1, ""),
+        (7, 0.5, "8", 1, ""),
+        (None, 2000.0, "x", None, ""),
+    ]
+
+
+def test_csv_type_of_one_last_field(spark, tmp_path):
+    """One text in the last of many rows makes the column text, unlike a look at the first."""
+    rows = "\n".join(str(i) for i in range(5000))
+    path = text_file(tmp_path, "zip.csv", f"ZIP\n{rows}\nNaN\n")
+    [name] = readers.infer_types(readers.read_reference_csv(spark, path)) or ["text"]
+    assert name == "text"
+    df = readers.read_reference_csv(spark, text_file(tmp_path, "n.csv", f"n\n{rows}\n1.5\n"), infer=True)
+    assert df.dtypes == [("n", "double")]
 
 
 def test_csv_types_of_further_columns(spark, tmp_path):
@@ -146,16 +185,80 @@ def test_json_matrix_line_layouts(spark, tmp_path, layout):
     assert sorted(map(tuple, df.collect()), key=str) == sorted(ROWS, key=str)
 
 
-@pytest.mark.parametrize("content", [json.dumps(MATRIX, indent=2), json.dumps(MATRIX)])
-def test_json_matrix_any_layout(spark, tmp_path, content):
-    path = text_file(tmp_path, "pop.json", content)
+ANY_LAYOUT = {
+    "indented": json.dumps(MATRIX, indent=2),
+    "one line": json.dumps(MATRIX),
+    "compact, end of line": json.dumps(MATRIX, separators=(",", ":")) + " \r\n",
+    "spread": json.dumps(MATRIX, indent=1).replace("\n", "\r\n\t "),
+}
+
+
+@pytest.fixture(params=["128m", "40b"])
+def split(spark, request):
+    """Files as they are, and in parts of 40 bytes."""
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", request.param)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("layout", ANY_LAYOUT)
+def test_json_matrix_any_layout(spark, tmp_path, layout, split):
+    path = text_file(tmp_path, "pop.json", ANY_LAYOUT[layout])
     df = readers.read_json_matrix(spark, path, multi_line=True)
     assert sorted(map(tuple, df.collect()), key=str) == sorted(ROWS, key=str)
 
 
-def test_two_matrices_in_a_file_of_any_layout_are_an_error(spark, tmp_path):
-    path = text_file(tmp_path, "pop.json", json.dumps(MATRIX, indent=2) + json.dumps(MATRIX))
-    with pytest.raises(PySparkException, match="more than one JSON matrix"):
+def test_a_matrix_on_one_line_is_read_by_many_tasks(spark, tmp_path, split):
+    """Cells hold brackets, quotes, commas and backslashes wherever the file is cut."""
+    draw = random.Random(8)
+    alphabet = '[]{}",\\ \n\t:aé'
+    header = ["NAME", "[a]", 'b"],["']
+    rows = [
+        ["".join(draw.choice(alphabet) for _ in range(draw.randrange(9))) for _ in header] for _ in range(300)
+    ]
+    rows += [[None, "", "]]"], ["],[", '"],["', "\\"]]
+    for part in range(3):
+        text_file(tmp_path, f"{part}.json", json.dumps([header, *rows[part::3]], ensure_ascii=part == 0))
+    path = str(tmp_path / "*.json")
+    df = readers.read_json_matrix(spark, path, multi_line=True)
+    assert df.columns == header
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, rows), key=str)
+    if split == "40b":
+        text = spark.read.option("lineSep", "]").text(path)
+        assert text.rdd.getNumPartitions() > 100
+        used = text.selectExpr("_metadata.file_path AS f", "spark_partition_id() AS p").distinct()
+        assert used.count() > 30
+
+
+@pytest.mark.parametrize(
+    "content, message",
+    [
+        (json.dumps(MATRIX)[:-1], "cut off"),
+        (json.dumps(MATRIX)[:-1] + "\n", "cut off"),
+        (json.dumps(MATRIX)[:-2], "malformed"),
+        (json.dumps(MATRIX)[:-4], "malformed"),
+        (json.dumps(MATRIX) * 2, "more than one JSON matrix"),
+        (json.dumps(MATRIX, indent=2) + json.dumps(MATRIX), "more than one JSON matrix"),
+        (json.dumps(MATRIX) + "x", "malformed"),
+        (json.dumps(MATRIX) + "]", "cut off"),
+        ('[["A"]],["1"]', "brackets"),
+        (',["1"],[["A"]]', "malformed|brackets"),
+        ('[["A"] ["1"]]', "malformed"),
+        ('[["A"],["1"],]', "malformed"),
+        ('[["A"],["1",["2"]]]', "malformed|fit header"),
+        ('[["A","B"],["1"]]', "fit header"),
+        ("", "no JSON matrix"),
+        ("[[]]", "no JSON matrix"),
+        ("[]", "malformed|no JSON matrix"),
+        ("Unauthorized access", "malformed|no JSON matrix"),
+    ],
+)
+def test_json_matrix_of_any_layout_fails_loudly(spark, tmp_path, content, message, split):
+    path = text_file(tmp_path, "pop.json", content)
+    with pytest.raises((ValueError, PySparkException), match=message):
         readers.read_json_matrix(spark, path, multi_line=True).collect()
 
 
