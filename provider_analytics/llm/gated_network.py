@@ -20,6 +20,9 @@ WINDOW = 32
 #: Steps of a window when scoring, which keeps nothing for a way back.
 SCORED = 64
 RATE = 0.01
+#: Words whose gradients are added up at least before a step, so that windows in which few
+#: lanes are left do not make steps of their own.
+STEP_WORDS = 2048
 #: The gradient's length at most, per word.
 STEEPEST = 1.0
 
@@ -68,8 +71,8 @@ def initial(counts: np.ndarray, units: int = UNITS) -> np.ndarray:
 
 
 @dataclass
-class Lanes:
-    """Documents laid out in lanes: arrays of (steps, lanes)."""
+class Window:
+    """Some steps of the lanes that have not ended: arrays of (steps, lanes)."""
 
     inputs: np.ndarray
     targets: np.ndarray
@@ -77,50 +80,33 @@ class Lanes:
     document: np.ndarray  # -1 where a lane has ended
 
 
-def streamed(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
-    """One document after another, the whole cut into lanes of equal length. A document
-    on a cut goes on in the next lane with a cleared state, which training can bear."""
-    targets = np.concatenate(documents)
-    document = np.repeat(np.arange(len(documents), dtype=np.int32), [len(d) for d in documents])
-    first = np.append(True, document[1:] != document[:-1])
-    inputs = np.where(first, start, np.append(start, targets[:-1]))
-    steps = max(4 * WINDOW, -(-len(targets) // lanes))
-    shape = (-(-len(targets) // steps), steps)
-    more = shape[0] * steps - len(targets)
-
-    def cut(row: np.ndarray, filled_by) -> np.ndarray:
-        return np.append(row, np.full(more, filled_by, row.dtype)).reshape(shape).T.copy()
-
-    found = Lanes(cut(inputs, 0), cut(targets, 0), cut(first, False), cut(document, -1))
-    found.starts[0] = True
-    return found
-
-
-def laid_out(documents: Sequence[np.ndarray], start: int, lanes: int = LANES) -> Lanes:
-    """Longest first, each to the lane with the fewest words; lanes with the most words come
-    first. The input of a word is the one before it, ``start`` for the first."""
+def windows(documents: Sequence[np.ndarray], start: int, steps: int, lanes: int = LANES) -> Iterator[Window]:
+    """Documents side by side in lanes, ``steps`` at a time; lanes with the most words come
+    first, and those that have ended are left out. Longest first, each document goes whole to
+    the lane with the fewest words. The input of a word is the one before it, ``start`` for
+    the first. Memory goes by the words of the documents, whatever the longest."""
     n = max(1, min(lanes, len(documents)))
-    filled: list[tuple[int, list[int]]] = [(0, []) for _ in range(n)]
+    filled: list[tuple[int, int, list[int]]] = [(0, lane, []) for lane in range(n)]
     for i in sorted(range(len(documents)), key=lambda i: -len(documents[i])):
-        length, queue = filled[0]
-        heapq.heapreplace(filled, (length + len(documents[i]), [*queue, i]))
-    filled.sort(reverse=True)
-    steps, queues = filled[0][0], [queue for _, queue in filled]
-    targets = np.zeros((n, steps), np.int32)
-    inputs = np.zeros((n, steps), np.int32)
-    starts = np.zeros((n, steps), bool)
-    document = np.full((n, steps), -1, np.int32)
-    for lane, queue in enumerate(queues):
-        at = 0
-        for i in queue:
-            words = documents[i]
-            end = at + len(words)
-            targets[lane, at:end] = words
-            inputs[lane, at + 1 : end] = words[:-1]
-            inputs[lane, at], starts[lane, at] = start, True
-            document[lane, at:end] = i
-            at = end
-    return Lanes(inputs.T.copy(), targets.T.copy(), starts.T.copy(), document.T.copy())
+        length, lane, queue = filled[0]
+        queue.append(i)
+        heapq.heapreplace(filled, (length + len(documents[i]), lane, queue))
+    filled.sort(key=lambda lane: -lane[0])
+    order = [i for _, _, queue in filled for i in queue]
+    lengths = np.array([length for length, _, _ in filled])
+    begins = np.cumsum(lengths) - lengths
+    targets = np.concatenate([documents[i] for i in order])
+    document = np.repeat(np.array(order, np.int32), [len(documents[i]) for i in order])
+    starts = np.append(True, document[1:] != document[:-1])
+    inputs = np.where(starts, start, np.append(start, targets[:-1])).astype(np.int32)
+    for at in range(0, int(lengths[0]), steps):
+        open_ = int((lengths > at).sum())
+        step = np.arange(at, min(at + steps, int(lengths[0])))[:, None]
+        real = step < lengths[None, :open_]
+        place = np.where(real, begins[None, :open_] + step, 0)
+        yield Window(
+            np.where(real, inputs[place], 0), targets[place], starts[place] & real, np.where(real, document[place], -1)
+        )
 
 
 def _run(v: dict[str, np.ndarray], inputs: np.ndarray, starts: np.ndarray, state: np.ndarray):
@@ -204,17 +190,13 @@ def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.nd
     total = np.zeros(len(documents))
     if not documents:
         return total
-    v, lanes = views(flat, vocabulary), laid_out(documents, start)
-    state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
-    for at in range(0, len(lanes.inputs), SCORED):
-        open_ = int((lanes.document[at] >= 0).sum())  # lanes that have not ended
-        window = slice(at, at + SCORED), slice(0, open_)
-        after = _run(v, lanes.inputs[window], lanes.starts[window], state[:open_])[1]
+    v, state = views(flat, vocabulary), np.zeros((LANES, UNITS), np.float32)
+    for window in windows(documents, start, SCORED):
+        after = _run(v, window.inputs, window.starts, state[: window.inputs.shape[1]])[1]
         state = after[-1]
-        document = lanes.document[window]
-        real = _chosen(document >= 0)
-        logp = _outputs(v, after.reshape(-1, UNITS)[real], lanes.targets[window].ravel()[real])
-        total += np.bincount(document.ravel()[real], logp, len(documents))
+        real = _chosen(window.document >= 0)
+        logp = _outputs(v, after.reshape(-1, UNITS)[real], window.targets.ravel()[real])
+        total += np.bincount(window.document.ravel()[real], logp, len(documents))
     return total
 
 
@@ -229,25 +211,24 @@ class Trainer:
     def __init__(self, flat: np.ndarray, vocabulary: int):
         self.flat, self.vocabulary = flat.copy(), vocabulary
         self.mean, self.square = np.zeros_like(flat), np.zeros_like(flat)
+        self.gradient, self.pending = np.zeros_like(flat), 0
         self.updates = 0
         self.words = 0
 
     def learn(self, documents: Sequence[np.ndarray], start: int) -> None:
-        lanes = streamed(documents, start)
+        """Documents are learned whole: a state is cleared only where one begins."""
         v = views(self.flat, self.vocabulary)
-        state = np.zeros((lanes.inputs.shape[1], UNITS), np.float32)
-        for at in range(0, len(lanes.inputs), WINDOW):
-            window = slice(at, at + WINDOW)
-            inputs, real = lanes.inputs[window], _chosen(lanes.document[window] >= 0)
-            before, after, gates, candidates = _run(v, inputs, lanes.starts[window], state)
+        state = np.zeros((LANES, UNITS), np.float32)
+        for window in windows(documents, start, WINDOW):
+            inputs, real = window.inputs, _chosen(window.document >= 0)
+            before, after, gates, candidates = _run(v, inputs, window.starts, state[: inputs.shape[1]])
             state = after[-1]
-            gradient = np.zeros_like(self.flat)
-            g = views(gradient, self.vocabulary)
-            targets = lanes.targets[window].ravel()[real]
+            g = views(self.gradient, self.vocabulary)
+            targets = window.targets.ravel()[real]
             _, dh = _outputs(v, after.reshape(-1, UNITS)[real], targets, g)
             above = np.zeros_like(after)
             above.reshape(-1, UNITS)[real] = dh
-            da = self._back(v, above, before, gates, candidates, lanes.starts[window])
+            da = self._back(v, above, before, gates, candidates, window.starts)
             flat_da = da.reshape(-1, da.shape[2])
             g["recurrent"] += before.reshape(-1, UNITS).T @ flat_da
             ids = inputs.ravel()
@@ -256,7 +237,11 @@ class Trainer:
             order = np.argsort(ids, kind="stable")
             present, first = np.unique(ids[order], return_index=True)
             g["input"][present] += np.add.reduceat(flat_da[order], first)
-            self._update(gradient, len(targets))
+            self.pending += len(targets)
+            if self.pending >= STEP_WORDS:
+                self._update()
+        if self.pending:
+            self._update()
 
     @staticmethod
     def _back(v, above, before, gates, candidates, starts) -> np.ndarray:
@@ -276,8 +261,10 @@ class Trainer:
             carried[starts[t]] = 0
         return da
 
-    def _update(self, gradient: np.ndarray, words: int) -> None:
-        gradient /= max(1, words)
+    def _update(self) -> None:
+        """One step by the gradients added up; a shorter one for fewer words."""
+        words, gradient = self.pending, self.gradient
+        gradient /= words
         gradient *= min(1.0, STEEPEST / (float(np.sqrt(gradient @ gradient)) + 1e-9))
         self.words += words
         self.updates += 1
@@ -285,7 +272,8 @@ class Trainer:
         self.square += 0.01 * (gradient * gradient - self.square)
         mean = self.mean / (1 - 0.9**self.updates)
         square = self.square / (1 - 0.99**self.updates)
-        self.flat -= RATE * mean / (np.sqrt(square) + 1e-6)
+        self.flat -= min(1.0, words / STEP_WORDS) * RATE * mean / (np.sqrt(square) + 1e-6)
+        self.gradient, self.pending = np.zeros_like(self.flat), 0
 
 
 def chunks(flat: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -24,20 +24,20 @@ from pyspark.sql import functions as F
 from . import gated_network as network
 from .common import frequent, staged, utf8
 
-#: A word that comes so often is predicted by the network, however many such words there
-#: are, and so are the most frequent ones up to ``VOCABULARY``, end and mark included.
-OFTEN = 100
+#: The network predicts every word that makes up such a share of the training tokens, which
+#: are 50,000 at most, and the most frequent ones up to ``VOCABULARY``, end and mark included.
+SHARE = 2e-5
 VOCABULARY = 512
-#: Words whose counts go to every task at most, or as many as the network predicts; and
-#: the longest of them in bytes.
+#: Words whose counts go to every task at most, and the longest of them in bytes.
 KNOWN = 1 << 17
 KNOWN_BYTES = 64
 END, OTHER = 0, 1
 FOLDS, HELD_OUT = 7, 2
 #: Words counted in a task before they are passed on.
 COUNTED = 1 << 18
-#: Words of the documents that are trained or scored side by side.
+#: Words of the documents that are scored side by side, and of those that are trained.
 BATCH = 1 << 20
+LEARNED = 1 << 22
 #: Trained copies averaged by a task, and parameters of a piece.
 COPIES = 256
 PIECE = 4096
@@ -119,8 +119,16 @@ def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = network.Trainer(start, numbers.vocabulary)
-        for _, _, documents in _in_batches(batches):
-            trainer.learn([numbers.targets_of(words) for words in documents], END)
+        documents, total = [], 0
+        for batch in batches:
+            for text in batch.column("text"):
+                documents.append(numbers.targets_of(words_of(text.as_py())))
+                total += len(documents[-1])
+                if total > LEARNED:
+                    trainer.learn(documents, END)
+                    documents, total = [], 0
+        if documents:
+            trainer.learn(documents, END)
         if not trainer.words:
             return
         pieces = list(network.chunks(trainer.flat.astype(np.float64) * trainer.words, PIECE))
@@ -148,15 +156,15 @@ def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
     return np.concatenate(parts).astype(np.float32)
 
 
-def vocabulary_of(counts: DataFrame) -> int:
+def vocabulary_of(counts: DataFrame, tokens: int) -> int:
     """How many words the network predicts, the end and the mark included."""
-    return max(VOCABULARY, counts.where(F.col("n") >= OFTEN).count() + 2)
+    return max(VOCABULARY, counts.where(F.col("n") >= SHARE * tokens).count() + 2)
 
 
 def scored(docs: DataFrame, vocabulary: int | None = None, known: int = KNOWN) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score. ``vocabulary`` follows
-    the counts if it is not given.
+    the counts if it is not given (``SHARE``).
 
     A null or empty text is scored by its end alone. Rows that repeat count as often as
     they come and get equal scores. Without training documents all counts are zero and
@@ -174,8 +182,8 @@ def scored(docs: DataFrame, vocabulary: int | None = None, known: int = KNOWN) -
     short = counts.where(F.octet_length("word") <= KNOWN_BYTES)
     most = frequent(short, known)
     if vocabulary is None:
-        vocabulary = vocabulary_of(short)
-        most = most.union(short.where(F.col("n") >= OFTEN)).distinct()
+        vocabulary = vocabulary_of(short, train_tokens)
+        most = most.union(short.where(F.col("n") >= SHARE * train_tokens)).distinct()
     most = most.toPandas().sort_values(["n", "word"], ascending=[False, True])
     numbers = Numbers(most["word"].tolist(), most["n"].tolist(), vocabulary)
     numbers.counts[END] = ends
