@@ -16,11 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import staged
+
 #: N-grams of a profile; also the distance of an n-gram that a profile lacks.
 PROFILE = 300
 #: Profiles are fitted on the documents of each language that come first by a hash of
-#: doc_id, so many at most.
+#: doc_id and text, so many, and more only where the last of them repeats.
 TRAINING = 2000
+#: Leading bits by which draws are counted: 4096 counts a language.
+DRAW_BITS = 12
 FOLDS = 5
 BLANK = 32
 
@@ -51,21 +55,39 @@ def held_out() -> F.Column:
     return crc % FOLDS == 0
 
 
+def _bounds(labelled: DataFrame, training: int) -> DataFrame:
+    """lang and the largest of its first ``training`` draws. Draws are spread evenly, so
+    a language's are counted by their leading bits; those up to the count that reaches
+    ``training`` are few, and they are put in order. Of rows that repeat all or none stay."""
+    counts = labelled.groupBy("lang", F.shiftright("drawn", 64 - DRAW_BITS).alias("lead")).count()
+    upward = Window.partitionBy("lang").orderBy("lead")
+    counts = counts.withColumn("below", F.sum("count").over(upward) - F.col("count"))
+    last = counts.where(F.col("below") < training).groupBy("lang").agg(F.max("lead").alias("last"))
+    early = labelled.select("lang", "drawn").join(F.broadcast(last), "lang")
+    early = early.where(F.shiftright("drawn", 64 - DRAW_BITS) <= F.col("last"))
+    early = early.groupBy("lang", "drawn").agg(F.count(F.lit(1)).alias("n"))
+    place = F.sum("n").over(Window.partitionBy("lang").orderBy("drawn")) - F.col("n")
+    return early.withColumn("place", place).where(F.col("place") < training).groupBy("lang").agg(
+        F.max("drawn").alias("bound")
+    )
+
+
 def profiles(docs: DataFrame, size: int = PROFILE, training: int = TRAINING) -> DataFrame:
     """lang, gram, rank (0 first) of the languages learned from documents with text and
     lang that are not held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = labelled.select("doc_id", "lang", "text").withColumn("place", F.row_number().over(drawn))
-    sample = sample.where(F.col("place") <= training).select("lang", "text")
+    labelled = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("drawn"))
+    # The texts stay where they are. Languages are few: their profiles go to every task too.
+    bounds = _bounds(staged(labelled.select("lang", "drawn"), "draws"), training)
+    sample = labelled.join(F.broadcast(bounds), "lang").where("drawn <= bound").select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
         for batch in batches:
-            for lang, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "text")), strict=True):
-                grams, counts = ranked_ngrams(text, is_letter)
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                grams, counts = ranked_ngrams(text.as_py(), is_letter)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)],
+                    [pa.array([lang.as_py()] * len(grams), pa.string()), pa.array(grams), pa.array(counts)],
                     names=["lang", "gram", "n"],
                 )
 
@@ -108,7 +130,7 @@ def predicted(docs: DataFrame, size: int = PROFILE, training: int = TRAINING) ->
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [nearest(text) for text in batch.column("text").to_pylist()]
+            found = [nearest(text.as_py()) for text in batch.column("text")]
             arrays = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), *arrays],
