@@ -11,7 +11,7 @@ from provider_analytics.llm import passage_dedup, quality_resampling, queries
 
 
 def test_both_are_registered():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("passage", [12, 50])

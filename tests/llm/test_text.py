@@ -1,12 +1,14 @@
 """BPE, rules, language, language model and mixing against brute force."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -78,6 +80,60 @@ def test_language(spark, sf_dir):
     assert sum(lang[r.doc_id] == r.lang_pred for r in held) >= 0.9 * len(held)
 
 
+def grams_of(text):
+    """One to three letters of lower-cased words with a blank at each end, most frequent first."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    spaced = " " + "".join(word + " " for word in words) if words else ""
+    counts = Counter(spaced[i : i + n] for n in (1, 2, 3) for i in range(len(spaced) - n + 1))
+    counts.pop(" ", None)
+
+    def order(gram):
+        return -counts[gram], sum(ord(c) << 21 * i for i, c in enumerate(reversed(gram)))
+
+    return counts, sorted(counts, key=order)
+
+
+@pytest.mark.parametrize("training", [15, language_id.TRAINING])
+def test_language_against_plain_profiles(spark, sf_dir, odd, training):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = table.union(odd.select("doc_id", "text", "lang").where("doc_id > 3"))
+    rows = docs.withColumn("drawn", F.xxhash64("doc_id", "text")).collect()
+    totals = defaultdict(Counter)
+    for lang in {r.lang for r in rows} - {None}:
+        own = [r for r in rows if r.lang == lang and r.text is not None and remainder(r.doc_id, 5) != 0]
+        own.sort(key=lambda r: r.drawn)
+        for r in own:
+            if r.drawn <= own[min(training, len(own)) - 1].drawn:
+                totals[lang].update(grams_of(r.text)[0])
+    profiles = {}
+    for lang, total in totals.items():
+        code = lambda g: sum(ord(c) << 21 * i for i, c in enumerate(reversed(g)))
+        profiles[lang] = {g: i for i, g in enumerate(sorted(total, key=lambda g: (-total[g], code(g)))[:300])}
+    expected = Counter()
+    for r in rows:
+        own = grams_of(r.text or "")[1][:300]
+        if not own:
+            expected[r.doc_id, "und", 0.0] += 1
+            continue
+        apart = {
+            lang: sum(abs(profile[g] - i) if g in profile else 300 for i, g in enumerate(own))
+            for lang, profile in profiles.items()
+        }
+        best = min(sorted(apart), key=apart.get)
+        expected[r.doc_id, best, round(1 - apart[best] / (300 * len(own)), 9)] += 1
+    found = language_id.predicted(docs, training=training).collect()
+    assert Counter((r.doc_id, r.lang_pred, round(r.score, 9)) for r in found) == expected
+
+
+def test_no_text_is_shuffled_for_profiles(spark, sf_dir, capsys):
+    language_id.profiles(spark.read.parquet(f"{sf_dir}/documents.parquet")).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "text" not in line
+
+
 def test_language_of_no_rows(empty, odd):
     assert language_id.predicted(empty).count() == 0
     nothing = odd.withColumn("lang", F.lit(None).cast("string"))
@@ -119,8 +175,59 @@ def test_scores_of_no_rows(empty):
 def test_vocabulary_follows_the_counts(spark):
     rows = [(f"w{i}", 100 + i % 7) for i in range(3000)] + [(f"rare{i}", 99) for i in range(500)]
     counts = spark.createDataFrame(rows, "word string, n bigint")
-    assert language_model.vocabulary_of(counts) == 3002
-    assert language_model.vocabulary_of(counts.where("n < 100")) == language_model.VOCABULARY
+    share = language_model.SHARE
+    assert language_model.vocabulary_of(counts, int(99.5 / share)) == 3002
+    assert language_model.vocabulary_of(counts, int(98.5 / share)) == 3502
+    assert language_model.vocabulary_of(counts, int(200 / share)) == language_model.VOCABULARY
+
+
+def test_windows_hold_every_word_once_and_documents_whole():
+    draw = np.random.default_rng(3)
+    documents = [draw.integers(1, 50, n).astype(np.int32) for n in [1, 500, 3, 3, 64, 32, 33, 1, 200, 7]]
+    seen = [[] for _ in documents]
+    for window in gated_network.windows(documents, 0, 16, lanes=3):
+        assert window.inputs.shape[0] <= 16 and (window.document >= 0).any(axis=0).all()
+        for lane in range(window.inputs.shape[1]):
+            for step in range(window.inputs.shape[0]):
+                i = window.document[step, lane]
+                if i >= 0:
+                    assert window.starts[step, lane] == (not seen[i])
+                    assert window.inputs[step, lane] == (seen[i][-1] if seen[i] else 0)
+                    seen[i].append(window.targets[step, lane])
+    assert all(words == list(document) for words, document in zip(seen, documents, strict=True))
+
+
+def test_memory_goes_by_words_not_by_the_longest_document():
+    documents = [np.ones(100, np.int32)] * 511 + [np.ones(1_000_000, np.int32)]
+    tracemalloc.start()
+    n = sum(int((window.document >= 0).sum()) for window in gated_network.windows(documents, 0, 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 511 * 100 + 1_000_000 and peak < 100 * n
+
+
+def test_gradient_against_differences():
+    draw = np.random.default_rng(11)
+    vocabulary, documents = 20, [draw.integers(0, 20, n).astype(np.int32) for n in (9, 4, 14)]
+    flat = gated_network.initial(np.bincount(np.concatenate(documents), minlength=vocabulary)).astype(np.float64)
+    flat += draw.normal(0, 0.3, len(flat)) * (flat > -1e3)
+    found = {}
+
+    class Kept(gated_network.Trainer):
+        def _update(self):
+            found["gradient"], self.pending = self.gradient, 0
+
+    Kept(flat.astype(np.float32), vocabulary).learn(documents, 0)
+
+    def loss(parameters):
+        return -gated_network.log_likelihoods(parameters.astype(np.float32), vocabulary, documents, 0).sum()
+
+    places = draw.choice(np.flatnonzero(flat > -1e3), 60, replace=False)
+    for at in places:
+        step = np.zeros(len(flat))
+        step[at] = 2e-2
+        slope = (loss(flat + step) - loss(flat - step)) / 4e-2
+        assert abs(slope - found["gradient"][at]) < 0.02 + 0.02 * abs(slope)
 
 
 def test_many_words_train():
