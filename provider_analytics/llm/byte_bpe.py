@@ -30,9 +30,10 @@ AHEAD = 1 << 16
 AHEAD_BYTES = 48
 #: Words of more bytes join all places of the lowest pair in one step.
 LONG = 64
-#: A literal map is searched from its start, so it is dealt to this many small ones.
-RANK_MAPS = 1 << 16
-WORD_MAPS = 1 << 16
+#: A literal map is searched from its start, so it is dealt to this many small ones, of
+#: some four entries each: more of them would take the driver's memory.
+RANK_MAPS = 1 << 14
+WORD_MAPS = 1 << 14
 #: In the state of a fold: a pair without a rank, and a byte within a piece.
 NO_RANK = 1 << 20
 GONE = 1 << 62

@@ -36,9 +36,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(docs, byte_bpe.ranks_of(public_tokenizers.path(TOKENIZER)))
 
 
-def token_digests(docs: DataFrame, ranks: dict[bytes, int], *more: str) -> DataFrame:
+def token_digests(
+    docs: DataFrame, ranks: dict[bytes, int], *more: str, ahead: int = byte_bpe.AHEAD
+) -> DataFrame:
     """doc_id, the number of ids, digests of ids and decoded bytes, and ``more`` columns."""
-    tokens = byte_bpe.encoded(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    tokens = byte_bpe.encoded(docs, ranks, public_tokenizers.PATTERN, ahead).select("doc_id", "ids")
     both = byte_bpe.decoded(tokens, ranks)
     return both.select(
         "doc_id",
