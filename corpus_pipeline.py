@@ -22,6 +22,10 @@ from provider_analytics.llm import (
 )
 
 
+#: Words whose ids become a literal; the driver has held four stages before.
+WORDS_AHEAD = 1 << 14
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
     return quality_rules.accepted(docs)
@@ -45,7 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of them and of the text they decode to."""
     ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
-    return queries.token_digests(docs, ranks, "ids")
+    return queries.token_digests(docs, ranks, "ids", ahead=WORDS_AHEAD)
 
 
 STAGES = [
