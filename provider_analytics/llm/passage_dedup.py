@@ -135,29 +135,31 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
     windows = staged(rows.select("row", "text").mapInArrow(marked, "row bigint, mark bigint"), "windows")
     shared = staged(windows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "marks")
     some = windows.join(shared, "mark").groupBy("row").agg(F.collect_list("mark").alias("marks"))
-    some = staged(some, "shared-marks")
+    # A row's place among all: doc_id with null last, then the text's hash, then the number.
+    order = rows.select("row", "doc_id", F.xxhash64("text").alias("digest")).orderBy(
+        F.col("doc_id").asc_nulls_last(), "digest", "row"
+    )
+    order = staged(order.select("row", F.monotonically_increasing_id().alias("place")), "order")
+    some = staged(some.join(order, "row"), "shared-marks")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        names = ["row", "doc_id", "digest", "mark", "passage", "at"]
+        names = ["place", "mark", "passage", "at"]
         for batch in batches:
-            for number, doc_id, digest, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for place, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text)
                 marks = marks_of(words, passage, run)
                 at = np.flatnonzero(np.isin(marks, np.array(own, np.int64).view(np.uint64)))
-                same = [pa.array([value] * len(at), pa.int64()) for value in (number, doc_id, digest)]
-                found = [_int64(marks[at]), _int64(passages_of(words, passage)[at]), pa.array(at, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*same, *found], names=names)
-
-    schema = "row bigint, doc_id bigint, digest bigint, mark bigint, passage bigint, at bigint"
-    texts = rows.join(some, "row").select("row", "doc_id", F.xxhash64("text").alias("digest"), "text", "marks")
-    # A row's place among all: doc_id with null last, then the text's hash, then the number.
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "row").alias("place")
-    places = staged(texts.mapInArrow(compared, schema).select("row", "mark", "passage", "at", place), "passages")
-    first = places.groupBy("mark", "passage").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    first = staged(first.where("first <> last").select("mark", "passage", F.col("first.row").alias("stays")), "repeated")
-    goes = places.join(first, ["mark", "passage"]).where("row <> stays")
-    goes = staged(goes.groupBy("row").agg(F.collect_list("at").alias("at")), "passages-to-drop")
+                found = [_int64(marks[at]), _int64(passages_of(words, passage)[at]), pa.array(at, pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array([place] * len(at), pa.int64()), *found], names=names)
+
+    texts = rows.join(some, "row").select("place", "text", "marks")
+    places = staged(texts.mapInArrow(compared, "place bigint, mark bigint, passage bigint, at int"), "passages")
+    first = places.groupBy("mark", "passage").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
+    first = staged(first.where("stays <> last").drop("last"), "repeated")
+    goes = places.join(first, ["mark", "passage"]).where("place <> stays")
+    goes = goes.groupBy("place").agg(F.collect_list("at").alias("at"))
+    goes = staged(goes.join(order, "place").select("row", "at"), "passages-to-drop")
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
