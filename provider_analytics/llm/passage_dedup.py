@@ -15,6 +15,7 @@ the work stays in proportion to the input for a passage that very many documents
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, numbered, staged, utf8
+from ..plans import storage
+from .common import WORD, staged, utf8
 
 PASSAGE = 50
-RUN = 8
+RUN = 16
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 18
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -111,6 +113,22 @@ def _int64(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _in_buckets(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a number ``row``, written in buckets by it, one file each, so that the
+    texts are not shuffled again by the joins that add something to a row. The name of the
+    table is given up at once; its files stay in the shared folder."""
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row"))
+    name = f"llm_rows_{uuid.uuid4().hex}"
+    folder = storage.fresh_folder(spark, "llm-rows")
+    dealt = numbered.repartition(n, "row").write.bucketBy(n, "row").sortBy("row").option("path", folder)
+    dealt.saveAsTable(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, the
     text that is left, n_words before and n_dropped.
@@ -121,8 +139,7 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
     one doc_id that of the smaller hash of its text comes first. What a document repeats
     within itself alone stays. A null text becomes ''. An empty table gives no rows.
     """
-    rows, row = numbered(docs.select(F.col("doc_id").cast("bigint"), "text"))
-    assert row == "row"
+    rows = _in_buckets(docs)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
