@@ -85,7 +85,8 @@ def test_registered_sql(spark, sf_dir):
     import duckdb
 
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS FROM read_parquet('{sf_dir}/documents.parquet')")
+    for table in ("documents", "embeddings", "labels"):
+        duck.execute(f"CREATE VIEW {table} AS FROM read_parquet('{sf_dir}/{table}.parquet')")
     for name, sql in queries.ORACLE_SQL.items():
         df = queries.QUERIES[name](spark, sf_dir)
         answer = duck.execute(sql)

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from provider_analytics.llm import byte_bpe, queries, source_mixing
+from provider_analytics.llm import byte_bpe, common, queries, source_mixing
 
 
 def test_stages(spark, odd):
@@ -63,7 +63,7 @@ def test_mix_gives_what_the_plan_says(spark, odd, sf_dir, table):
 def test_all_five_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir).localCheckpoint()
+        docs = common.staged(stage(spark, docs, sf_dir), "stage")
     ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
     encoding = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
@@ -76,3 +76,28 @@ def test_all_five_stages(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     assert set(found.columns) == {*columns, "ids"}
     assert Counter(map(tuple, found.select(*columns).collect())) == expected
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_a_stage_on_no_rows(spark, empty, name):
+    left = dict(corpus_pipeline.STAGES)[name](spark, empty, None)
+    assert left.count() == 0
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert left.columns == empty.columns
+
+
+def test_run_on_no_rows(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() == 0 and "ids" in found.columns
+
+
+def test_tokens_of_odd_rows(spark, odd, pairs):
+    """Nulls, empty texts, repeated rows, and a column that is called ids already."""
+    ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
+    encoding = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    found = dict(corpus_pipeline.STAGES)["byte-level bpe"](spark, odd, None).collect()
+    expected = Counter((d, tuple(encoding.encode_ordinary(t or "")), brute.sha(t or "")) for d, t in pairs)
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in found) == expected
