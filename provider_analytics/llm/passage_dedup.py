@@ -4,12 +4,14 @@ A passage is ``PASSAGE`` words. Of the hashes of its runs of ``RUN`` words the l
 its mark; neighbouring passages share a mark as long as the same run is the least in
 them, and together make up one compact window of the document. Equal passages have equal
 marks, so a passage can only repeat where its window's mark does. Marks are few, about
-two for every ``PASSAGE`` words, and only the passages under marks of more than one
-document are compared, by a hash of all their words. Longer passages are made up of such
-passages, so every repeat of ``PASSAGE`` words or more is found, wherever it begins.
-
-Marks and passages are counted with map-side combining and no two rows are paired, so
-the work stays in proportion to the input for a passage that very many documents hold.
+two for every ``PASSAGE`` words. Windows under marks of more than one document are compared
+whole first, by a digest: all but the first of equal windows go. Where a mark has different
+windows, the passages in the first of each are compared by a hash of all their words.
+Longer passages are made up of such passages, so every repeat of ``PASSAGE`` words or more
+is found, wherever it begins. Passages with changed words are for ``near_passages``.
+
+Marks, windows and passages are counted with map-side combining and no two rows are paired,
+so the work stays in proportion to the input for a passage that very many documents hold.
 """
 
 from __future__ import annotations
@@ -113,20 +115,44 @@ def _int64(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _in_buckets(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a number ``row``, written in buckets by it, one file each, so that the
-    texts are not shuffled again by the joins that add something to a row. The name of the
-    table is given up at once; its files stay in the shared folder."""
-    spark = docs.sparkSession
+def in_buckets(numbered: DataFrame, dealt: bool = True) -> DataFrame:
+    """``numbered`` (with a bigint ``row``) written in buckets by it, so that the texts are not
+    shuffled again by the joins that add something to a row; not ``dealt`` if its rows lie
+    by bucket already. The name of the table is given up at once; its files stay in the
+    shared folder."""
+    spark = numbered.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row"))
     name = f"llm_rows_{uuid.uuid4().hex}"
     folder = storage.fresh_folder(spark, "llm-rows")
-    dealt = numbered.repartition(n, "row").write.bucketBy(n, "row").sortBy("row").option("path", folder)
-    dealt.saveAsTable(name)
-    rows = spark.table(name)
+    rows = numbered.repartition(n, "row") if dealt else numbered
+    rows.write.bucketBy(n, "row").sortBy("row").option("path", folder).saveAsTable(name)
+    found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
-    return rows
+    return found
+
+
+def places_of(rows: DataFrame) -> DataFrame:
+    """row and its place among all: by doc_id with null last, then the text's hash, then the
+    number."""
+    order = rows.select("row", "doc_id", F.xxhash64("text").alias("digest"))
+    order = order.orderBy(F.col("doc_id").asc_nulls_last(), "digest", "row")
+    return staged(order.select("row", F.monotonically_increasing_id().alias("place")), "order")
+
+
+def dropped(texts: list[str | None], goes: list[list[dict] | None]) -> Iterator[tuple[str, int, int]]:
+    """The text that is left without the words of ``goes`` (from, n), the number of words
+    before and of those dropped, for each text."""
+    for text, ranges in zip(texts, goes, strict=True):
+        n = len(utf8(text or "").split())
+        if not ranges:
+            yield text or "", n, 0
+            continue
+        edges = np.zeros(n + 1, np.int64)
+        begins, sizes = (np.array([r[k] for r in ranges], np.int64) for k in ("at", "n"))
+        np.add.at(edges, begins, 1)
+        np.add.at(edges, begins + sizes, -1)
+        gone = np.cumsum(edges)[:n] > 0
+        yield _without(text, gone), n, int(gone.sum())
 
 
 def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) -> DataFrame:
@@ -139,7 +165,12 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
     one doc_id that of the smaller hash of its text comes first. What a document repeats
     within itself alone stays. A null text becomes ''. An empty table gives no rows.
     """
-    rows = _in_buckets(docs)
+    return numbered_without(docs, passage, run).drop("row")
+
+
+def numbered_without(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) -> DataFrame:
+    """``without_repeated_passages`` with a number ``row``, by whose buckets the rows lie."""
+    rows = in_buckets(docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row")))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -149,52 +180,66 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
             marks = np.concatenate([*found, np.empty(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), _int64(marks)], names=["row", "mark"])
 
-    windows = staged(rows.select("row", "text").mapInArrow(marked, "row bigint, mark bigint"), "windows")
-    shared = staged(windows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "marks")
-    some = windows.join(shared, "mark").groupBy("row").agg(F.collect_list("mark").alias("marks"))
-    # A row's place among all: doc_id with null last, then the text's hash, then the number.
-    order = rows.select("row", "doc_id", F.xxhash64("text").alias("digest")).orderBy(
-        F.col("doc_id").asc_nulls_last(), "digest", "row"
-    )
-    order = staged(order.select("row", F.monotonically_increasing_id().alias("place")), "order")
+    marks = staged(rows.select("row", "text").mapInArrow(marked, "row bigint, mark bigint"), "marks")
+    shared = staged(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "shared")
+    some = marks.join(shared, "mark").groupBy("row").agg(F.collect_list("mark").alias("marks"))
+    order = places_of(rows)
     some = staged(some.join(order, "row"), "shared-marks")
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        names = ["place", "mark", "passage", "at"]
+        names = ["place", "mark", "digest", "at", "n", "passages"]
         for batch in batches:
             for place, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text)
-                marks = marks_of(words, passage, run)
-                at = np.flatnonzero(np.isin(marks, np.array(own, np.int64).view(np.uint64)))
-                found = [_int64(marks[at]), _int64(passages_of(words, passage)[at]), pa.array(at, pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array([place] * len(at), pa.int64()), *found], names=names)
+                marks, passages = marks_of(words, passage, run), passages_of(words, passage)
+                begins = np.concatenate([[0], np.flatnonzero(np.diff(marks)) + 1])
+                ends = np.append(begins[1:], len(marks))
+                within = np.isin(marks[begins], np.array(own, np.int64).view(np.uint64))
+                begins, ends = begins[within], ends[within]
+                digests = [xxhash.xxh3_64_intdigest(passages[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
+                at = np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int32)
+                inside = np.concatenate([passages[a:b] for a, b in zip(begins, ends, strict=True)])
+                found = [
+                    pa.array([place] * len(begins), pa.int64()),
+                    _int64(marks[begins]),
+                    _int64(np.array(digests, np.uint64)),
+                    pa.array(begins, pa.int32()),
+                    pa.array(ends - begins, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(at), _int64(inside)),
+                ]
+                yield pa.RecordBatch.from_arrays(found, names=names)
 
     texts = rows.join(some, "row").select("place", "text", "marks")
-    places = staged(texts.mapInArrow(compared, "place bigint, mark bigint, passage bigint, at int"), "passages")
+    columns = "place bigint, mark bigint, digest bigint, at int, n int, passages array<bigint>"
+    windows = staged(texts.mapInArrow(windowed, columns), "windows")
+    equal = windows.groupBy("mark", "digest").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
+    equal = staged(equal, "equal-windows")
+    # All but the first of equal windows go whole.
+    again = equal.where("stays <> last").drop("last")
+    whole = windows.drop("passages").join(again, ["mark", "digest"]).where("place <> stays")
+    whole = whole.select("place", "at", (F.col("n") + passage - 1).alias("n"))
+    # The first of each, where a mark has several different ones, are compared by passage.
+    several = equal.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
+    firsts = equal.join(several, "mark", "left_semi").select("mark", "digest", F.col("stays").alias("place"))
+    firsts = windows.join(firsts, ["mark", "digest", "place"], "left_semi")
+    places = staged(firsts.select("place", "mark", "at", F.posexplode("passages").alias("i", "passage")), "passages")
     first = places.groupBy("mark", "passage").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
     first = staged(first.where("stays <> last").drop("last"), "repeated")
-    goes = places.join(first, ["mark", "passage"]).where("place <> stays")
-    goes = goes.groupBy("place").agg(F.collect_list("at").alias("at"))
-    goes = staged(goes.join(order, "place").select("row", "at"), "passages-to-drop")
+    parts = places.join(first, ["mark", "passage"]).where("place <> stays")
+    parts = parts.select("place", (F.col("at") + F.col("i")).alias("at"), F.lit(passage).alias("n"))
+    goes = whole.unionByName(parts).groupBy("place").agg(F.collect_list(F.struct("at", "n")).alias("goes"))
+    goes = staged(goes.join(order, "place").select("row", "goes"), "passages-to-drop")
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, before, dropped = [], [], []
-            for text, at in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist(), strict=True):
-                n = len(utf8(text or "").split())
-                edges = np.zeros(n + 1, np.int64)
-                if at:
-                    edges[at] += 1
-                    edges[np.array(at) + passage] -= 1
-                gone = np.cumsum(edges)[:n] > 0
-                texts.append(_without(text, gone) if at else text or "")
-                before.append(n)
-                dropped.append(int(gone.sum()))
+            left = list(dropped(batch.column("text").to_pylist(), batch.column("goes").to_pylist()))
+            texts, before, gone = zip(*left, strict=True) if left else ((), (), ())
+            numbers = [pa.array(before, pa.int64()), pa.array(gone, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(dropped, pa.int64())],
-                names=["doc_id", "text", "n_words", "n_dropped"],
+                [batch.column("row"), batch.column("doc_id"), pa.array(texts, pa.string()), *numbers],
+                names=["row", "doc_id", "text", "n_words", "n_dropped"],
             )
 
-    both = rows.join(goes, "row", "left").select("doc_id", "text", "at")
-    return both.mapInArrow(rebuilt, "doc_id bigint, text string, n_words bigint, n_dropped bigint")
+    both = rows.join(goes, "row", "left").select("row", "doc_id", "text", "goes")
+    return both.mapInArrow(rebuilt, "row bigint, doc_id bigint, text string, n_words bigint, n_dropped bigint")
