@@ -51,12 +51,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
 
 
-def _hashes_of_runs(words: np.ndarray, length: int, base: int) -> np.ndarray:
+def hashes_of_runs(words: np.ndarray, length: int, base: int) -> np.ndarray:
     """A hash of each run of ``length`` words: polynomials, put together by halves."""
     whole, size, power = None, 1, base
     part, left, taken = words, length, 0
@@ -73,10 +73,10 @@ def _hashes_of_runs(words: np.ndarray, length: int, base: int) -> np.ndarray:
         if left:
             part = part[:-size] * np.uint64(power) + part[size:]
             power, size = power * power % (1 << 64), 2 * size
-    return _mixed(whole)
+    return mixed(whole)
 
 
-def _least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
+def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
     """The least of each run of ``length`` values."""
     size = 1
     while 2 * size <= length:
@@ -90,15 +90,15 @@ def marks_of(words: np.ndarray, passage: int = PASSAGE, run: int = RUN) -> np.nd
     """The mark of the passage that begins at each word; none for a shorter document."""
     if len(words) < passage:
         return np.empty(0, np.uint64)
-    return _least_of_runs(_hashes_of_runs(words, run, BASES[0]), passage - run + 1)
+    return least_of_runs(hashes_of_runs(words, run, BASES[0]), passage - run + 1)
 
 
 def passages_of(words: np.ndarray, passage: int = PASSAGE) -> np.ndarray:
     """The hash of the passage that begins at each word."""
-    return _hashes_of_runs(words, passage, BASES[1]) if len(words) >= passage else np.empty(0, np.uint64)
+    return hashes_of_runs(words, passage, BASES[1]) if len(words) >= passage else np.empty(0, np.uint64)
 
 
-def _without(text: str, goes: np.ndarray) -> str:
+def without(text: str, goes: np.ndarray) -> str:
     """The text without the words that go and the white space after each of them."""
     data = utf8(text)
     begins = np.fromiter((m.start() for m in BYTE_WORDS.finditer(data)), np.int64, len(goes))
@@ -115,17 +115,16 @@ def _int64(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def in_buckets(numbered: DataFrame, dealt: bool = True) -> DataFrame:
-    """``numbered`` (with a bigint ``row``) written in buckets by it, so that the texts are not
-    shuffled again by the joins that add something to a row; not ``dealt`` if its rows lie
-    by bucket already. The name of the table is given up at once; its files stay in the
-    shared folder."""
+def in_buckets(numbered: DataFrame) -> DataFrame:
+    """``numbered`` (with a bigint ``row``) written in buckets by it, one file each, so that the
+    texts are not shuffled again by the joins that add something to a row. The name of the
+    table is given up at once; its files stay in the shared folder."""
     spark = numbered.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"llm_rows_{uuid.uuid4().hex}"
     folder = storage.fresh_folder(spark, "llm-rows")
-    rows = numbered.repartition(n, "row") if dealt else numbered
-    rows.write.bucketBy(n, "row").sortBy("row").option("path", folder).saveAsTable(name)
+    dealt = numbered.repartition(n, "row").write.bucketBy(n, "row").sortBy("row")
+    dealt.option("path", folder).option("compression", "zstd").saveAsTable(name)
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return found
@@ -139,20 +138,14 @@ def places_of(rows: DataFrame) -> DataFrame:
     return staged(order.select("row", F.monotonically_increasing_id().alias("place")), "order")
 
 
-def dropped(texts: list[str | None], goes: list[list[dict] | None]) -> Iterator[tuple[str, int, int]]:
-    """The text that is left without the words of ``goes`` (from, n), the number of words
-    before and of those dropped, for each text."""
-    for text, ranges in zip(texts, goes, strict=True):
-        n = len(utf8(text or "").split())
-        if not ranges:
-            yield text or "", n, 0
-            continue
-        edges = np.zeros(n + 1, np.int64)
-        begins, sizes = (np.array([r[k] for r in ranges], np.int64) for k in ("at", "n"))
+def left_of(n: int, goes: list[dict] | None) -> np.ndarray:
+    """Which of ``n`` words are left without the ranges (at, n) of ``goes``."""
+    edges = np.zeros(n + 1, np.int64)
+    if goes:
+        begins, sizes = (np.array([r[k] for r in goes], np.int64) for k in ("at", "n"))
         np.add.at(edges, begins, 1)
         np.add.at(edges, begins + sizes, -1)
-        gone = np.cumsum(edges)[:n] > 0
-        yield _without(text, gone), n, int(gone.sum())
+    return np.cumsum(edges)[:n] == 0
 
 
 def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) -> DataFrame:
@@ -165,11 +158,28 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
     one doc_id that of the smaller hash of its text comes first. What a document repeats
     within itself alone stays. A null text becomes ''. An empty table gives no rows.
     """
-    return numbered_without(docs, passage, run).drop("row")
+    rows, _, goes = repeated_passages(docs, passage, run)
+
+    def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, before, gone = [], [], []
+            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("goes").to_pylist(), strict=True):
+                left = left_of(len(utf8(text or "").split()), ranges)
+                texts.append(without(text, ~left) if ranges else text or "")
+                before.append(len(left))
+                gone.append(len(left) - int(left.sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(before, pa.int64()), pa.array(gone, pa.int64())],
+                names=["doc_id", "text", "n_words", "n_dropped"],
+            )
+
+    both = rows.join(goes, "row", "left").select("doc_id", "text", "goes")
+    return both.mapInArrow(rebuilt, "doc_id bigint, text string, n_words bigint, n_dropped bigint")
 
 
-def numbered_without(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) -> DataFrame:
-    """``without_repeated_passages`` with a number ``row``, by whose buckets the rows lie."""
+def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs`` in buckets (row, doc_id, text), their order (row, place), and the
+    ranges of words that ``without_repeated_passages`` drops (row, goes)."""
     rows = in_buckets(docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row")))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,16 +240,4 @@ def numbered_without(docs: DataFrame, passage: int = PASSAGE, run: int = RUN) ->
     parts = parts.select("place", (F.col("at") + F.col("i")).alias("at"), F.lit(passage).alias("n"))
     goes = whole.unionByName(parts).groupBy("place").agg(F.collect_list(F.struct("at", "n")).alias("goes"))
     goes = staged(goes.join(order, "place").select("row", "goes"), "passages-to-drop")
-
-    def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left = list(dropped(batch.column("text").to_pylist(), batch.column("goes").to_pylist()))
-            texts, before, gone = zip(*left, strict=True) if left else ((), (), ())
-            numbers = [pa.array(before, pa.int64()), pa.array(gone, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(texts, pa.string()), *numbers],
-                names=["row", "doc_id", "text", "n_words", "n_dropped"],
-            )
-
-    both = rows.join(goes, "row", "left").select("row", "doc_id", "text", "goes")
-    return both.mapInArrow(rebuilt, "row bigint, doc_id bigint, text string, n_words bigint, n_dropped bigint")
+    return rows, order, goes

@@ -17,7 +17,7 @@ from . import (
     language_id,
     language_model,
     line_dedup,
-    passage_dedup,
+    near_passages,
     quality_resampling,
     quality_rules,
     simhash_dedup,
@@ -62,9 +62,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = passage_dedup.without_repeated_passages(documents(spark, sf_dir))
+    kept = near_passages.without_similar_passages(documents(spark, sf_dir))
     digest = F.sha2(F.col("text").cast("binary"), 256)
-    return kept.select("doc_id", "n_words", "n_dropped", digest.alias("kept_sha256"))
+    return kept.select("doc_id", "n_words", "n_dropped", "n_near", digest.alias("kept_sha256"))
 
 
 def op5_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

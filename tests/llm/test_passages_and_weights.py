@@ -51,11 +51,11 @@ def test_passages_of_no_rows(empty):
 def test_hashes_of_runs():
     words = np.random.default_rng(9).integers(0, 4, 400).astype(np.uint64)
     for length in (1, 2, 7, 8, 50):
-        hashes = passage_dedup._hashes_of_runs(words, length, passage_dedup.BASES[0])
+        hashes = passage_dedup.hashes_of_runs(words, length, passage_dedup.BASES[0])
         runs = [tuple(words[i : i + length]) for i in range(len(words) - length + 1)]
         assert len(hashes) == len(runs) and len(set(hashes.tolist())) == len(set(runs))
         assert len(set(zip(hashes.tolist(), runs, strict=True))) == len(set(runs))
-        least = passage_dedup._least_of_runs(words, length)
+        least = passage_dedup.least_of_runs(words, length)
         assert least.tolist() == [min(r) for r in runs]
 
 
