@@ -115,15 +115,32 @@ def _int64(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def in_buckets(numbered: DataFrame) -> DataFrame:
-    """``numbered`` (with a bigint ``row``) written in buckets by it, one file each, so that the
-    texts are not shuffled again by the joins that add something to a row. The name of the
-    table is given up at once; its files stay in the shared folder."""
-    spark = numbered.sparkSession
+def words_in(stored: bytes) -> np.ndarray:
+    """The hashes of a row's words."""
+    return np.frombuffer(stored, np.uint32).astype(np.uint64)
+
+
+def in_buckets(docs: DataFrame) -> DataFrame:
+    """doc_id, text, a number ``row``, the number ``n`` of words and 32-bit hashes of them, written
+    in buckets by row, one file each: texts are split once, and not shuffled again by the
+    joins that add something to a row. The name of the table is given up at once; its files
+    stay in the shared folder."""
+    spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"llm_rows_{uuid.uuid4().hex}"
     folder = storage.fresh_folder(spark, "llm-rows")
-    dealt = numbered.repartition(n, "row").write.bucketBy(n, "row").sortBy("row")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            words = [hashes.of(text).astype(np.uint32) for text in batch.column("text").to_pylist()]
+            counts = pa.array([len(w) for w in words], pa.int64())
+            stored = pa.array([w.tobytes() for w in words], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts, stored], names=[*batch.schema.names, "n", "words"])
+
+    numbered = docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row"))
+    dealt = numbered.repartition(n, "row").mapInArrow(hashed, "doc_id bigint, text string, row bigint, n bigint, words binary")
+    dealt = dealt.write.bucketBy(n, "row").sortBy("row")
     dealt.option("path", folder).option("compression", "zstd").saveAsTable(name)
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
@@ -163,8 +180,8 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, before, gone = [], [], []
-            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("goes").to_pylist(), strict=True):
-                left = left_of(len(utf8(text or "").split()), ranges)
+            for text, n, ranges in zip(*(batch.column(k).to_pylist() for k in ("text", "n", "goes")), strict=True):
+                left = left_of(n, ranges)
                 texts.append(without(text, ~left) if ranges else text or "")
                 before.append(len(left))
                 gone.append(len(left) - int(left.sum()))
@@ -173,35 +190,33 @@ def without_repeated_passages(docs: DataFrame, passage: int = PASSAGE, run: int
                 names=["doc_id", "text", "n_words", "n_dropped"],
             )
 
-    both = rows.join(goes, "row", "left").select("doc_id", "text", "goes")
+    both = rows.join(goes, "row", "left").select("doc_id", "text", "n", "goes")
     return both.mapInArrow(rebuilt, "doc_id bigint, text string, n_words bigint, n_dropped bigint")
 
 
 def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows of ``docs`` in buckets (row, doc_id, text), their order (row, place), and the
+    """The rows of ``docs`` in buckets (as ``in_buckets``), their order (row, place), and the
     ranges of words that ``without_repeated_passages`` drops (row, goes)."""
-    rows = in_buckets(docs.select(F.col("doc_id").cast("bigint"), "text", F.monotonically_increasing_id().alias("row")))
+    rows = in_buckets(docs)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            found = [np.unique(marks_of(hashes.of(t), passage, run)) for t in batch.column("text").to_pylist()]
+            found = [np.unique(marks_of(words_in(w), passage, run)) for w in batch.column("words").to_pylist()]
             numbers = np.repeat(batch.column("row").to_numpy(), [len(f) for f in found])
             marks = np.concatenate([*found, np.empty(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), _int64(marks)], names=["row", "mark"])
 
-    marks = staged(rows.select("row", "text").mapInArrow(marked, "row bigint, mark bigint"), "marks")
+    marks = staged(rows.select("row", "words").mapInArrow(marked, "row bigint, mark bigint"), "marks")
     shared = staged(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "shared")
     some = marks.join(shared, "mark").groupBy("row").agg(F.collect_list("mark").alias("marks"))
     order = places_of(rows)
     some = staged(some.join(order, "row"), "shared-marks")
 
     def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         names = ["place", "mark", "digest", "at", "n", "passages"]
         for batch in batches:
-            for place, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = hashes.of(text)
+            for place, stored, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = words_in(stored)
                 marks, passages = marks_of(words, passage, run), passages_of(words, passage)
                 begins = np.concatenate([[0], np.flatnonzero(np.diff(marks)) + 1])
                 ends = np.append(begins[1:], len(marks))
@@ -220,9 +235,9 @@ def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFram
                 ]
                 yield pa.RecordBatch.from_arrays(found, names=names)
 
-    texts = rows.join(some, "row").select("place", "text", "marks")
+    marked_rows = rows.join(some, "row").select("place", "words", "marks")
     columns = "place bigint, mark bigint, digest bigint, at int, n int, passages array<bigint>"
-    windows = staged(texts.mapInArrow(windowed, columns), "windows")
+    windows = staged(marked_rows.mapInArrow(windowed, columns), "windows")
     equal = windows.groupBy("mark", "digest").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
     equal = staged(equal, "equal-windows")
     # All but the first of equal windows go whole.
