@@ -5,10 +5,11 @@ them joins, step by step, the neighbours whose joined bytes have the lowest rank
 looked up in a literal rank map, until no neighbours have one. Pieces are written as
 hexadecimal digits, since map keys cannot be binary.
 
-Words are folded once each: the words that stand in most documents, as many as a
-literal may hold, are folded ahead, and their ids become a literal map as well; other
-words are folded where they stand. Which words are folded ahead decides the cost, never
-the ids, so nothing but the counting of words is shuffled.
+Distinct words are folded: those that stand in most documents once each, ahead, into a
+table of bounded size that every task gets; of the others a document's distinct ones,
+once a document. Texts are cut and folded in the JVM; between the two an Arrow function
+looks words up in the table, a batch at a time. Which words are folded ahead decides the
+cost, never the ids, so nothing but the counting of words is shuffled.
 """
 
 from __future__ import annotations
@@ -16,24 +17,27 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frequent, staged
+from .common import free_name, frequent, staged
 
 #: White space as Unicode defines it; Java's own class is smaller.
 SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-#: Words folded ahead at most, and the longest of them in bytes.
-AHEAD = 1 << 16
+#: Words folded ahead at most, and the longest of them in bytes: at 13 bytes and three ids
+#: a word, as measured, some 16 MB; 130 MB if every word is as long as it may be.
+AHEAD = 1 << 19
 AHEAD_BYTES = 48
 #: Words of more bytes join all places of the lowest pair in one step.
 LONG = 64
 #: A literal map is searched from its start, so it is dealt to this many small ones, of
 #: some four entries each: more of them would take the driver's memory.
 RANK_MAPS = 1 << 14
-WORD_MAPS = 1 << 14
 #: In the state of a fold: a pair without a rank, and a byte within a piece.
 NO_RANK = 1 << 20
 GONE = 1 << 62
@@ -60,26 +64,18 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.aggregate(F.array().cast("array<int>"), value, lambda same, _: same, use)
 
 
-def literal_map(entries: Mapping[str, object], value_type: str, maps: int) -> Column:
-    """A map from text to values as a literal array of small maps, dealt by CRC-32."""
-    dealt: list[dict[str, object]] = [{} for _ in range(maps)]
-    for key, value in entries.items():
-        dealt[zlib.crc32(key.encode()) % maps][key] = value
-    text = json.dumps(dealt, ensure_ascii=False, separators=(",", ":"))
-    return F.from_json(F.lit(text), f"array<map<string,{value_type}>>")
-
-
-def _value(maps: Column, key: Column, n: int) -> Column:
-    """The value of ``key`` in a ``literal_map`` of ``n`` maps, null if there is none."""
-    return F.try_element_at(F.get(maps, (F.crc32(key) % n).cast("int")), key)
-
-
 def rank_map(ranks: Mapping[bytes, int]) -> Column:
-    return literal_map({piece.hex().upper(): rank for piece, rank in ranks.items()}, "int", RANK_MAPS)
+    """Ranks by hexadecimal digits, as a literal array of small maps dealt by CRC-32."""
+    dealt: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
+    for piece, rank in ranks.items():
+        key = piece.hex().upper()
+        dealt[zlib.crc32(key.encode()) % RANK_MAPS][key] = rank
+    return F.from_json(F.lit(json.dumps(dealt, separators=(",", ":"))), "array<map<string,int>>")
 
 
 def _rank(ranks: Column, piece: Column) -> Column:
-    return _value(ranks, piece, RANK_MAPS)
+    """The rank of ``piece`` in a ``rank_map``, null if there is none."""
+    return F.try_element_at(F.get(ranks, (F.crc32(piece) % RANK_MAPS).cast("int")), piece)
 
 
 def _fold_short(digits: Column, ranks: Column) -> Column:
@@ -189,14 +185,64 @@ def word_ids(word: Column, ranks: Column) -> Column:
     return bound(F.hex(word.cast("binary")), ids)
 
 
-def _words_ahead(docs: DataFrame, ranks: Column, pattern: str, ahead: int) -> dict[str, list[int]]:
-    """Ids of the words in most documents. At most ``ahead`` words come to the driver."""
+def _words_ahead(docs: DataFrame, ranks: Column, pattern: str, ahead: int) -> pa.Table:
+    """word, ids of the words in most documents. At most ``ahead`` words come to the driver."""
     distinct = F.explode(F.array_distinct(words(F.col("text"), pattern)))
     counts = docs.select(distinct.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = staged(counts.where(F.octet_length("word") <= AHEAD_BYTES), "word-counts")
     ids = bound(ranks, lambda r: word_ids(F.col("word"), r))
-    folded = frequent(counts, ahead).select("word", ids.alias("ids"))
-    return {row["word"]: row["ids"] for row in folded.collect()}
+    return frequent(counts, ahead).select("word", ids.alias("ids")).toArrow()
+
+
+def _looked_up(ready: pa.Table) -> Callable[[Column], Column]:
+    """A function from a document's words to a struct: ``new``, its distinct words that
+    are not ``ready``; ``which``, their numbers in the order they stand; and ``known``, the
+    ids of the words before the first of them, between them, and behind the last."""
+    table = ready.combine_chunks()
+    held = table["word"].combine_chunks().cast(pa.string()), table["ids"].combine_chunks()
+    schema = "struct<known: array<array<int>>, which: array<int>, new: array<string>>"
+
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ready_words, ready_ids = held
+        of_ready = np.append(ready_ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int64)
+        begin = np.append(0, np.cumsum(of_ready[:-1]))
+        flat = ready_ids.flatten().to_numpy(zero_copy_only=False)
+        for batch in batches:
+            yield of_batch(batch, ready_words, of_ready, begin, flat)
+
+    def of_batch(batch: pa.Array, ready_words: pa.Array, of_ready: np.ndarray, begin: np.ndarray, flat: np.ndarray) -> pa.Array:
+        n_words = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends = np.append(0, np.cumsum(n_words))  # words of the batch before each document
+        coded = batch.flatten().dictionary_encode()
+        place = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.string()), value_set=ready_words), -1)
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        place = place.to_numpy(zero_copy_only=False).astype(np.int64)[code] if len(code) else np.empty(0, np.int64)
+
+        # Ids of the known words one after another; a new word has none, by the last length.
+        size = of_ready[place]
+        after = np.append(0, np.cumsum(size))
+        at = np.arange(after[-1]) + np.repeat(begin[place] - after[:-1], size)
+        ids = flat[at].astype(np.int32)
+
+        # A piece ends before each new word and at the end of each document.
+        at_new = np.flatnonzero(place < 0)
+        new_of = np.searchsorted(at_new, ends)  # new words before each document
+        cuts = np.sort(np.append(at_new, ends[1:]), kind="stable")
+        pieces = pa.ListArray.from_arrays(pa.array(np.append(0, after[cuts]).astype(np.int32)), pa.array(ids))
+        known = pa.ListArray.from_arrays(pa.array((new_of + np.arange(len(ends))).astype(np.int32)), pieces)
+
+        # A document's distinct new words, in any order.
+        document = np.repeat(np.arange(len(batch)), np.diff(new_of))
+        pairs, number = np.unique(document * len(coded.dictionary) + code[at_new], return_inverse=True)
+        first = np.searchsorted(pairs, np.arange(len(ends)) * len(coded.dictionary))
+        texts = coded.dictionary.take(pa.array(pairs % max(1, len(coded.dictionary))))
+        which = pa.ListArray.from_arrays(
+            pa.array(new_of.astype(np.int32)), pa.array((number - first[document]).astype(np.int32))
+        )
+        new = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), texts)
+        return pa.StructArray.from_arrays([known, which, new], ["known", "which", "new"])
+
+    return F.arrow_udf(look_up, schema)
 
 
 def encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, ahead: int = AHEAD) -> DataFrame:
@@ -209,16 +255,19 @@ def encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, ahead: in
     if sorted(ranks.values()) != list(range(len(ranks))):
         raise ValueError("ranks have gaps or repeat")
     by_piece = rank_map(ranks)
-    ready = literal_map(_words_ahead(docs, by_piece, pattern, ahead), "array<int>", WORD_MAPS)
-    literals = F.struct(by_piece.alias("ranks"), ready.alias("words"))
+    found = free_name(docs, "found")
+    look_up = _looked_up(_words_ahead(docs, by_piece, pattern, ahead))
+    known, which, new = (F.col(found)[part] for part in ("known", "which", "new"))
 
-    def ids(maps: Column) -> Column:
-        def of_word(word: Column) -> Column:
-            return F.coalesce(_value(maps["words"], word, WORD_MAPS), word_ids(word, maps["ranks"]))
+    def joined(folded: Column) -> Column:
+        def with_new(piece: Column, i: Column) -> Column:
+            return F.when(i < F.size(which), F.concat(piece, F.get(folded, F.get(which, i)))).otherwise(piece)
 
-        return F.flatten(F.transform(words(F.col("text"), pattern), of_word))
+        return F.flatten(F.transform(known, with_new))
 
-    return docs.withColumn("ids", bound(literals, ids))
+    folded = bound(by_piece, lambda r: F.transform(new, lambda word: word_ids(word, r)))
+    rows = docs.withColumn(found, look_up(words(F.col("text"), pattern)))
+    return rows.withColumn("ids", bound(folded, joined)).drop(found)
 
 
 def decoded(tokens: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
