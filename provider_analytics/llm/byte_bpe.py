@@ -5,8 +5,7 @@ them joins, step by step, the neighbours whose joined bytes have the lowest rank
 looked up in a literal rank map, until no neighbours have one. Pieces are written as
 hexadecimal digits, since map keys cannot be binary.
 
-Distinct words are folded: those that stand in most documents once each, ahead, into a
-table of bounded size that every task gets; of the others a document's distinct ones,
+Distinct words are folded: the most frequent ones once each, ahead, into a table of bounded size that every task gets; of the others a document's distinct ones,
 once a document. Texts are cut and folded in the JVM; between the two an Arrow function
 looks words up in the table, a batch at a time. Which words are folded ahead decides the
 cost, never the ids, so nothing but the counting of words is shuffled.
@@ -30,14 +29,16 @@ from .common import free_name, frequent, staged
 #: White space as Unicode defines it; Java's own class is smaller.
 SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Words folded ahead at most, and the longest of them in bytes: at 13 bytes and three ids
-#: a word, as measured, some 16 MB; 130 MB if every word is as long as it may be.
-AHEAD = 1 << 19
+#: a word, as measured, some 32 MB; 260 MB if every word is as long as it may be.
+AHEAD = 1 << 20
 AHEAD_BYTES = 48
 #: Words of more bytes join all places of the lowest pair in one step.
 LONG = 64
 #: A literal map is searched from its start, so it is dealt to this many small ones, of
 #: some four entries each: more of them would take the driver's memory.
 RANK_MAPS = 1 << 14
+#: Words of an Arrow batch that are worked on at once, beyond those of one document.
+AT_ONCE = 1 << 18
 #: In the state of a fold: a pair without a rank, and a byte within a piece.
 NO_RANK = 1 << 20
 GONE = 1 << 62
@@ -185,10 +186,16 @@ def word_ids(word: Column, ranks: Column) -> Column:
     return bound(F.hex(word.cast("binary")), ids)
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = pc.value_counts(batch.column(0).flatten())
+        yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "n"])
+
+
 def _words_ahead(docs: DataFrame, ranks: Column, pattern: str, ahead: int) -> pa.Table:
-    """word, ids of the words in most documents. At most ``ahead`` words come to the driver."""
-    distinct = F.explode(F.array_distinct(words(F.col("text"), pattern)))
-    counts = docs.select(distinct.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """word, ids of the most frequent words. At most ``ahead`` words come to the driver."""
+    parts = docs.select(words(F.col("text"), pattern)).mapInArrow(_counted, "word string, n bigint")
+    counts = parts.groupBy("word").agg(F.sum("n").alias("n"))
     counts = staged(counts.where(F.octet_length("word") <= AHEAD_BYTES), "word-counts")
     ids = bound(ranks, lambda r: word_ids(F.col("word"), r))
     return frequent(counts, ahead).select("word", ids.alias("ids")).toArrow()
@@ -204,23 +211,32 @@ def _looked_up(ready: pa.Table) -> Callable[[Column], Column]:
 
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ready_words, ready_ids = held
-        of_ready = np.append(ready_ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int64)
-        begin = np.append(0, np.cumsum(of_ready[:-1]))
+        of_ready = np.append(ready_ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int32)
+        begin = np.append(0, np.cumsum(of_ready[:-1])).astype(np.int32)
         flat = ready_ids.flatten().to_numpy(zero_copy_only=False)
         for batch in batches:
-            yield of_batch(batch, ready_words, of_ready, begin, flat)
-
-    def of_batch(batch: pa.Array, ready_words: pa.Array, of_ready: np.ndarray, begin: np.ndarray, flat: np.ndarray) -> pa.Array:
-        n_words = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        ends = np.append(0, np.cumsum(n_words))  # words of the batch before each document
-        coded = batch.flatten().dictionary_encode()
-        place = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.string()), value_set=ready_words), -1)
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        place = place.to_numpy(zero_copy_only=False).astype(np.int64)[code] if len(code) else np.empty(0, np.int64)
+            n_words = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+            ends = np.append(0, np.cumsum(n_words))  # words of the batch before each document
+            coded = batch.flatten().dictionary_encode()
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            found = pc.index_in(coded.dictionary.cast(pa.string()), value_set=ready_words)
+            place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+            # Documents at once: those whose last words fall in the same AT_ONCE words.
+            starts = np.append(np.flatnonzero(np.diff(ends[1:] // AT_ONCE, prepend=-1)), len(batch))
+            parts = [
+                of_documents(coded.dictionary, code[ends[a] : ends[b]], place, ends[a : b + 1] - ends[a], of_ready, begin, flat)
+                for a, b in zip(starts[:-1], starts[1:])
+            ]
+            yield pa.concat_arrays(parts) if parts else of_documents(coded.dictionary, code, place, ends, of_ready, begin, flat)
+
+    def of_documents(
+        distinct: pa.Array, code: np.ndarray, place: np.ndarray, ends: np.ndarray, of_ready: np.ndarray, begin: np.ndarray, flat: np.ndarray
+    ) -> pa.Array:
+        place = place[code]
 
         # Ids of the known words one after another; a new word has none, by the last length.
         size = of_ready[place]
-        after = np.append(0, np.cumsum(size))
+        after = np.append(0, np.cumsum(size, dtype=np.int64))
         at = np.arange(after[-1]) + np.repeat(begin[place] - after[:-1], size)
         ids = flat[at].astype(np.int32)
 
@@ -232,10 +248,10 @@ def _looked_up(ready: pa.Table) -> Callable[[Column], Column]:
         known = pa.ListArray.from_arrays(pa.array((new_of + np.arange(len(ends))).astype(np.int32)), pieces)
 
         # A document's distinct new words, in any order.
-        document = np.repeat(np.arange(len(batch)), np.diff(new_of))
-        pairs, number = np.unique(document * len(coded.dictionary) + code[at_new], return_inverse=True)
-        first = np.searchsorted(pairs, np.arange(len(ends)) * len(coded.dictionary))
-        texts = coded.dictionary.take(pa.array(pairs % max(1, len(coded.dictionary))))
+        document = np.repeat(np.arange(len(ends) - 1), np.diff(new_of))
+        pairs, number = np.unique(document * len(distinct) + code[at_new], return_inverse=True)
+        first = np.searchsorted(pairs, np.arange(len(ends)) * len(distinct))
+        texts = distinct.take(pa.array(pairs % max(1, len(distinct))))
         which = pa.ListArray.from_arrays(
             pa.array(new_of.astype(np.int32)), pa.array((number - first[document]).astype(np.int32))
         )
