@@ -1,6 +1,7 @@
 """BPE, rules, language, language model and mixing against brute force."""
 
 import math
+import random
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
@@ -43,6 +44,21 @@ def test_bpe(spark, odd):
         assert bytes(row.decoded) == (row.text or "").encode()
 
 
+def test_bpe_of_more_words_than_are_worked_on_at_once(spark):
+    ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
+    encoding = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    draw = random.Random(3)
+    rare = ["".join(draw.choice("bcdfgaeiou") for _ in range(9)) for _ in range(200)]
+    long = " ".join(draw.choice(rare) if i % 500 == 0 else "often" for i in range(byte_bpe.AT_ONCE + 1000))
+    texts = [rare[0], None, long, "", " ".join(rare), long[:-2000], rare[1] + " often"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = byte_bpe.encoded(df, ranks, public_tokenizers.PATTERN, ahead=5).collect()
+    found = sorted((r.text or "", r.ids) for r in rows)
+    assert found == sorted((t or "", encoding.encode_ordinary(t or "")) for t in texts)
+
+
 def test_bpe_of_no_rows(empty):
     ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
     assert queries.token_digests(empty, ranks).count() == 0
