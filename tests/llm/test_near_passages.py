@@ -106,6 +106,67 @@ def test_changed_passages_are_found(spark, every):
     assert np.mean(caught[:pairs]) > 0.75 * 200
 
 
+def alike_by_brute_force(rows, passage=passage_dedup.PASSAGE):
+    """Of each doc_id, whether a passage is alike to one of a smaller doc_id."""
+    length, found, seen = passage - near_passages.TOKEN + 1, {}, []
+    for doc, text in rows:
+        words = text.split()
+        tokens = [tuple(words[i : i + near_passages.TOKEN]) for i in range(len(words) - near_passages.TOKEN + 1)]
+        own = [set(tokens[i : i + length]) for i in range(len(tokens) - length + 1)]
+        found[doc] = any(len(a & b) >= near_passages.ALIKE * len(a | b) for a in own for b in seen)
+        seen += own
+    return found
+
+
+def test_no_alike_passage_is_left_out(spark):
+    """The fewest words with one changed, left out or put in, anywhere."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(150):
+        own = [f"own{draw.integers(1 << 40)}" for _ in range(51)]
+        at = int(draw.integers(2, 49))
+        other = [own[:at] + ["new"] + own[at + 1 :], own[:at] + own[at + 1 :], own[:at] + ["new"] + own[at:]][i % 3]
+        more = [[f"more{i}x{j}x{k}" for k in range(20)] for j in range(4)]
+        rows += [(i, more[0] + own + more[1]), (1000 + i, more[2] + other + more[3])]
+    rows = sorted((i, " ".join(words)) for i, words in rows)
+    expected = {d for pair in range(150) for d, alike in alike_by_brute_force([r for r in rows if r[0] % 1000 == pair]).items() if alike}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id for r in near_passages.without_similar_passages(docs).collect() if r.n_near}
+    assert len(expected) >= 100 and found == expected
+
+
+@pytest.mark.parametrize("copies", [3, 40])
+def test_alike_passages_of_a_group_whose_first_is_alike_to_neither(spark, copies):
+    """A phrase of 30 words that many share; two families go on alike behind it, the first does not."""
+    draw = np.random.default_rng(copies)
+
+    def own(n):
+        return [f"own{draw.integers(1 << 40)}" for _ in range(n)]
+
+    phrase, behind = own(30), [own(30), own(30)]
+    rows = [(0, own(20) + phrase + own(40))]
+    for i in range(1, copies):
+        more = list(behind[i % 2])
+        more[int(draw.integers(3, 19))] = f"new{i}"
+        rows.append((i, own(20) + phrase + (own(30) if i % 5 == 4 else more) + own(10)))
+    rows = [(i, " ".join(words)) for i, words in rows]
+    again = rows[1][1].replace("new1", "new").split()[20:-10]
+    rows.append((copies, " ".join(own(20) + again + own(10))))
+    expected = {d for d, alike in alike_by_brute_force(rows).items() if alike}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id for r in near_passages.without_similar_passages(docs).collect() if r.n_near}
+    assert copies in expected and found == expected
+
+
+def test_rarest_tokens():
+    draw = np.random.default_rng(12)
+    tokens, counts = draw.permutation(1000)[:80].astype(np.int32), draw.integers(1, 5, 80)
+    rare = near_passages.rarest_of(tokens, counts, 46)
+    for i in range(35):
+        own = sorted(range(i, i + 46), key=lambda k: (counts[k], tokens[k]))[:6]
+        assert set(np.flatnonzero(rare[i]).tolist()) == set(own)
+
+
 def test_exact_repeats_go_as_before(spark, odd):
     draw = np.random.default_rng(8)
     shared = [f"w{draw.integers(1000)}" for _ in range(90)]
