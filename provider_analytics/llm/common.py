@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Passing:
+    """Tables that are needed for some steps only, in the shared folder; ``drop`` deletes them
+    when what follows from them has been staged."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.workspace, self.names = spark, storage.own_workspace(spark), []
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        name = self.workspace.table(f"llm_{label}_{uuid.uuid4().hex}")
+        df.write.format("parquet").saveAsTable(name)
+        self.names.append(name)
+        return self.spark.table(name)
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names.clear()
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or with underscores until no column of ``df`` is called so."""
     taken = {name.lower() for name in df.columns}

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import passage_dedup
-from .common import staged
+from .common import Passing, staged
 from .passage_dedup import PASSAGE, RUN
 
 #: Words of a token, and the similarity of alike passages.
@@ -258,13 +258,14 @@ def compared(pairs: DataFrame, length: int) -> DataFrame:
     return columns.mapInArrow(each, "region bigint, place bigint, near array<struct<at:int,n:int>>, open array<int>")
 
 
-def near_ranges(regions: DataFrame, length: int) -> DataFrame:
+def near_ranges(regions: DataFrame, length: int, passing: Passing) -> DataFrame:
     """place, at and n of the words of ``regions`` (region, place, signature, at, c, tokens)
-    in passages alike to one of an earlier region with the same signature."""
+    in passages alike to one of an earlier region with the same signature. Tables of
+    ``passing`` are read by the result."""
     groups = regions.groupBy("signature").agg(
         F.min("place").alias("stays"), F.max("place").alias("last"), F.count(F.lit(1)).alias("regions")
     )
-    groups = staged(groups.where("stays <> last").drop("last"), "region-groups")
+    groups = passing.staged(groups.where("stays <> last").drop("last"), "region_groups")
     earlier = [F.col("place").alias("earlier"), F.col("c").alias("c_first"), F.col("tokens").alias("first")]
 
     few = regions.join(groups.where(F.col("regions") <= FEW).select("signature"), "signature")
@@ -272,13 +273,13 @@ def near_ranges(regions: DataFrame, length: int) -> DataFrame:
 
     many = regions.join(groups.where(F.col("regions") > FEW).drop("regions"), "signature")
     first = many.where("place = stays").select("signature", *earlier)
-    later = staged(many.where("place <> stays").drop("stays"), "hot-regions")
-    by_first = staged(compared(later.join(first, "signature"), length), "near-first")
+    later = passing.staged(many.where("place <> stays").drop("stays"), "hot_regions")
+    by_first = passing.staged(compared(later.join(first, "signature"), length), "near_first")
 
     # What is not alike to the first: pairs of regions by their passages' rarest tokens.
     cells = later.select("region", "signature", F.explode(F.array_distinct("tokens")).alias("token"))
     counts = cells.groupBy("signature", "token").agg(F.count(F.lit(1)).cast("int").alias("n")).where("n > 1")
-    counted = cells.join(staged(counts, "hot-tokens"), ["signature", "token"])
+    counted = cells.join(passing.staged(counts, "hot_tokens"), ["signature", "token"])
     counted = counted.groupBy("region").agg(F.collect_list(F.struct("token", "n")).alias("counts"))
     still = by_first.groupBy("region").agg(F.min_by("open", F.size("open")).alias("open"))
 
@@ -301,7 +302,7 @@ def near_ranges(regions: DataFrame, length: int) -> DataFrame:
 
     keys = later.join(still, "region").join(counted, "region").select("region", "place", "signature", "tokens", "open", "counts")
     keys = keys.mapInArrow(keyed, "region bigint, place bigint, signature bigint, token int, asks boolean")
-    keys = staged(keys, "hot-keys")
+    keys = passing.staged(keys, "hot_keys")
     others = keys.select("signature", "token", F.col("region").alias("other"), F.col("place").alias("earlier"))
     met = keys.where("asks").drop("asks").join(others, ["signature", "token"]).where("place > earlier")
     met = met.select("region", "other").distinct()
@@ -325,6 +326,7 @@ def without_similar_passages(docs: DataFrame, passage: int = PASSAGE, run: int =
     length, half = passage - TOKEN + 1, part_of(passage)
     around = passage - half
     left = rows.join(goes, "row", "left")
+    passing = Passing(docs.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,11 +340,11 @@ def without_similar_passages(docs: DataFrame, passage: int = PASSAGE, run: int =
                 )
 
     signatures = left.select("row", "words", "goes").mapInArrow(signed, "row bigint, signature bigint")
-    signatures = staged(signatures, "signatures")
+    signatures = passing.staged(signatures, "signatures")
     shared = signatures.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("signature")
-    some = signatures.join(staged(shared, "shared-signatures"), "signature")
+    some = signatures.join(passing.staged(shared, "shared_signatures"), "signature")
     some = some.groupBy("row").agg(F.collect_list("signature").alias("signatures"))
-    some = staged(some.join(order, "row"), "signed-rows")
+    some = passing.staged(some.join(order, "row"), "signed_rows")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["place", "signature", "at", "c", "tokens"]
@@ -373,10 +375,14 @@ def without_similar_passages(docs: DataFrame, passage: int = PASSAGE, run: int =
 
     signed_rows = left.join(some, "row").select("place", "words", "goes", "signatures")
     regions = signed_rows.mapInArrow(cut, "place bigint, signature bigint, at int, c int, tokens array<int>")
-    regions = staged(regions.withColumn("region", F.monotonically_increasing_id()), "regions")
-    near = near_ranges(regions, length).distinct()
+    # What regions are compared by is kept until the last of them, the signatures until here.
+    compared_by = Passing(docs.sparkSession)
+    regions = compared_by.staged(regions.withColumn("region", F.monotonically_increasing_id()), "regions")
+    passing.drop()
+    near = near_ranges(regions, length, compared_by).distinct()
     near = near.groupBy("place").agg(F.collect_list(F.struct("at", "n")).alias("near"))
     near = staged(near.join(order, "place").select("row", "near"), "near-passages")
+    compared_by.drop()
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

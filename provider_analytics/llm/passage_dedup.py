@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import storage
-from .common import WORD, staged, utf8
+from .common import WORD, Passing, staged, utf8
 
 PASSAGE = 50
 RUN = 16
@@ -198,6 +198,7 @@ def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFram
     """The rows of ``docs`` in buckets (as ``in_buckets``), their order (row, place), and the
     ranges of words that ``without_repeated_passages`` drops (row, goes)."""
     rows = in_buckets(docs)
+    passing = Passing(docs.sparkSession)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,11 +207,11 @@ def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFram
             marks = np.concatenate([*found, np.empty(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), _int64(marks)], names=["row", "mark"])
 
-    marks = staged(rows.select("row", "words").mapInArrow(marked, "row bigint, mark bigint"), "marks")
-    shared = staged(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "shared")
+    marks = passing.staged(rows.select("row", "words").mapInArrow(marked, "row bigint, mark bigint"), "marks")
+    shared = passing.staged(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "shared")
     some = marks.join(shared, "mark").groupBy("row").agg(F.collect_list("mark").alias("marks"))
     order = places_of(rows)
-    some = staged(some.join(order, "row"), "shared-marks")
+    some = passing.staged(some.join(order, "row"), "shared_marks")
 
     def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["place", "mark", "digest", "at", "n", "passages"]
@@ -237,9 +238,9 @@ def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFram
 
     marked_rows = rows.join(some, "row").select("place", "words", "marks")
     columns = "place bigint, mark bigint, digest bigint, at int, n int, passages array<bigint>"
-    windows = staged(marked_rows.mapInArrow(windowed, columns), "windows")
+    windows = passing.staged(marked_rows.mapInArrow(windowed, columns), "windows")
     equal = windows.groupBy("mark", "digest").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
-    equal = staged(equal, "equal-windows")
+    equal = passing.staged(equal, "equal_windows")
     # All but the first of equal windows go whole.
     again = equal.where("stays <> last").drop("last")
     whole = windows.drop("passages").join(again, ["mark", "digest"]).where("place <> stays")
@@ -248,11 +249,12 @@ def repeated_passages(docs: DataFrame, passage: int, run: int) -> tuple[DataFram
     several = equal.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
     firsts = equal.join(several, "mark", "left_semi").select("mark", "digest", F.col("stays").alias("place"))
     firsts = windows.join(firsts, ["mark", "digest", "place"], "left_semi")
-    places = staged(firsts.select("place", "mark", "at", F.posexplode("passages").alias("i", "passage")), "passages")
+    places = passing.staged(firsts.select("place", "mark", "at", F.posexplode("passages").alias("i", "passage")), "passages")
     first = places.groupBy("mark", "passage").agg(F.min("place").alias("stays"), F.max("place").alias("last"))
-    first = staged(first.where("stays <> last").drop("last"), "repeated")
+    first = passing.staged(first.where("stays <> last").drop("last"), "repeated")
     parts = places.join(first, ["mark", "passage"]).where("place <> stays")
     parts = parts.select("place", (F.col("at") + F.col("i")).alias("at"), F.lit(passage).alias("n"))
     goes = whole.unionByName(parts).groupBy("place").agg(F.collect_list(F.struct("at", "n")).alias("goes"))
     goes = staged(goes.join(order, "place").select("row", "goes"), "passages-to-drop")
+    passing.drop()
     return rows, order, goes
