@@ -333,11 +333,11 @@ def without_similar_passages(docs: DataFrame, passage: int = PASSAGE, run: int =
             numbers = batch.column("row").to_numpy()
             for first, part in _in_parts(batch):
                 _, which, signature, *_ = regions_of(part, half, PAIRS[:1], passage)
-                pairs = np.unique(np.rec.fromarrays([which + first, signature.astype(np.uint64)], names="i,s"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[pairs.i.astype(np.int64)], pa.int64()), pa.array(pairs.s.copy().view(np.int64))],
-                    names=["row", "signature"],
-                )
+                order = np.lexsort([signature, which])
+                which, signature = which[order], signature[order]
+                new = np.append(True, (which[1:] != which[:-1]) | (signature[1:] != signature[:-1]))[: len(which)]
+                found = [pa.array(numbers[which[new] + first], pa.int64()), pa.array(signature[new].astype(np.uint64).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(found, names=["row", "signature"])
 
     signatures = left.select("row", "words", "goes").mapInArrow(signed, "row bigint, signature bigint")
     signatures = passing.staged(signatures, "signatures")
@@ -379,8 +379,8 @@ def without_similar_passages(docs: DataFrame, passage: int = PASSAGE, run: int =
     compared_by = Passing(docs.sparkSession)
     regions = compared_by.staged(regions.withColumn("region", F.monotonically_increasing_id()), "regions")
     passing.drop()
-    near = near_ranges(regions, length, compared_by).distinct()
-    near = near.groupBy("place").agg(F.collect_list(F.struct("at", "n")).alias("near"))
+    near = near_ranges(regions, length, compared_by)
+    near = near.groupBy("place").agg(F.collect_set(F.struct("at", "n")).alias("near"))
     near = staged(near.join(order, "place").select("row", "near"), "near-passages")
     compared_by.drop()
 
