@@ -269,11 +269,16 @@ def near_ranges(regions: DataFrame, length: int, passing: Passing) -> DataFrame:
     earlier = [F.col("place").alias("earlier"), F.col("c").alias("c_first"), F.col("tokens").alias("first")]
 
     few = regions.join(groups.where(F.col("regions") <= FEW).select("signature"), "signature")
-    some = few.join(few.select("signature", *earlier), "signature").where("place > earlier")
+    # Gathered rather than joined with themselves: regions are shuffled once.
+    few = few.groupBy("signature").agg(F.collect_list(F.struct("region", "place", "at", "c", "tokens")).alias("group"))
+    few = few.select("group", F.explode("group").alias("own"))
+    some = few.select("own", F.explode(F.filter("group", lambda other: other["place"] < F.col("own")["place"])).alias("other"))
+    some = some.select("own.*", F.col("other.c").alias("c_first"), F.col("other.tokens").alias("first"))
 
     many = regions.join(groups.where(F.col("regions") > FEW).drop("regions"), "signature")
+    many = passing.staged(many, "hot_regions")
     first = many.where("place = stays").select("signature", *earlier)
-    later = passing.staged(many.where("place <> stays").drop("stays"), "hot_regions")
+    later = many.where("place <> stays").drop("stays")
     by_first = passing.staged(compared(later.join(first, "signature"), length), "near_first")
 
     # What is not alike to the first: pairs of regions by their passages' rarest tokens.
