@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}
 #: a word, as measured, some 32 MB; 260 MB if every word is as long as it may be.
 AHEAD = 1 << 20
 AHEAD_BYTES = 48
+#: Factors of a word's bytes by their place, whose sum is the word's hash.
+MULTIPLIERS = np.random.default_rng(1).integers(1, 1 << 64, AHEAD_BYTES, np.uint64)
 #: Words of more bytes join all places of the lowest pair in one step.
 LONG = 64
 #: A literal map is searched from its start, so it is dealt to this many small ones, of
@@ -201,44 +204,76 @@ def _words_ahead(docs: DataFrame, ranks: Column, pattern: str, ahead: int) -> pa
     return frequent(counts, ahead).select("word", ids.alias("ids")).toArrow()
 
 
-def _looked_up(ready: pa.Table) -> Callable[[Column], Column]:
+def _hashes(short: pa.Array) -> np.ndarray:
+    """64-bit hashes of words of ``AHEAD_BYTES`` at most."""
+    if not len(short):
+        return np.empty(0, np.uint64)
+    ends = np.frombuffer(short.buffers()[1], np.int32)[short.offset : short.offset + len(short) + 1]
+    letters = np.frombuffer(short.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    ends = ends - ends[0]
+    letters += np.uint64(1)
+    letters *= MULTIPLIERS[np.arange(len(letters)) - np.repeat(ends[:-1], np.diff(ends))]
+    sums = np.append(np.uint64(0), np.cumsum(letters))
+    return sums[ends[1:]] - sums[ends[:-1]]
+
+
+class Ready:
+    """Words with their ids, in the order of the words' hashes. Of words with equal hashes
+    only one is held, the others are folded where they stand."""
+
+    def __init__(self, table: pa.Table):
+        words = table["word"].cast(pa.string()).combine_chunks()
+        parts = [_hashes(words.slice(at, AT_ONCE)) for at in range(0, len(words), AT_ONCE)]
+        self.hashes, first = np.unique(np.concatenate([np.empty(0, np.uint64), *parts]), return_index=True)
+        self.words = words.take(pa.array(first))
+        ids = table["ids"].combine_chunks().take(pa.array(first))
+        of_each = ids.value_lengths().to_numpy(zero_copy_only=False)
+        self.ends = np.append(0, np.cumsum(of_each)).astype(np.int32)
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the words stand, -1 for those that are not held."""
+        found = np.full(len(words), -1, np.int32)
+        short = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) <= AHEAD_BYTES)
+        if not len(self.words) or not len(short):
+            return found
+        asked = words.take(pa.array(short))
+        place = np.minimum(np.searchsorted(self.hashes, _hashes(asked)), len(self.words) - 1)
+        equal = pc.equal(self.words.take(pa.array(place)), asked).to_numpy(zero_copy_only=False)
+        found[short[equal]] = place[equal]
+        return found
+
+
+def _looked_up(ready: Broadcast) -> Callable[[Column], Column]:
     """A function from a document's words to a struct: ``new``, its distinct words that
     are not ``ready``; ``which``, their numbers in the order they stand; and ``known``, the
-    ids of the words before the first of them, between them, and behind the last."""
-    table = ready.combine_chunks()
-    held = table["word"].combine_chunks().cast(pa.string()), table["ids"].combine_chunks()
+    ids of the words before the first of them, between them, and behind the last.
+
+    Memory goes by ``AT_ONCE`` words, or those of the longest document if they are more."""
     schema = "struct<known: array<array<int>>, which: array<int>, new: array<string>>"
 
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ready_words, ready_ids = held
-        of_ready = np.append(ready_ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int32)
-        begin = np.append(0, np.cumsum(of_ready[:-1])).astype(np.int32)
-        flat = ready_ids.flatten().to_numpy(zero_copy_only=False)
+        held = ready.value
         for batch in batches:
             n_words = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-            ends = np.append(0, np.cumsum(n_words))  # words of the batch before each document
-            coded = batch.flatten().dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False)
-            found = pc.index_in(coded.dictionary.cast(pa.string()), value_set=ready_words)
-            place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
             # Documents at once: those whose last words fall in the same AT_ONCE words.
-            starts = np.append(np.flatnonzero(np.diff(ends[1:] // AT_ONCE, prepend=-1)), len(batch))
-            parts = [
-                of_documents(coded.dictionary, code[ends[a] : ends[b]], place, ends[a : b + 1] - ends[a], of_ready, begin, flat)
-                for a, b in zip(starts[:-1], starts[1:])
-            ]
-            yield pa.concat_arrays(parts) if parts else of_documents(coded.dictionary, code, place, ends, of_ready, begin, flat)
-
-    def of_documents(
-        distinct: pa.Array, code: np.ndarray, place: np.ndarray, ends: np.ndarray, of_ready: np.ndarray, begin: np.ndarray, flat: np.ndarray
-    ) -> pa.Array:
-        place = place[code]
-
-        # Ids of the known words one after another; a new word has none, by the last length.
-        size = of_ready[place]
+            parts = np.cumsum(n_words, dtype=np.int64) // AT_ONCE
+            starts = np.append(np.flatnonzero(np.diff(parts, prepend=-1)), len(batch))
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield of_documents(batch.slice(a, b - a), n_words[a:b], held)
+
+    def of_documents(documents: pa.Array, n_words: np.ndarray, held: Ready) -> pa.Array:
+        ends = np.append(0, np.cumsum(n_words))  # words before each document
+        coded = documents.flatten().dictionary_encode()
+        distinct, code = coded.dictionary.cast(pa.string()), coded.indices.to_numpy(zero_copy_only=False)
+        place = held.places(distinct)[code]
+
+        # Ids of the known words one after another; a new word has none.
+        begin = held.ends[place]
+        size = np.where(place < 0, 0, held.ends[place + 1] - begin)
         after = np.append(0, np.cumsum(size, dtype=np.int64))
-        at = np.arange(after[-1]) + np.repeat(begin[place] - after[:-1], size)
-        ids = flat[at].astype(np.int32)
+        at = np.arange(after[-1]) + np.repeat(begin - after[:-1], size)
+        ids = held.ids[at].astype(np.int32)
 
         # A piece ends before each new word and at the end of each document.
         at_new = np.flatnonzero(place < 0)
@@ -272,7 +307,8 @@ def encoded(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str, ahead: in
         raise ValueError("ranks have gaps or repeat")
     by_piece = rank_map(ranks)
     found = free_name(docs, "found")
-    look_up = _looked_up(_words_ahead(docs, by_piece, pattern, ahead))
+    ready = Ready(_words_ahead(docs, by_piece, pattern, ahead))
+    look_up = _looked_up(docs.sparkSession.sparkContext.broadcast(ready))
     known, which, new = (F.col(found)[part] for part in ("known", "which", "new"))
 
     def joined(folded: Column) -> Column:

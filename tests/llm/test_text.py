@@ -5,10 +5,12 @@ import random
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -59,6 +61,51 @@ def test_bpe_of_more_words_than_are_worked_on_at_once(spark):
     assert found == sorted((t or "", encoding.encode_ordinary(t or "")) for t in texts)
 
 
+def looked_up(monkeypatch, ready, batch):
+    """What the Arrow function gives for a batch, piece after piece."""
+    monkeypatch.setattr(byte_bpe.F, "arrow_udf", lambda function, schema: function)
+    return byte_bpe._looked_up(SimpleNamespace(value=ready))(iter([batch]))
+
+
+def test_bpe_lookup_holds_no_more_for_a_larger_batch(monkeypatch):
+    n = byte_bpe.AT_ONCE // 64
+    ready = byte_bpe.Ready(pa.table({"word": ["often", "too"], "ids": [[1, 2], [3]]}))
+
+    def peak(documents):
+        batch = pa.array([["often", f"rare{i % 7}", "too", "often"] * 16 for i in range(documents)])
+        tracemalloc.start()
+        for part in looked_up(monkeypatch, ready, batch):
+            assert len(part) <= n
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found
+
+    assert peak(8 * n) < 1.5 * peak(n)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_bpe_lookup_goes_by_whole_words(monkeypatch, collide):
+    if collide:
+        monkeypatch.setattr(byte_bpe, "_hashes", lambda short: np.zeros(len(short), np.uint64))
+    long = "x" * byte_bpe.AHEAD_BYTES
+    ids = {"a": [1], "ab": [2, 3], "ä": [], "\0": [4], "a\0": [5], long: [6]}
+    ready = byte_bpe.Ready(pa.table({"word": list(ids), "ids": pa.array(ids.values(), pa.list_(pa.int32()))}))
+    assert len(ready.words) == (1 if collide else len(ids))
+    held = {word: ids[word] for word in ready.words.to_pylist()}
+    texts = [[*ids, "b", long + "x", "ba"], [], None, ["b", "b", *reversed(ids)]]
+    rows = [r for part in looked_up(monkeypatch, ready, pa.array(texts)) for r in part.to_pylist()]
+    for words, row in zip(texts, rows, strict=True):
+        known, which = [[]], []
+        for word in words or []:
+            if word in held:
+                known[-1] += held[word]
+            else:
+                known.append([])
+                which.append(word)
+        assert row["known"] == known and [row["new"][i] for i in row["which"]] == which
+        assert len(set(row["new"])) == len(row["new"])
+
+
 def test_bpe_of_no_rows(empty):
     ranks = byte_bpe.ranks_of(public_tokenizers.path(queries.TOKENIZER))
     assert queries.token_digests(empty, ranks).count() == 0
