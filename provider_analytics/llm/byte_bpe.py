@@ -237,8 +237,13 @@ class Ready:
         short = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) <= AHEAD_BYTES)
         if not len(self.words) or not len(short):
             return found
+        hashes = _hashes(words.take(pa.array(short)))
+        order = np.argsort(hashes)  # neighbours are found from each other
+        short, hashes = short[order], hashes[order]
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.words) - 1)
+        hit = self.hashes[place] == hashes
+        short, place = short[hit], place[hit]
         asked = words.take(pa.array(short))
-        place = np.minimum(np.searchsorted(self.hashes, _hashes(asked)), len(self.words) - 1)
         equal = pc.equal(self.words.take(pa.array(place)), asked).to_numpy(zero_copy_only=False)
         found[short[equal]] = place[equal]
         return found
@@ -266,17 +271,17 @@ def _looked_up(ready: Broadcast) -> Callable[[Column], Column]:
         ends = np.append(0, np.cumsum(n_words))  # words before each document
         coded = documents.flatten().dictionary_encode()
         distinct, code = coded.dictionary.cast(pa.string()), coded.indices.to_numpy(zero_copy_only=False)
-        place = held.places(distinct)[code]
+        place = held.places(distinct)
 
         # Ids of the known words one after another; a new word has none.
         begin = held.ends[place]
-        size = np.where(place < 0, 0, held.ends[place + 1] - begin)
+        size = np.where(place < 0, 0, held.ends[place + 1] - begin)[code]
         after = np.append(0, np.cumsum(size, dtype=np.int64))
-        at = np.arange(after[-1]) + np.repeat(begin - after[:-1], size)
-        ids = held.ids[at].astype(np.int32)
+        at = np.arange(after[-1]) + np.repeat(begin[code] - after[:-1], size)
+        ids = held.ids[at].astype(np.int32, copy=False)
 
         # A piece ends before each new word and at the end of each document.
-        at_new = np.flatnonzero(place < 0)
+        at_new = np.flatnonzero((place < 0)[code])
         new_of = np.searchsorted(at_new, ends)  # new words before each document
         cuts = np.sort(np.append(at_new, ends[1:]), kind="stable")
         pieces = pa.ListArray.from_arrays(pa.array(np.append(0, after[cuts]).astype(np.int32)), pa.array(ids))
