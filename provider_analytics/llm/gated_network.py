@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -19,6 +20,12 @@ LANES = 512
 WINDOW = 32
 #: Steps of a window when scoring, which keeps nothing for a way back.
 SCORED = 64
+#: The first words, whatever their frequency, are classes of their own.
+LONE = 2
+#: A class's size, by the root of the rank its words begin at.
+SPREAD = 3
+#: Rows of a softmax worked on at once.
+ROWS = 2048
 RATE = 0.01
 #: Words whose gradients are added up at least before a step, so that windows in which few
 #: lanes are left do not make steps of their own.
@@ -27,21 +34,34 @@ STEP_WORDS = 2048
 STEEPEST = 1.0
 
 
-def classes_of(vocabulary: int) -> int:
-    """Words are numbered by frequency; word w is in class w // classes_of(vocabulary)."""
-    return max(1, int(np.ceil(np.sqrt(vocabulary))))
+@cache
+def edges(vocabulary: int) -> np.ndarray:
+    """Where each class of words begins, and the last one's end. Words are numbered by
+    frequency but for the ``LONE`` first, which are classes of their own. Classes grow with the
+    root of the rank: that makes the least work of words whose counts follow Zipf's law."""
+    found = [*range(min(LONE, vocabulary))]
+    at = LONE
+    while at < vocabulary:
+        found.append(at)
+        at += max(1, int(SPREAD * np.sqrt(at - LONE)))
+    return np.array([*found, vocabulary])
+
+
+@cache
+def classes(vocabulary: int) -> np.ndarray:
+    """The class of each word."""
+    sizes = np.diff(edges(vocabulary))
+    return np.repeat(np.arange(len(sizes), dtype=np.int16 if len(sizes) < 1 << 15 else np.int32), sizes)
 
 
 def shapes(vocabulary: int, units: int = UNITS) -> dict[str, tuple[int, ...]]:
-    """Names and shapes of the parameters, in the order of the flat vector."""
-    k = classes_of(vocabulary)
+    """Names and shapes of the parameters, in the order of the flat vector. The last column
+    of the outcomes of a softmax is their bias."""
     return {
         "input": (vocabulary, 2 * units),
         "recurrent": (units, 2 * units),
-        "class_weights": (units, k),
-        "class_bias": (k,),
-        "word_weights": (k, units, k),
-        "word_bias": (k, k),
+        "classes": (len(edges(vocabulary)) - 1, units + 1),
+        "words": (vocabulary, units + 1),
     }
 
 
@@ -57,16 +77,13 @@ def views(flat: np.ndarray, vocabulary: int, units: int = UNITS) -> dict[str, np
 
 def initial(counts: np.ndarray, units: int = UNITS) -> np.ndarray:
     """Small weights, and biases that give each word its share of ``counts``."""
-    vocabulary, k = len(counts), classes_of(len(counts))
+    vocabulary = len(counts)
     size = sum(int(np.prod(shape)) for shape in shapes(vocabulary, units).values())
     flat = np.random.default_rng(6).normal(0, 0.1, size).astype(np.float32)
-    padded = np.zeros(k * k)
-    padded[:vocabulary] = counts + 1.0
-    padded = padded.reshape(k, k)
-    v = views(flat, vocabulary, units)
-    of_class = np.maximum(padded.sum(axis=1, keepdims=True), 1e-9)
-    v["class_bias"][:] = np.log(of_class[:, 0] / padded.sum())
-    v["word_bias"][:] = np.where(padded > 0, np.log(np.maximum(padded, 1e-9) / of_class), -1e4)
+    v, counts = views(flat, vocabulary, units), np.asarray(counts) + 1.0
+    of_class = np.add.reduceat(counts, edges(vocabulary)[:-1])
+    v["classes"][:, -1] = np.log(of_class / of_class.sum())
+    v["words"][:, -1] = np.log(counts / of_class[classes(vocabulary)])
     return flat
 
 
@@ -109,15 +126,24 @@ def windows(documents: Sequence[np.ndarray], start: int, steps: int, lanes: int
         )
 
 
-def _run(v: dict[str, np.ndarray], inputs: np.ndarray, starts: np.ndarray, state: np.ndarray):
-    """States before and after each step, gates and candidates of one window."""
+def even(documents: Sequence[np.ndarray]) -> int:
+    """As many lanes as all end about together, so that training does not end with windows of a
+    few long documents."""
+    lengths = [len(d) for d in documents]
+    return max(1, min(LANES, sum(lengths) // max(lengths, default=1)))
+
+
+def _run(v: dict[str, np.ndarray], inputs: np.ndarray, starts: np.ndarray, state: np.ndarray, kept: bool = True):
+    """States before and after each step, gates and candidates of one window; states after
+    alone, if no more is ``kept``."""
     steps, lanes = inputs.shape
     units = state.shape[1]
-    before = np.empty((steps, lanes, units), np.float32)
-    after, gates, candidates = np.empty_like(before), np.empty_like(before), np.empty_like(before)
-    x = v["input"][inputs]
+    after = np.empty((steps, lanes, units), np.float32)
+    own = steps if kept else 1
+    before, gates, candidates = (np.empty((own, lanes, units), np.float32) for _ in range(3))
+    x = v["input"].take(inputs, axis=0)
     for t in range(steps):
-        b, gate, candidate = before[t], gates[t], candidates[t]
+        b, gate, candidate = before[t % own], gates[t % own], candidates[t % own]
         b[:] = state
         b[starts[t]] = 0
         a = b @ v["recurrent"]
@@ -133,56 +159,59 @@ def _run(v: dict[str, np.ndarray], inputs: np.ndarray, starts: np.ndarray, state
     return before, after, gates, candidates
 
 
-def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Powers of e in place of ``logits``, their sums by row, and the sums' logarithms."""
-    top = 0.0
-    if len(logits) and logits.max() > 60:
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-    np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], np.float32)
-    return logits, total, top + np.log(total)
+def _steep(weights: np.ndarray) -> bool:
+    """If powers of e may not fit: states are within 1, so a logit is at most its outcome's
+    weights added up."""
+    return bool(np.abs(weights).sum(axis=1).max() > 60)
+
+
+def _softmax(weights, steep: bool, h, targets, logp, dh, grad=None) -> None:
+    """Adds the natural logarithms of the targets' probabilities to ``logp``; with ``grad`` also
+    the gradient of their negative sum, to ``grad`` by weight and to ``dh`` by state. Some rows
+    at a time, so that their powers of e stay in the processor's cache."""
+    ones = np.ones(len(weights), np.float32)
+    every = np.arange(min(ROWS, len(h)))
+    for at in range(0, len(h), ROWS):
+        some = slice(at, at + ROWS)
+        states = h[some]
+        target = (every[: len(states)], targets[some])
+        p = states @ weights.T
+        if steep:
+            p -= p.max(axis=1)[:, None]
+        logp[some] += p[target]
+        np.exp(p, out=p)
+        total = p @ ones
+        logp[some] -= np.log(total)
+        if grad is not None:
+            p[target] -= total
+            share = (1 / total)[:, None]
+            grad += p.T @ (states * share)
+            back = p @ weights[:, :-1]
+            back *= share
+            dh[some] += back
 
 
 def _outputs(v: dict[str, np.ndarray], h: np.ndarray, targets: np.ndarray, grad: dict[str, np.ndarray] | None = None):
     """Natural logarithms of the targets' probabilities; with ``grad`` also the gradient of
     their negative sum, by state and, added to ``grad``, by parameter."""
-    k = len(v["class_bias"])
-    kind, word = targets // k, targets % k
-    rows = np.arange(len(h))
-    logits = h @ v["class_weights"]
-    logits += v["class_bias"]
-    found = logits[rows, kind]
-    p, sums, divisor = _exponentials(logits)
-    logp = found - divisor
-    if grad is not None:
-        p /= sums[:, None]
-        p[rows, kind] -= 1
-        grad["class_weights"] += h.T @ p
-        grad["class_bias"] += p.sum(axis=0)
-        dh = p @ v["class_weights"].T
-    if k < 1 << 15:
-        kind = kind.astype(np.int16)  # short integers sort by digits
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(k + 1))
-    for c in range(k):
-        at = order[edges[c] : edges[c + 1]]
-        if not len(at):
-            continue
-        hc, wc = h[at], word[at]
-        logits = hc @ v["word_weights"][c]
-        logits += v["word_bias"][c]
-        own = rows[: len(at)]
-        found = logits[own, wc]
-        p, sums, divisor = _exponentials(logits)
-        logp[at] += found - divisor
-        if grad is not None:
-            p /= sums[:, None]
-            p[own, wc] -= 1
-            grad["word_weights"][c] += hc.T @ p
-            grad["word_bias"][c] += p.sum(axis=0)
-            dh[at] += p @ v["word_weights"][c].T
-    return (logp, dh) if grad is not None else logp
+    begins = edges(len(v["input"]))
+    kind = classes(len(v["input"]))[targets]
+    order = np.argsort(kind, kind="stable")  # short integers are sorted by digits
+    kind, word = kind[order], targets[order]
+    states = np.ones((len(h), h.shape[1] + 1), np.float32)
+    states[:, :-1] = h.take(order, axis=0)
+    logp, dh = np.zeros(len(h)), np.zeros(h.shape, np.float32)
+    _softmax(v["classes"], _steep(v["classes"]), states, kind, logp, dh, grad and grad["classes"])
+    first = np.searchsorted(kind, np.arange(len(begins)))
+    steep = _steep(v["words"])
+    for c in np.flatnonzero((np.diff(first) > 0) & (np.diff(begins) > 1)):
+        rows, own = slice(first[c], first[c + 1]), slice(begins[c], begins[c + 1])
+        of = grad and grad["words"][own]
+        _softmax(v["words"][own], steep, states[rows], word[rows] - begins[c], logp[rows], dh[rows], of)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    logp = logp[back]
+    return (logp, dh.take(back, axis=0)) if grad is not None else logp
 
 
 def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.ndarray], start: int) -> np.ndarray:
@@ -192,7 +221,7 @@ def log_likelihoods(flat: np.ndarray, vocabulary: int, documents: Sequence[np.nd
         return total
     v, state = views(flat, vocabulary), np.zeros((LANES, UNITS), np.float32)
     for window in windows(documents, start, SCORED):
-        after = _run(v, window.inputs, window.starts, state[: window.inputs.shape[1]])[1]
+        after = _run(v, window.inputs, window.starts, state[: window.inputs.shape[1]], kept=False)[1]
         state = after[-1]
         real = _chosen(window.document >= 0)
         logp = _outputs(v, after.reshape(-1, UNITS)[real], window.targets.ravel()[real])
@@ -211,7 +240,8 @@ class Trainer:
     def __init__(self, flat: np.ndarray, vocabulary: int):
         self.flat, self.vocabulary = flat.copy(), vocabulary
         self.mean, self.square = np.zeros_like(flat), np.zeros_like(flat)
-        self.gradient, self.pending = np.zeros_like(flat), 0
+        self.gradient, self.spare = np.zeros_like(flat), np.empty_like(flat)
+        self.pending = 0
         self.updates = 0
         self.words = 0
 
@@ -219,7 +249,7 @@ class Trainer:
         """Documents are learned whole: a state is cleared only where one begins."""
         v = views(self.flat, self.vocabulary)
         state = np.zeros((LANES, UNITS), np.float32)
-        for window in windows(documents, start, WINDOW):
+        for window in windows(documents, start, WINDOW, even(documents)):
             inputs, real = window.inputs, _chosen(window.document >= 0)
             before, after, gates, candidates = _run(v, inputs, window.starts, state[: inputs.shape[1]])
             state = after[-1]
@@ -235,8 +265,11 @@ class Trainer:
             if self.vocabulary < 1 << 15:
                 ids = ids.astype(np.int16)  # sorted by digits
             order = np.argsort(ids, kind="stable")
-            present, first = np.unique(ids[order], return_index=True)
-            g["input"][present] += np.add.reduceat(flat_da[order], first)
+            ids = ids[order]
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            # Pairs of numbers are added up as complex ones, in half as many calls.
+            pairs = np.add.reduceat(flat_da.take(order, axis=0).view(np.complex64), first)
+            g["input"][ids[first]] += pairs.view(np.float32)
             self.pending += len(targets)
             if self.pending >= STEP_WORDS:
                 self._update()
@@ -263,17 +296,26 @@ class Trainer:
 
     def _update(self) -> None:
         """One step by the gradients added up; a shorter one for fewer words."""
-        words, gradient = self.pending, self.gradient
+        words, gradient, step = self.pending, self.gradient, self.spare
         gradient /= words
         gradient *= min(1.0, STEEPEST / (float(np.sqrt(gradient @ gradient)) + 1e-9))
         self.words += words
         self.updates += 1
-        self.mean += 0.1 * (gradient - self.mean)
-        self.square += 0.01 * (gradient * gradient - self.square)
-        mean = self.mean / (1 - 0.9**self.updates)
-        square = self.square / (1 - 0.99**self.updates)
-        self.flat -= min(1.0, words / STEP_WORDS) * RATE * mean / (np.sqrt(square) + 1e-6)
-        self.gradient, self.pending = np.zeros_like(self.flat), 0
+        np.multiply(gradient, gradient, out=step)
+        step -= self.square
+        step *= 0.01
+        self.square += step
+        gradient -= self.mean
+        gradient *= 0.1
+        self.mean += gradient
+        np.multiply(self.square, 1 / (1 - 0.99**self.updates), out=step)
+        np.sqrt(step, out=step)
+        step += 1e-6
+        np.divide(self.mean, step, out=step)
+        step *= min(1.0, words / STEP_WORDS) * RATE / (1 - 0.9**self.updates)
+        self.flat -= step
+        gradient[:] = 0
+        self.pending = 0
 
 
 def chunks(flat: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +36,9 @@ END, OTHER = 0, 1
 FOLDS, HELD_OUT = 7, 2
 #: Words counted in a task before they are passed on.
 COUNTED = 1 << 18
-#: Words of the documents that are scored side by side, and of those that are trained.
-BATCH = 1 << 20
-LEARNED = 1 << 22
+#: Words of the documents that are trained or scored side by side. Fewer leave most lanes
+#: empty beside the longest documents.
+BATCH = 1 << 22
 #: Trained copies averaged by a task, and parameters of a piece.
 COPIES = 256
 PIECE = 4096
@@ -84,13 +85,11 @@ class Numbers:
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """The words' numbers, -1 for words not known."""
-        get = self.number.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
 
     def targets_of(self, words: list[bytes]) -> np.ndarray:
         """``targets(of(words))``, from a small table."""
-        get = self.predicted.get
-        return np.fromiter(chain((get(w, OTHER) for w in words), (END,)), np.int32, len(words) + 1)
+        return np.fromiter(chain(map(self.predicted.get, words, repeat(OTHER)), (END,)), np.int32, len(words) + 1)
 
     def targets(self, numbers: np.ndarray) -> np.ndarray:
         """What the network predicts for them, and then the end."""
@@ -98,21 +97,6 @@ class Numbers:
         return np.append(np.where(predicted, numbers, OTHER), END).astype(np.int32)
 
 
-def _in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], pa.RecordBatch, list[list[bytes]]]]:
-    """Rows and words of documents, some at a time, by words rather than by rows."""
-    for batch in batches:
-        rows, words, total = [], [], 0
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            rows.append(i)
-            words.append(words_of(text))
-            total += len(words[-1]) + 1
-            if total > BATCH:
-                yield rows, batch, words
-                rows, words, total = [], [], 0
-        if rows:
-            yield rows, batch, words
-
-
 def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
     """The parameters after every task has trained a copy of ``start`` on its documents,
     averaged by words."""
@@ -124,7 +108,7 @@ def trained(docs: DataFrame, numbers: Numbers, start: np.ndarray) -> np.ndarray:
             for text in batch.column("text"):
                 documents.append(numbers.targets_of(words_of(text.as_py())))
                 total += len(documents[-1])
-                if total > LEARNED:
+                if total > BATCH:
                     trainer.learn(documents, END)
                     documents, total = [], 0
         if documents:
@@ -196,27 +180,39 @@ def scored(docs: DataFrame, vocabulary: int | None = None, known: int = KNOWN) -
     other_unit = -np.log10(others + max(0, train_distinct - (numbers.vocabulary - 1)) + 1)
     log_counts = np.log10(numbers.counts + 1)
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+
+    def counted(text: str | None) -> tuple[np.ndarray, tuple]:
+        """A text's targets and its row, but for what the network adds to the score; words
+        that are not known are joined, as they are many and small."""
+        words = words_of(text)
+        n = numbers.of(words)
+        target = numbers.targets(n)
+        known_words = n[n >= 0]
+        logs = log_counts[known_words]
+        base = logs.sum() + log_counts[END] + len(target) * base_unit
+        of_others = logs[known_words >= numbers.vocabulary].sum() + (target == OTHER).sum() * other_unit
+        rest = b" ".join([words[i] for i in np.flatnonzero(n < 0)])
+        return target, (len(target), len(known_words) + (ends > 0), base, of_others, rest or None)
+
+    def finished(own: pa.RecordBatch, targets: list[np.ndarray], found: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*found, strict=True), kinds, strict=True)]
+        model = network.log_likelihoods(parameters, numbers.vocabulary, targets, END) / np.log(10)
+        columns[-2] = pc.add(columns[-2], pa.array(model))
+        columns[-1] = pc.split_pattern(columns[-1].cast(pa.string()), " ")
+        return pa.RecordBatch.from_arrays([*(own.column(c) for c in names[:3]), *columns], names=names)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, batch, documents in _in_batches(batches):
-            found = [numbers.of(words) for words in documents]
-            targets = [numbers.targets(n) for n in found]
-            model = network.log_likelihoods(parameters, numbers.vocabulary, targets, END) / np.log(10)
-            columns: dict[str, list] = {name: [] for name in names[3:]}
-            for words, n, target, by_model in zip(documents, found, targets, model, strict=True):
-                known_words = n[n >= 0]
-                logs = log_counts[known_words]
-                columns["n_tokens"].append(len(target))
-                columns["n_known"].append(len(known_words) + (ends > 0))
-                columns["base_score"].append(logs.sum() + log_counts[END] + len(target) * base_unit)
-                of_others = logs[known_words >= numbers.vocabulary].sum() + (target == OTHER).sum() * other_unit
-                columns["score"].append(by_model + of_others)
-                columns["rest"].append([words[i] for i in np.flatnonzero(n < 0)])
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
-            arrays = [pa.array(columns[name], kind) for name, kind in zip(names[3:], kinds, strict=True)]
-            arrays[-1] = arrays[-1].cast(pa.list_(pa.string()))
-            own = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(own.column(c) for c in names[:3]), *arrays], names=names)
+        for batch in batches:
+            targets, found, total, done = [], [], 0, 0
+            for i, text in enumerate(batch.column("text"), 1):
+                target, row = counted(text.as_py())
+                targets.append(target)
+                found.append(row)
+                total += len(target)
+                if total > BATCH or i == len(batch):
+                    yield finished(batch.slice(done, i - done), targets, found)
+                    targets, found, total, done = [], [], 0, i
 
     schema = (
         "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint,"

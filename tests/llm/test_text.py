@@ -269,6 +269,63 @@ def test_memory_goes_by_words_not_by_the_longest_document():
     assert n == 511 * 100 + 1_000_000 and peak < 100 * n
 
 
+def test_training_does_not_end_with_few_documents(monkeypatch):
+    documents = [np.full(n, 7, np.int32) for n in [20] * 300 + [1000, 900]]
+    seen, plain = [], gated_network.windows
+    monkeypatch.setattr(gated_network, "windows", lambda *a: (seen.append(w.document) or w for w in plain(*a)))
+    trainer = gated_network.Trainer(gated_network.initial(np.ones(9)), 9)
+    trainer.learn(documents, 0)
+    widths = [int((document >= 0).sum()) for document in seen]
+    assert sum(widths) == trainer.words == 7900 and min(widths[:-1]) > max(widths) / 2
+
+
+def test_few_powers_of_e_a_word(monkeypatch):
+    # Two words in five are the mark of others, the rest follow Zipf's law.
+    draw, vocabulary = np.random.default_rng(4), 4900
+    chance = np.append([0.01, 0.4], 0.59 * (1 / np.arange(1, vocabulary - 1)) / (1 / np.arange(1, vocabulary - 1)).sum())
+    documents = [draw.choice(vocabulary, 200, p=chance / chance.sum()).astype(np.int32) for _ in range(600)]
+    flat = gated_network.initial(np.bincount(np.concatenate(documents), minlength=vocabulary))
+    taken, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **more: taken.append(np.size(x)) or exp(x, **more))
+    gated_network.log_likelihoods(flat, vocabulary, documents, 0)
+    # Classes of 70 words each took 140, whatever the word.
+    assert sum(taken) < 100 * 600 * 200
+
+
+def test_probabilities_against_plain_softmax():
+    for vocabulary, steepness in [(1, 1), (2, 1), (3, 1), (60, 1), (60, 300)]:
+        flat = gated_network.initial(np.arange(vocabulary, 0, -1))
+        v, edges = gated_network.views(flat, vocabulary), gated_network.edges(vocabulary)
+        v["classes"][:] *= steepness
+        v["words"][:] *= steepness
+        x = v["input"][0].astype(np.float64)  # the first state follows from the start's input alone
+        state = np.append((0.5 + 0.5 * np.tanh(x[:16])) * np.tanh(x[16:]), 1)
+
+        def logs(weights, state=state):
+            logits = weights.astype(np.float64) @ state
+            return logits - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+
+        expected = [
+            of_class + of_word
+            for c, of_class in enumerate(logs(v["classes"]))
+            for of_word in logs(v["words"][edges[c] : edges[c + 1]])
+        ]
+        every = [np.array([w], np.int32) for w in range(vocabulary)]
+        found = gated_network.log_likelihoods(flat, vocabulary, every, 0)
+        assert np.allclose(found, expected, rtol=1e-4, atol=1e-4) and abs(np.exp(expected).sum() - 1) < 1e-9
+
+
+def test_scores_of_small_batches(odd, monkeypatch):
+    def counted():
+        rows = language_model.scored(odd, vocabulary=40, known=100).collect()
+        assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
+        return Counter((*tuple(r)[:5], round(r.base_score, 6)) for r in rows)
+
+    whole = counted()
+    monkeypatch.setattr(language_model, "BATCH", 20)
+    assert counted() == whole
+
+
 def test_gradient_against_differences():
     draw = np.random.default_rng(11)
     vocabulary, documents = 20, [draw.integers(0, 20, n).astype(np.int32) for n in (9, 4, 14)]
